@@ -94,8 +94,16 @@ def overall_avg(valid: DataFrame, keys: Sequence[str]) -> DataFrame:
     return out
 
 
-def overall_prediction(valid: DataFrame, keys: Sequence[str], median_factor: float = 0.01) -> DataFrame:
-    """``(avg, n, median = 0.01 * avg, prediction = (avg + median) / 2)`` per key."""
-    a = overall_avg(valid, keys)
+# Fixed value: the rolling median is 1% of the average.
+MEDIAN_FACTOR = 0.01
+
+
+def prediction_from_avg(avgs: DataFrame, median_factor: float = MEDIAN_FACTOR) -> DataFrame:
+    """Adds ``median = 0.01 * avg_load`` and ``prediction = (avg_load + median) / 2``."""
     med = F.col("avg_load") * F.lit(median_factor)
-    return a.withColumn("median", med).withColumn("prediction", (F.col("avg_load") + F.col("median")) / 2)
+    return avgs.withColumn("median", med).withColumn("prediction", (F.col("avg_load") + F.col("median")) / 2)
+
+
+def overall_prediction(valid: DataFrame, keys: Sequence[str], median_factor: float = MEDIAN_FACTOR) -> DataFrame:
+    """``(avg, n, median, prediction)`` per key over all its readings."""
+    return prediction_from_avg(overall_avg(valid, keys), median_factor)
