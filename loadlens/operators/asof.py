@@ -26,3 +26,23 @@ def asof_lookup(probes: DataFrame, history: DataFrame, by: Sequence[str], probe_
     carried = p.unionByName(h).select(
         *by, "_t", "_kind", *[F.last(v, ignorenulls=True).over(w).alias(v) for v in values])
     return carried.filter(F.col("_kind") == 1).select(*by, F.col("_t").alias(probe_time), *values)
+
+
+def asof_attach(probes: DataFrame, history: DataFrame, by: Sequence[str], probe_time: str,
+                history_time: str, values: Sequence[str]) -> DataFrame:
+    """Like ``asof_lookup`` but keeps every probe column (no join back).
+
+    Use when probes are already bounded per ``by`` group (e.g. one row per
+    key and pane); raw rows should go through ``asof_lookup`` on their
+    distinct grid instead, then an equi-join.
+    """
+    by = list(by)
+    hist_types = dict(history.dtypes)
+    payload = [c for c in probes.columns if c not in by]
+    p = probes.select("*", F.col(probe_time).cast("long").alias("_t"), F.lit(1).alias("_kind"),
+                      *[F.lit(None).cast(hist_types[v]).alias(v) for v in values])
+    h = history.select(*by, F.col(history_time).cast("long").alias("_t"), F.lit(0).alias("_kind"), *values)
+    w = Window.partitionBy(*by).orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    both = p.unionByName(h, allowMissingColumns=True)
+    carried = both.select(*by, *payload, "_kind", *[F.last(v, ignorenulls=True).over(w).alias(v) for v in values])
+    return carried.filter(F.col("_kind") == 1).drop("_kind")

@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadlens.functions.stats import copysign
-from loadlens.functions.timeslice import DEFAULT_TF, ORIGIN_TS, idiv
-from loadlens.operators.asof import asof_lookup
+from loadlens.functions.timeslice import DEFAULT_TF, ORIGIN_TS, idiv, time_slice
+from loadlens.operators.asof import asof_attach
 from loadlens.operators.measures import as_double, prepared
 from loadlens.operators.medians import median_history
 
@@ -26,24 +26,38 @@ DEFAULT_PANE_SECONDS = 10
 DEFAULT_PANES_PER_WINDOW = 3
 
 
+def head_key(ts: str = "timestamp", rid: str = "id"):
+    """(timestamp, id) packed in one long that orders like the pair (ints only)."""
+    return F.col(ts).cast("long") * F.lit(1 << 32) + (F.col(rid).cast("long") + F.lit(1 << 31))
+
+
+def head_timestamp(key: str):
+    return F.shiftright(F.col(key), 32).cast("int")
+
+
 def window_partials(valid: DataFrame, keys: Sequence[str], tf: int = DEFAULT_TF,
                     pane_seconds: int = DEFAULT_PANE_SECONDS,
                     panes_per_window: int = DEFAULT_PANES_PER_WINDOW,
                     origin: int = ORIGIN_TS) -> DataFrame:
-    """Per (key, window-end pane): ``wsum, wcnt`` and the first reading ``head``.
-
-    ``head`` is the minimum of ``struct(timestamp, id, v, s)``, i.e. the
-    earliest reading with ties broken by id (then value).
+    """Per (key, window-end pane): ``wsum, wcnt``, the first reading's ``head_key``
+    and its value ``head_v``.
+
+    The head is the earliest reading, ties broken by id; (timestamp, id) is
+    packed into one long so ``min`` / ``min_by`` stay hash aggregates (a
+    struct minimum would force a sort of the raw rows in every map task).
+    Ids are unique per reading; for equal (timestamp, id) the value picked is
+    unspecified.
     """
-    p = prepared(valid, keys, tf, pane_seconds, origin)
+    p = prepared(valid, keys, tf, pane_seconds, origin).withColumn("_hk", head_key())
     part = p.groupBy(*keys, "p0").agg(
         F.sum("v").alias("_ps"), F.count(F.lit(1)).alias("_pc"),
-        F.min(F.struct("timestamp", "id", "v", "s")).alias("_ph"))
+        F.min("_hk").alias("_hk"), F.min_by("v", "_hk").alias("_hv"))
     k = panes_per_window - 1
     exp = part.select(*keys, F.explode(F.sequence("p0", F.col("p0") + k)).alias("pane"),
-                      "_ps", "_pc", "_ph")
+                      "_ps", "_pc", "_hk", "_hv")
     return exp.groupBy(*keys, "pane").agg(
-        F.sum("_ps").alias("wsum"), F.sum("_pc").alias("wcnt"), F.min("_ph").alias("head"))
+        F.sum("_ps").alias("wsum"), F.sum("_pc").alias("wcnt"),
+        F.min("_hk").alias("head_key"), F.min_by("_hv", "_hk").alias("head_v"))
 
 
 def sliding_panes(valid: DataFrame, keys: Sequence[str], pane_seconds: int = DEFAULT_PANE_SECONDS,
@@ -71,15 +85,16 @@ def state_prediction(valid: DataFrame, keys: Sequence[str], tf: int = DEFAULT_TF
     """
     win = window_partials(valid, keys, tf, pane_seconds, panes_per_window, origin)
     w = Window.partitionBy(*keys).orderBy("pane").rowsBetween(Window.unboundedPreceding, 0)
+    ht = head_timestamp("head_key")
     st = win.select(*keys, "pane", F.sum("wsum").over(w).alias("_total"),
-                    F.sum("wcnt").over(w).alias("n"), F.col("head.timestamp").alias("head_timestamp"),
-                    F.col("head.v").alias("_hv"), F.col("head.s").alias("s"))
+                    F.sum("wcnt").over(w).alias("n"), ht.alias("head_timestamp"),
+                    F.col("head_v").alias("_hv"), time_slice(ht, tf, origin).alias("s"))
     if median_source == "as_run":
         st = st.withColumn("_median", F.col("_hv"))
     elif median_source == "intended":
+        # one row per (key, pane) per side: the lookup runs per (key, slice), no join back
         hist = median_history(valid, keys, tf, pane_seconds, rule, origin)
-        med = asof_lookup(st.select(*keys, "s", "pane"), hist, [*keys, "s"], "pane", "fp", ["median"])
-        st = st.join(med, [*keys, "s", "pane"], "left").withColumn(
+        st = asof_attach(st, hist, [*keys, "s"], "pane", "fp", ["median"]).withColumn(
             "_median", F.coalesce(F.col("median"), F.col("_hv")))
     else:
         raise ValueError(f"median source must be 'intended' or 'as_run', not {median_source!r}")
