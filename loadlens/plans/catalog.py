@@ -274,3 +274,63 @@ def unit_disc_share(spark, d):
 
 
 __all__ = ["QUERIES", "finish"]
+
+
+# ---- streaming forms (bounded availableNow runs, complete mode, read back) ----------
+
+@query("stream_sliding_event_count")
+def stream_sliding_event_count(spark, d):
+    from loadlens.streaming import queries as sq
+    from loadlens.streaming.sinks import materialize
+    from loadlens.streaming.sources import stream_table
+
+    g = sq.sliding_event_counts(stream_table(spark, d, "events"), EVENT_WINDOW, EVENT_SLIDE)
+    return sq.finish_sliding_event_counts(materialize(spark, g, "complete", "sliding-events"), EVENT_SLIDE)
+
+
+@query("stream_house_slice_avg")
+def stream_house_slice_avg(spark, d):
+    from loadlens.streaming import queries as sq
+    from loadlens.streaming.sinks import materialize
+    from loadlens.streaming.sources import stream_measurements
+
+    g = sq.slice_avg_stream(stream_measurements(spark, d), HOUSE, TF)
+    return finish(materialize(spark, g, "complete", "house-slice-avg"))
+
+
+@query("stream_tumbling_house_sum")
+def stream_tumbling_house_sum(spark, d):
+    from loadlens.streaming import queries as sq
+    from loadlens.streaming.sinks import materialize
+    from loadlens.streaming.sources import stream_measurements
+
+    g = sq.tumbling_sum_stream(stream_measurements(spark, d), HOUSE, TUMBLE_SECONDS)
+    return finish(sq.finish_tumbling(materialize(spark, g, "complete", "tumbling"), HOUSE))
+
+
+@query("stream_word_count")
+def stream_word_count(spark, d):
+    from loadlens.streaming import queries as sq
+    from loadlens.streaming.sinks import materialize
+    from loadlens.streaming.sources import stream_table
+
+    docs = stream_table(spark, d, "documents").select(F.col("text").alias("value"))
+    return materialize(spark, sq.word_count_stream(docs), "complete", "word-count")
+
+
+def _stream_prediction(level: str) -> Query:
+    keys = keys_of(level)
+
+    def run(spark, d):
+        from loadlens.streaming.sinks import materialize
+        from loadlens.streaming.sources import stream_measurements
+        from loadlens.streaming.state import prediction_stream
+
+        s = prediction_stream(stream_measurements(spark, d), keys, TF, PANE, K)
+        return finish(materialize(spark, s, "append", f"{level}-prediction"))
+    return run
+
+
+# emits every window the watermark has closed (the last K panes stay open at end of input)
+query("stream_house_state_prediction_as_run")(_stream_prediction("house"))
+query("stream_plug_state_prediction_as_run")(_stream_prediction("plug"))

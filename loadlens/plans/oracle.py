@@ -250,4 +250,12 @@ def oracle_queries() -> dict[str, str]:
     out.update(level_sql(PLUG))
     out.update(_text_sql())
     out.update(_misc_sql())
+    # streaming forms must equal their batch forms
+    out["stream_sliding_event_count"] = out["sliding_event_count"]
+    out["stream_house_slice_avg"] = out["house_slice_avg"]
+    out["stream_tumbling_house_sum"] = out["tumbling_house_sum"]
+    out["stream_word_count"] = out["word_count_nonempty"]
+    closed = f"\nSELECT * FROM pred WHERE (pane + 1) * {PANE} <= (SELECT max(\"timestamp\") FROM v)"
+    out["stream_house_state_prediction_as_run"] = state(HOUSE, "as_run") + closed
+    out["stream_plug_state_prediction_as_run"] = state(PLUG, "as_run") + closed
     return out
