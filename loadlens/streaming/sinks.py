@@ -102,3 +102,11 @@ class ProgressRecorder(StreamingQueryListener):
 
     def total(self) -> int:
         return sum(r["num_input_rows"] for r in self.rows)
+
+
+def batch_progress(query: StreamingQuery) -> list[dict]:
+    """Per-batch input counts and durations of a finished query (from its progress log)."""
+    return [{"batch_id": p["batchId"], "num_input_rows": p["numInputRows"],
+             "trigger_ms": p.get("durationMs", {}).get("triggerExecution"),
+             "processed_rows_per_second": p.get("processedRowsPerSecond")}
+            for p in query.recentProgress]
