@@ -36,17 +36,48 @@ def _field_exprs(parts: Column) -> dict[str, Column]:
     return {name: _typed(name, F.get(parts, i)) for i, name in enumerate(FIELDS)}
 
 
-def parse_lines(lines: DataFrame, value_col: str = "value", keep_line: bool = False) -> DataFrame:
-    """Split each line into typed fields; adds ``_ok`` (all seven fields valid)."""
-    parts = F.split(F.col(value_col), ",", -1)
-    fields = _field_exprs(parts)
+_ROW_TYPE = ("struct<id:int,timestamp:int,value:float,property:int,plug_id:int,"
+             "household_id:int,house_id:int>")
+
+
+def _typed_struct(fields: dict[str, Column]) -> Column:
+    return F.struct(*[fields[n].alias(n) for n in FIELDS])
+
+
+def _all_present(fields: dict[str, Column]) -> Column:
     ok = F.lit(True)
     for c in fields.values():
         ok = ok & c.isNotNull()
-    cols = [fields[n].alias(n) for n in FIELDS]
-    if keep_line:
-        cols.append(F.col(value_col).alias("line"))
-    return lines.select(*cols, ok.alias("_ok"))
+    return ok
+
+
+def _emit(staged: DataFrame, fields: dict[str, Column], mode: str) -> DataFrame:
+    """Keep good rows (or bad lines) with a generator instead of a filter.
+
+    A filter on the parsed columns would be pushed below the parse with every
+    field expression inlined into each conjunct (the split and casts would run
+    once per conjunct).  Emitting 0 or 1 rows from one projection evaluates
+    the staged split once per line.
+    """
+    ok = _all_present(fields)
+    row = _typed_struct(fields)
+    empty = F.array().cast(f"array<{_ROW_TYPE}>")
+    if mode == "drop":
+        return _finish(staged.select(F.inline(F.when(ok, F.array(row)).otherwise(empty))))
+    if mode == "failfast":
+        bad = F.raise_error(F.concat(F.lit("malformed measurement line: "), F.col("_line")))
+        return _finish(staged.select(F.inline(F.when(ok, F.array(row)).otherwise(bad))))
+    if mode == "reject":
+        rej = F.array(F.struct(F.col("_line").alias("line")))
+        return staged.select(F.inline(F.when(~ok, rej).otherwise(F.array().cast("array<struct<line:string>>"))))
+    raise ValueError(f"unknown mode {mode!r}")
+
+
+def parse_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """Typed fields and an ``_ok`` flag for every line (nothing dropped)."""
+    staged = lines.select(F.split(F.col(value_col), ",", -1).alias("_p"))
+    fields = _field_exprs(F.col("_p"))
+    return staged.select(*[fields[n].alias(n) for n in FIELDS], _all_present(fields).alias("_ok"))
 
 
 def _finish(df: DataFrame) -> DataFrame:
@@ -59,20 +90,8 @@ def parse_csv(lines: DataFrame, value_col: str = "value", mode: str = "drop") ->
     ``mode='drop'``: bad rows are left out; ``'reject'``: only bad rows, as
     ``line``; ``'failfast'``: a bad row fails the job, as the reference does.
     """
-    parsed = parse_lines(lines, value_col, keep_line=True)
-    if mode == "drop":
-        return _finish(parsed.filter("_ok"))
-    if mode == "reject":
-        return parsed.filter(~F.col("_ok")).select("line")
-    if mode == "failfast":
-        checked = parsed.withColumn(
-            "_ok",
-            F.when(F.col("_ok"), F.lit(True)).otherwise(
-                F.raise_error(F.concat(F.lit("malformed measurement line: "), F.col("line")))
-            ),
-        )
-        return _finish(checked.filter("_ok"))
-    raise ValueError(f"unknown mode {mode!r}")
+    staged = lines.select(F.split(F.col(value_col), ",", -1).alias("_p"), F.col(value_col).alias("_line"))
+    return _emit(staged, _field_exprs(F.col("_p")), mode)
 
 
 def parse_csv_with_rejects(lines: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
@@ -80,16 +99,15 @@ def parse_csv_with_rejects(lines: DataFrame, value_col: str = "value") -> tuple[
     return parse_csv(lines, value_col, "drop"), parse_csv(lines, value_col, "reject")
 
 
-def parse_regex(lines: DataFrame, value_col: str = "value", pattern: str = LINE_PATTERN) -> DataFrame:
+def parse_regex(lines: DataFrame, value_col: str = "value", pattern: str = LINE_PATTERN,
+                mode: str = "drop") -> DataFrame:
     """Pattern-match parse: the whole line must match (anchored); else dropped."""
     anchored = f"^{pattern}$"
     v = F.col(value_col)
-    groups = {name: F.regexp_extract(v, anchored, i + 1) for i, name in enumerate(FIELDS)}
-    typed = {n: _typed(n, g) for n, g in groups.items()}
-    ok = v.rlike(anchored)
-    for c in typed.values():
-        ok = ok & c.isNotNull()
-    return _finish(lines.filter(ok).select(*[typed[n].alias(n) for n in FIELDS]))
+    staged = lines.select(v.rlike(anchored).alias("_m"), v.alias("_line"),
+                          *[F.regexp_extract(v, anchored, i + 1).alias(f"_g{i}") for i in range(len(FIELDS))])
+    fields = {n: F.when(F.col("_m"), _typed(n, F.col(f"_g{i}"))) for i, n in enumerate(FIELDS)}
+    return _emit(staged, fields, mode)
 
 
 def regex_split(lines: DataFrame, value_col: str = "value", pattern: str = LINE_PATTERN) -> DataFrame:
