@@ -49,9 +49,12 @@ def window_partials(valid: DataFrame, keys: Sequence[str], tf: int = DEFAULT_TF,
     unspecified.
     """
     p = prepared(valid, keys, tf, pane_seconds, origin).withColumn("_hk", head_key())
+    # partials (one row per key and pane) are partitioned by key alone: the
+    # replicated copies are summed in place and the running state window that
+    # follows (partitioned by key) needs no further exchange
     part = p.groupBy(*keys, "p0").agg(
         F.sum("v").alias("_ps"), F.count(F.lit(1)).alias("_pc"),
-        F.min("_hk").alias("_hk"), F.min_by("v", "_hk").alias("_hv"))
+        F.min("_hk").alias("_hk"), F.min_by("v", "_hk").alias("_hv")).repartition(*keys)
     k = panes_per_window - 1
     exp = part.select(*keys, F.explode(F.sequence("p0", F.col("p0") + k)).alias("pane"),
                       "_ps", "_pc", "_hk", "_hv")

@@ -34,6 +34,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def balanced(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin rebalance a scan that yields fewer partitions than the cluster has cores.
+
+    For CPU-heavy per-row work (text splitting) on inputs stored as a few large
+    row groups.  A scan of many files already has enough partitions and is
+    returned unchanged, so at scale this adds no shuffle.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def measurements_from_events(events: DataFrame) -> DataFrame:
     """``events`` -> measurement rows (narrow projection; only 5 columns are read)."""
     ts_type = events.schema["ts"].dataType
