@@ -20,16 +20,18 @@ def overwrite_each_batch(path: str):
     return write
 
 
-def partition_per_batch(path: str, single_file: bool = False):
+def partition_per_batch(path: str, single_file: bool = False, fmt: str = "parquet"):
     """For appended results: ``path/batch_id=N`` written with overwrite.
 
     A replayed batch rewrites its own partition, so the table stays exactly
     once without a table format.  ``single_file`` writes one file per batch
-    (the reference's per-batch text files); only for small batches.
+    (the reference's per-batch text files); only for small batches.  ``fmt``
+    is any batch writer format (``parquet``, ``csv``, ``json``; ``text`` needs
+    one string column).
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         out = batch.coalesce(1) if single_file else batch
-        out.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        out.write.mode("overwrite").format(fmt).save(f"{path}/batch_id={batch_id}")
     return write
 
 

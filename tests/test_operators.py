@@ -125,3 +125,27 @@ def test_error_alignment(spark):
 def test_domain_bounds(spark):
     m = measurement_rows(spark, [(1, O, 1.0, 1, 0, 0, 0), (2, O, 1.0, 1, 41, 0, 0), (3, O, 1.0, 1, 0, 0, 40)])
     assert sorted(r.id for r in ms.domain_bounds(m).collect()) == [1, 3]
+
+
+def test_sliding_counts_keep_zeros(spark):
+    from loadlens.operators.windows import sliding_counts
+
+    rows = spark.createDataFrame([("a", 0), ("a", 0), ("b", 3)], "k string, p long")
+    plain = sorted((r.k, r.pane, r.n) for r in sliding_counts(rows, ["k"], "p", 2).collect())
+    assert plain == [("a", 0, 2), ("a", 1, 2), ("b", 3, 1), ("b", 4, 1)]
+    zeros = sorted((r.k, r.pane, r.n) for r in sliding_counts(rows, ["k"], "p", 2, keep_zeros=True).collect())
+    assert zeros == [("a", 0, 2), ("a", 1, 2), ("a", 2, 0), ("a", 3, 0), ("a", 4, 0), ("b", 3, 1), ("b", 4, 1)]
+
+
+def test_text_file_batch_scan_and_parse(spark, tmp_path):
+    from loadlens.functions.parsing import parse_csv
+    from loadlens.operators.text import line_contains_counts
+    from loadlens.sources.text import text_lines
+
+    f = tmp_path / "sample.csv"
+    f.write_text("1,1377986401,68.451,0,11,0,0\nbad line\n2,1377986402,1.5,1,2,3,4\n")
+    lines = text_lines(spark, str(f), min_partitions=2)
+    assert lines.rdd.getNumPartitions() >= 2
+    assert sorted(r.id for r in parse_csv(lines).collect()) == [1, 2]
+    counts = line_contains_counts(lines).first()
+    assert (counts.lines_with_a, counts.lines_with_b) == (1, 1)

@@ -82,3 +82,26 @@ def test_set_table_sink_is_idempotent(spark, tmp_path):
 
 def test_verdict():
     assert run_verdict(0) == "FAILED" and run_verdict(3) == "PASSED"
+
+
+def test_progress_listener_and_text_sink(spark, tmp_path):
+    import time
+
+    from loadlens.streaming.sinks import ProgressRecorder
+
+    src = tmp_path / "in"
+    src.mkdir()
+    _write_lines(src / "a.txt", ["x y", "z"])
+    rec = ProgressRecorder()
+    spark.streams.addListener(rec)
+    try:
+        out = str(tmp_path / "out")
+        run_bounded(stream_lines(spark, str(src)), partition_per_batch(out, single_file=True, fmt="text"),
+                    "append", str(tmp_path / "ckpt"))
+        deadline = time.time() + 20
+        while rec.total() < 2 and time.time() < deadline:
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(rec)
+    assert rec.total() == 2 and run_verdict(rec.total()) == "PASSED"
+    assert sorted(r.value for r in spark.read.text(f"{out}/batch_id=0").collect()) == ["x y", "z"]
