@@ -19,7 +19,7 @@ DEFAULT_BUCKETS = 64
 
 
 def ranked(df: DataFrame, group: Sequence[str], value: str, buckets: int = DEFAULT_BUCKETS,
-           accuracy: int = 10000) -> DataFrame:
+           accuracy: int = 1000) -> DataFrame:
     """Adds ``rank`` (0-based, ascending ``value``) and ``n`` per group.
 
     Rows must be distinct on (group, value) for set semantics; ties would get
