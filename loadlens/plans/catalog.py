@@ -314,7 +314,9 @@ def stream_word_count(spark, d):
     from loadlens.streaming.sinks import materialize
     from loadlens.streaming.sources import stream_table
 
-    docs = stream_table(spark, d, "documents").select(F.col("text").alias("value"))
+    # the documents table is one file: rebalance each batch before tokenizing
+    docs = stream_table(spark, d, "documents", partitions=spark.sparkContext.defaultParallelism).select(
+        F.col("text").alias("value"))
     return materialize(spark, sq.word_count_stream(docs), "complete", "word-count")
 
 

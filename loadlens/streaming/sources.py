@@ -8,13 +8,19 @@ from loadlens.sources.tables import measurements_from_events, table_path
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str,
-                 max_files_per_trigger: int | None = None) -> DataFrame:
-    """One driver table as a file stream (schema taken from the batch reader)."""
+                 max_files_per_trigger: int | None = None, partitions: int | None = None) -> DataFrame:
+    """One driver table as a file stream (schema taken from the batch reader).
+
+    ``partitions`` round-robin rebalances each micro-batch, as a few receivers
+    feeding many cores need; use it when a trigger brings few large files and
+    the per-row work is heavy (text), not when a trigger already has many files.
+    """
     schema = spark.read.parquet(table_path(sf_dir, name)).schema
     r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.parquet(sf_dir)
+    df = r.parquet(sf_dir)
+    return df.repartition(partitions) if partitions else df
 
 
 def stream_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:

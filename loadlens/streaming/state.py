@@ -53,9 +53,8 @@ class RunningPrediction(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
         pdf = pd.concat(list(rows), ignore_index=True).sort_values("pane", kind="stable")
-        total, n = (0.0, 0)
-        if self.state.exists():
-            total, n = self.state.get()
+        cur = self.state.get()          # None before the key's first window
+        total, n = (0.0, 0) if cur is None else (cur[0], cur[1])
         totals = total + pdf["wsum"].cumsum()
         counts = n + pdf["wcnt"].cumsum()
         out = pd.DataFrame({k: pdf[k].astype("int32") for k in self.keys})
