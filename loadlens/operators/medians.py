@@ -32,10 +32,10 @@ def median_history(valid: DataFrame, keys: Sequence[str], tf: int = DEFAULT_TF,
     averages of one (key, slice) and is bounded like ``averages_history``.
     """
     h = averages_history(valid, keys, tf, pane_seconds, origin, decimals)
-    firsts = h.groupBy(*keys, "s", "avg_load").agg(F.min("fp").alias("fp"))
+    # same partitioning and order as the history's own window: no new exchange
     w = Window.partitionBy(*keys, "s").orderBy("fp").rowsBetween(Window.unboundedPreceding, 0)
-    arr = F.array_sort(F.collect_list("avg_load").over(w))
-    return firsts.select(*keys, "s", "fp", arr.alias("_arr")).select(
+    arr = F.array_sort(F.collect_set("avg_load").over(w))
+    return h.select(*keys, "s", "fp", arr.alias("_arr")).select(
         *keys, "s", "fp", F.size("_arr").cast("long").alias("n"), _rule(F.col("_arr"), rule).alias("median"))
 
 

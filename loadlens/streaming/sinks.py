@@ -112,3 +112,19 @@ def batch_progress(query: StreamingQuery) -> list[dict]:
              "trigger_ms": p.get("durationMs", {}).get("triggerExecution"),
              "processed_rows_per_second": p.get("processedRowsPerSecond")}
             for p in query.recentProgress]
+
+
+def run_continuously(df: DataFrame, writer, output_mode: str, checkpoint: str,
+                     interval: str = "10 seconds") -> StreamingQuery:
+    """Micro-batches on a processing-time trigger until stopped (``awaitTermination``)."""
+    return (df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
+            .foreachBatch(writer).trigger(processingTime=interval).start())
+
+
+def run_for(df: DataFrame, writer, output_mode: str, checkpoint: str, seconds: float,
+            interval: str = "10 seconds") -> StreamingQuery:
+    """Run for a fixed time, then stop (the original job's bounded 20 s run)."""
+    q = run_continuously(df, writer, output_mode, checkpoint, interval)
+    q.awaitTermination(seconds)
+    q.stop()
+    return q

@@ -105,3 +105,16 @@ def test_progress_listener_and_text_sink(spark, tmp_path):
         spark.streams.removeListener(rec)
     assert rec.total() == 2 and run_verdict(rec.total()) == "PASSED"
     assert sorted(r.value for r in spark.read.text(f"{out}/batch_id=0").collect()) == ["x y", "z"]
+
+
+def test_run_for_a_fixed_time(spark, tmp_path):
+    from loadlens.streaming.sinks import run_for
+
+    src = tmp_path / "in"
+    src.mkdir()
+    _write_lines(src / "a.txt", ["a b", "c"])
+    out = str(tmp_path / "out")
+    q = run_for(stream_lines(spark, str(src)), partition_per_batch(out), "append", str(tmp_path / "ckpt"),
+                seconds=8, interval="1 second")
+    assert not q.isActive
+    assert spark.read.parquet(out).count() == 2
