@@ -24,6 +24,8 @@ from loadlens.operators import text as tx
 from loadlens.operators import windows as wn
 from loadlens.operators.keys import HOUSE, keys_of
 from loadlens.sources.tables import MEASUREMENT_COLUMNS, load_measurements, read_table, unit_disc_points
+from loadlens.session import scratch_path
+from loadlens.sinks.writers import store_table
 from loadlens.sources.text import document_texts, union_sources
 
 # Test parameters: slice size, pane length, panes per window.
@@ -156,8 +158,14 @@ def _pred(spark, d, keys, source: str) -> DataFrame:
 
 
 def _pred_set(spark, d, keys) -> DataFrame:
-    """Stored predictions (intended median), rounded before entering the set."""
-    return pr.prediction_set(finish(_pred(spark, d, keys, "intended")), keys, TF)
+    """Stored predictions (intended median), rounded before entering the set.
+
+    Written to the shared folder and read back, as the accuracy report reads
+    the stored set: the evaluation starts from files, not from the chain.
+    """
+    pset = pr.prediction_set(finish(_pred(spark, d, keys, "intended")), keys, TF)
+    level = "house" if len(keys) == 1 else "plug"
+    return store_table(pset, scratch_path(spark, f"{level}-prediction-set"))
 
 
 def _register_level(level: str) -> None:

@@ -23,3 +23,13 @@ def kafka_write(lines: DataFrame, bootstrap: str, topic: str, value_col: str = "
     """Publish one message per row with a null key (needs the spark-sql-kafka package)."""
     (lines.select(F.lit(None).cast("string").alias("key"), F.col(value_col).cast("string").alias("value"))
      .write.format("kafka").option("kafka.bootstrap.servers", bootstrap).option("topic", topic).save())
+
+
+def store_table(df: DataFrame, path: str) -> DataFrame:
+    """Write a table to the shared folder and continue from the stored copy.
+
+    Later stages read files instead of recomputing the plan, so a lost
+    executor costs a re-read, not a replay of the whole upstream chain.
+    """
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -88,12 +88,27 @@ def window_partials_stream(measurements: DataFrame, keys: Sequence[str], tf: int
                     time_slice(ht, tf, origin).alias("head_slice"))
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
+
+
+def require_rocksdb(spark) -> None:
+    """``transformWithState`` needs the RocksDB state store; set it when the session has another.
+
+    The provider is fixed in a query's checkpoint at its first batch, so this
+    must run before the query starts.
+    """
+    if spark.conf.get(PROVIDER_CONF, None) != ROCKSDB:
+        spark.conf.set(PROVIDER_CONF, ROCKSDB)
+
+
 def prediction_stream(measurements: DataFrame, keys: Sequence[str], tf: int = DEFAULT_TF,
                       pane_seconds: int = DEFAULT_PANE_SECONDS,
                       panes_per_window: int = DEFAULT_PANES_PER_WINDOW,
                       watermark: str = "0 seconds", origin: int = ORIGIN_TS) -> DataFrame:
     """Append-mode stream of predictions; same rows as the batch ``state_prediction``
     (``median_source='as_run'``) for every window that has closed."""
+    require_rocksdb(measurements.sparkSession)
     parts = window_partials_stream(measurements, keys, tf, pane_seconds, panes_per_window, watermark, origin)
     return parts.groupBy(*keys).transformWithStateInPandas(
         RunningPrediction(keys), output_schema(keys), "Append", "None")
