@@ -12,8 +12,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
 
+from loadlens.functions.output import finish
 from loadlens.functions.parsing import encode_csv, parse_csv, parse_regex
 from loadlens.operators import averages as avg
 from loadlens.operators import measures as ms
@@ -40,7 +40,6 @@ EVENT_SLIDE = 600
 DOCS_PER_PANE = 50
 WORD_PANES = 3
 TUMBLE_SECONDS = 3600
-OUT_DECIMALS = 6
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -53,19 +52,6 @@ def query(name: str):
     return deco
 
 
-def finish(df: DataFrame, decimals: int = OUT_DECIMALS) -> DataFrame:
-    """Floats widen to double; every double is rounded once."""
-    cols = []
-    for f in df.schema.fields:
-        c = F.col(f.name)
-        if isinstance(f.dataType, FloatType):
-            c = c.cast("double")
-        elif isinstance(f.dataType, DoubleType):
-            c = F.round(c, decimals)
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
-
-
 def _m(spark, d):
     return load_measurements(spark, d)
 

@@ -9,7 +9,7 @@ from loadlens.operators import medians as med
 from loadlens.operators import predict as pr
 from loadlens.operators.keys import HOUSE, PLUG
 from loadlens.operators.measures import load_only, valid_load
-from loadlens.plans.catalog import finish
+from loadlens.functions.output import finish
 from loadlens.sources.tables import measurements_from_events, read_table
 
 TF, P, K = 3600, 21600, 3

@@ -10,7 +10,7 @@ from loadlens.functions.parsing import encode_csv, parse_csv
 from loadlens.operators.measures import valid_load
 from loadlens.operators.predict import state_prediction
 from loadlens.operators.windows import run_verdict
-from loadlens.plans.catalog import finish
+from loadlens.functions.output import finish
 from loadlens.sources.tables import load_measurements
 from loadlens.streaming.queries import word_count_stream
 from loadlens.streaming.sinks import (batch_progress, overwrite_each_batch, partition_per_batch, read_set_table,
