@@ -62,7 +62,7 @@ def history(keys) -> str:
     return f""",
 d AS (SELECT {ks}, s, v, min(p0) AS fp FROM p GROUP BY {ks}, s, v),
 pp AS (SELECT {ks}, s, fp, sum(v) AS ds, count(*) AS dc FROM d GROUP BY {ks}, s, fp),
-h AS (SELECT {ks}, s, fp, CAST(round(CAST(CAST(sum(ds) OVER w / sum(dc) OVER w AS VARCHAR) AS DECIMAL(38, 18)), 6) AS DOUBLE) AS avg_load FROM pp
+h AS (SELECT {ks}, s, fp, {r6('sum(ds) OVER w / sum(dc) OVER w')} AS avg_load FROM pp
       WINDOW w AS (PARTITION BY {ks}, s ORDER BY fp ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
 fa AS (SELECT {ks}, s, avg_load, min(fp) AS fp FROM h GROUP BY {ks}, s, avg_load),
 mh AS (SELECT {ks}, s, fp, list_sort(list(avg_load) OVER (PARTITION BY {ks}, s ORDER BY fp
@@ -89,7 +89,7 @@ st AS (SELECT {ks}, pane, sum(wsum) OVER w AS total, CAST(sum(wcnt) OVER w AS BI
        head.t AS head_timestamp, head.v AS hv, head.s AS s FROM win
        WINDOW w AS (PARTITION BY {ks} ORDER BY pane ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
 sm AS (SELECT {sel}, st.pane, st.head_timestamp, st.n, st.total, st.s, {med} AS med FROM st {join}),
-pred AS (SELECT {ks}, pane, head_timestamp, n, CAST(round(CAST(CAST((total / n + med) / 2 AS VARCHAR) AS DECIMAL(38, 18)), 6) AS DOUBLE) AS predicted_load,
+pred AS (SELECT {ks}, pane, head_timestamp, n, {r6('(total / n + med) / 2')} AS predicted_load,
          s + 1 AS target_slice FROM sm),
 pset AS (SELECT DISTINCT {TF} AS tf, target_slice, {ks}, predicted_load FROM pred),
 pmin AS (SELECT target_slice, {ks}, min(predicted_load) AS predicted_load FROM pset GROUP BY target_slice, {ks})"""
@@ -99,8 +99,8 @@ def error(keys, shift: int) -> str:
     ks = _k(keys)
     return state(keys, "intended") + f""",
 a AS (SELECT {ks}, s AS slice, avg(v) AS avg_load FROM p GROUP BY {ks}, s)
-SELECT {", ".join("a." + c for c in keys)}, a.slice, pmin.predicted_load, CAST(round(CAST(CAST(a.avg_load AS VARCHAR) AS DECIMAL(38, 18)), 6) AS DOUBLE) AS avg_load,
-       CAST(round(CAST(CAST(abs(pmin.predicted_load - a.avg_load) AS VARCHAR) AS DECIMAL(38, 18)), 6) AS DOUBLE) AS error
+SELECT {", ".join("a." + c for c in keys)}, a.slice, pmin.predicted_load, {r6('a.avg_load')} AS avg_load,
+       {r6('abs(pmin.predicted_load - a.avg_load)')} AS error
 FROM a JOIN pmin ON {_on('a', 'pmin', keys)} AND pmin.target_slice = a.slice + {shift}"""
 
 
@@ -110,12 +110,12 @@ def with_median(keys, source: str) -> str:
     if source == "as_run":
         return base(keys) + f""",
 {rows}
-SELECT {ks}, id, "timestamp", s AS slice, pane, CAST(round(CAST(CAST(v AS VARCHAR) AS DECIMAL(38, 18)), 6) AS DOUBLE) AS value, CAST(round(CAST(CAST(v AS VARCHAR) AS DECIMAL(38, 18)), 6) AS DOUBLE) AS median FROM rows"""
+SELECT {ks}, id, "timestamp", s AS slice, pane, {r6('v')} AS value, {r6('v')} AS median FROM rows"""
     sel = ", ".join(f"rows.{c}" for c in keys)
     return base(keys) + f""",
 {rows}
-SELECT {sel}, rows.id, rows."timestamp", rows.s AS slice, rows.pane, CAST(round(CAST(CAST(rows.v AS VARCHAR) AS DECIMAL(38, 18)), 6) AS DOUBLE) AS value,
-       CAST(round(CAST(CAST(coalesce(mhm.median, rows.v) AS VARCHAR) AS DECIMAL(38, 18)), 6) AS DOUBLE) AS median
+SELECT {sel}, rows.id, rows."timestamp", rows.s AS slice, rows.pane, {r6('rows.v')} AS value,
+       {r6('coalesce(mhm.median, rows.v)')} AS median
 FROM rows ASOF LEFT JOIN mhm ON {_on('rows', 'mhm', keys)} AND rows.s = mhm.s AND rows.pane >= mhm.fp"""
 
 
@@ -131,22 +131,22 @@ def level_sql(keys) -> dict[str, str]:
     hhp = ", concat_ws(':', house_id, household_id, plug_id) AS hhp_id" if len(keys) == 3 else ""
     out = {
         f"{lvl}_slice_avg": f"WITH {M},\n{V},\n{prep(keys)}\n"
-                            f"SELECT {ks}, s AS slice, count(*) AS n, CAST(round(CAST(CAST(avg(v) AS VARCHAR) AS DECIMAL(38, 18)), 6) AS DOUBLE) AS avg_load FROM p GROUP BY {ks}, s",
+                            f"SELECT {ks}, s AS slice, count(*) AS n, {r6('avg(v)')} AS avg_load FROM p GROUP BY {ks}, s",
         f"{lvl}_distinct_avg": f"WITH {M},\n{V},\n{prep(keys)}\n"
-                               f"SELECT {ks}, s AS slice, count(*) AS n_distinct, CAST(round(CAST(CAST(avg(v) AS VARCHAR) AS DECIMAL(38, 18)), 6) AS DOUBLE) AS avg_load "
+                               f"SELECT {ks}, s AS slice, count(*) AS n_distinct, {r6('avg(v)')} AS avg_load "
                                f"FROM (SELECT DISTINCT {ks}, s, v FROM p) GROUP BY {ks}, s",
         f"{lvl}_measure": f"WITH {M},\n{V},\n{prep(keys)}\n"
-                          f"SELECT {TF} AS tf, s AS slice, {ks}, CAST(round(CAST(CAST(v AS VARCHAR) AS DECIMAL(38, 18)), 6) AS DOUBLE) AS value FROM (SELECT DISTINCT {ks}, s, v FROM p)",
+                          f"SELECT {TF} AS tf, s AS slice, {ks}, {r6('v')} AS value FROM (SELECT DISTINCT {ks}, s, v FROM p)",
         f"{lvl}_averages": base(keys) + f"\nSELECT DISTINCT {TF} AS tf, s AS slice, {ks}, avg_load FROM h",
-        f"{lvl}_overall_avg": f"WITH {M},\n{V}\nSELECT {ks}, CAST(round(CAST(CAST(avg(CAST(value AS DOUBLE)) AS VARCHAR) AS DECIMAL(38, 18)), 6) AS DOUBLE) AS avg_load, "
+        f"{lvl}_overall_avg": f"WITH {M},\n{V}\nSELECT {ks}, {r6('avg(CAST(value AS DOUBLE))')} AS avg_load, "
                               f"count(*) AS n{hhp} FROM v GROUP BY {ks}",
         f"{lvl}_overall_prediction": f"WITH {M},\n{V},\no AS (SELECT {ks}, avg(CAST(value AS DOUBLE)) AS a, count(*) AS n "
-                                     f"FROM v GROUP BY {ks})\nSELECT {ks}, CAST(round(CAST(CAST(a AS VARCHAR) AS DECIMAL(38, 18)), 6) AS DOUBLE) AS avg_load, n{hhp}, "
-                                     f"CAST(round(CAST(CAST(a * CAST(0.01 AS DOUBLE) AS VARCHAR) AS DECIMAL(38, 18)), 6) AS DOUBLE) AS median, "
-                                     f"CAST(round(CAST(CAST((a + a * CAST(0.01 AS DOUBLE)) / 2 AS VARCHAR) AS DECIMAL(38, 18)), 6) AS DOUBLE) AS prediction FROM o",
+                                     f"FROM v GROUP BY {ks})\nSELECT {ks}, {r6('a')} AS avg_load, n{hhp}, "
+                                     f"{r6('a * CAST(0.01 AS DOUBLE)')} AS median, "
+                                     f"{r6('(a + a * CAST(0.01 AS DOUBLE)) / 2')} AS prediction FROM o",
         f"{lvl}_median_ref": base(keys) + f",\nf AS (SELECT {ks}, s, list_sort(list(DISTINCT avg_load)) AS arr FROM h "
-                            f"GROUP BY {ks}, s)\nSELECT {ks}, s AS slice, len(arr) AS n, CAST(round(CAST(CAST({shifted('arr')} AS VARCHAR) AS DECIMAL(38, 18)), 6) AS DOUBLE) AS median FROM f",
-        f"{lvl}_median_exact": base(keys) + f"\nSELECT {ks}, s AS slice, count(*) AS n, CAST(round(CAST(CAST(median(avg_load) AS VARCHAR) AS DECIMAL(38, 18)), 6) AS DOUBLE) AS median "
+                            f"GROUP BY {ks}, s)\nSELECT {ks}, s AS slice, len(arr) AS n, {r6(shifted('arr'))} AS median FROM f",
+        f"{lvl}_median_exact": base(keys) + f"\nSELECT {ks}, s AS slice, count(*) AS n, {r6('median(avg_load)')} AS median "
                               f"FROM (SELECT DISTINCT {ks}, s, avg_load FROM h) GROUP BY {ks}, s",
         f"{lvl}_with_median": with_median(keys, "intended"),
         f"{lvl}_with_median_as_run": with_median(keys, "as_run"),
@@ -180,6 +180,11 @@ def _text_sql() -> dict[str, str]:
     }
 
 
+# (avg + copySign(avg * 0.01, prior sum)) / 2 over the running sum and count
+ROLLING_PRED = ("(tot / c + CASE WHEN prior < 0 THEN -abs(tot / c * CAST(0.01 AS DOUBLE)) "
+                "ELSE abs(tot / c * CAST(0.01 AS DOUBLE)) END) / 2")
+
+
 def _misc_sql() -> dict[str, str]:
     hp = prep(HOUSE)
     kk = EVENT_WINDOW // EVENT_SLIDE
@@ -190,11 +195,11 @@ def _misc_sql() -> dict[str, str]:
         "domain_bounds": (f"WITH {M}\nSELECT {ROW_COLS} FROM m WHERE house_id BETWEEN 0 AND 40 "
                           f"AND household_id BETWEEN 0 AND 40 AND plug_id BETWEEN 0 AND 40"),
         "plug_measurements": (f"WITH {M},\n{V}\nSELECT house_id, household_id, plug_id, \"timestamp\", "
-                              f"CAST(round(CAST(CAST(CAST(value AS DOUBLE) AS VARCHAR) AS DECIMAL(38, 18)), 6) AS DOUBLE) AS value, 0.0::DOUBLE AS median, hhp_id FROM v"),
-        "house_measurements": (f"WITH {M},\n{V}\nSELECT house_id, \"timestamp\", CAST(round(CAST(CAST(CAST(value AS DOUBLE) AS VARCHAR) AS DECIMAL(38, 18)), 6) AS DOUBLE) AS value, "
+                              f"{r6('CAST(value AS DOUBLE)')} AS value, 0.0::DOUBLE AS median, hhp_id FROM v"),
+        "house_measurements": (f"WITH {M},\n{V}\nSELECT house_id, \"timestamp\", {r6('CAST(value AS DOUBLE)')} AS value, "
                                f"0.0::DOUBLE AS median, hhp_id FROM v"),
-        "house_value_pairs": f"WITH {M}\nSELECT house_id, CAST(round(CAST(CAST(CAST(value AS DOUBLE) AS VARCHAR) AS DECIMAL(38, 18)), 6) AS DOUBLE) AS value FROM m",
-        "plug_value_pairs": f"WITH {M}\nSELECT hhp_id, CAST(round(CAST(CAST(CAST(value AS DOUBLE) AS VARCHAR) AS DECIMAL(38, 18)), 6) AS DOUBLE) AS value FROM m WHERE property = 1",
+        "house_value_pairs": f"WITH {M}\nSELECT house_id, {r6('CAST(value AS DOUBLE)')} AS value FROM m",
+        "plug_value_pairs": f"WITH {M}\nSELECT hhp_id, {r6('CAST(value AS DOUBLE)')} AS value FROM m WHERE property = 1",
         "time_slice": (f"WITH {M}\nSELECT id, \"timestamp\", "
                        + ", ".join(f"{sl('timestamp', t)} AS slice_{t}" for t in SLICES) + " FROM m"),
         "encode_csv": (f"WITH {M}\nSELECT CAST(NULL AS VARCHAR) AS key, concat_ws(',', id, \"timestamp\", "
@@ -205,32 +210,30 @@ def _misc_sql() -> dict[str, str]:
         "house_error_target": error(HOUSE, 0),
         "house_median_measures": (f"WITH {M},\n{V},\n{hp},\nf AS (SELECT house_id, s, list_sort(list(DISTINCT v)) AS arr "
                                   f"FROM p GROUP BY house_id, s)\nSELECT house_id, s AS slice, len(arr) AS n, "
-                                  f"CAST(round(CAST(CAST({shifted('arr')} AS VARCHAR) AS DECIMAL(38, 18)), 6) AS DOUBLE) AS median FROM f"),
+                                  f"{r6(shifted('arr'))} AS median FROM f"),
         "house_measure_card": (f"WITH {M},\n{V},\n{hp}\nSELECT house_id, s AS slice, count(DISTINCT v) AS card "
                                f"FROM p GROUP BY house_id, s"),
         "house_measure_sorted": (f"WITH {M},\n{V},\n{hp}\nSELECT house_id, s AS slice, "
                                  f"row_number() OVER (PARTITION BY house_id, s ORDER BY v) - 1 AS rank, "
-                                 f"CAST(round(CAST(CAST(v AS VARCHAR) AS DECIMAL(38, 18)), 6) AS DOUBLE) AS value FROM (SELECT DISTINCT house_id, s, v FROM p)"),
+                                 f"{r6('v')} AS value FROM (SELECT DISTINCT house_id, s, v FROM p)"),
         "sliding_panes": (f"WITH {M},\n{V},\n{hp},\npart AS (SELECT house_id, p0, sum(v) AS ps, count(*) AS pc "
                           f"FROM p GROUP BY house_id, p0),\n"
                           f"exp AS (SELECT house_id, unnest(generate_series(p0, p0 + {K - 1})) AS pane, ps, pc FROM part)\n"
                           f"SELECT house_id, pane, (pane - {K - 1}) * {PANE} AS window_start, (pane + 1) * {PANE} AS window_end, "
-                          f"CAST(sum(pc) AS BIGINT) AS n, CAST(round(CAST(CAST(sum(ps) AS VARCHAR) AS DECIMAL(38, 18)), 6) AS DOUBLE) AS sum_load FROM exp GROUP BY house_id, pane"),
+                          f"CAST(sum(pc) AS BIGINT) AS n, {r6('sum(ps)')} AS sum_load FROM exp GROUP BY house_id, pane"),
         "batch_counts": (f"WITH {M},\nc AS (SELECT CAST(\"timestamp\" AS BIGINT) // {PANE} AS pane, count(*) AS n "
                          f"FROM m GROUP BY 1)\nSELECT pane, n, CAST(sum(n) OVER (ORDER BY pane ROWS BETWEEN "
                          f"UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_total FROM c"),
         "tumbling_house_sum": (f"WITH {M}\nSELECT house_id, CAST(\"timestamp\" AS BIGINT) // {TUMBLE_SECONDS} * "
                                f"{TUMBLE_SECONDS} AS window_start, count(*) AS n, "
-                               f"CAST(round(CAST(CAST(sum(CAST(value AS DOUBLE)) AS VARCHAR) AS DECIMAL(38, 18)), 6) AS DOUBLE) AS sum_value FROM m GROUP BY 1, 2"),
+                               f"{r6('sum(CAST(value AS DOUBLE))')} AS sum_value FROM m GROUP BY 1, 2"),
         "rolling_prediction": (
             f"WITH {M},\nr AS (SELECT house_id, household_id, id, \"timestamp\", CAST(value AS DOUBLE) AS v "
             f"FROM m WHERE property = 1),\n"
             f"s AS (SELECT *, sum(v) OVER w AS tot, count(*) OVER w AS c, coalesce(sum(v) OVER (PARTITION BY house_id "
             f"ORDER BY \"timestamp\", id, v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) AS prior FROM r "
             f"WINDOW w AS (PARTITION BY house_id ORDER BY \"timestamp\", id, v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))\n"
-            f"SELECT house_id, household_id, id, \"timestamp\", CAST(round(CAST(CAST((tot / c + CASE WHEN prior < 0 "
-            f"THEN -abs(tot / c * CAST(0.01 AS DOUBLE)) ELSE abs(tot / c * CAST(0.01 AS DOUBLE)) END) / 2 AS VARCHAR) AS DECIMAL(38, 18)), 6) AS DOUBLE) "
-            f"AS predicted_load FROM s"),
+            f"SELECT house_id, household_id, id, \"timestamp\", {r6(ROLLING_PRED)} AS predicted_load FROM s"),
         "sliding_event_count": (
             f"WITH part AS (SELECT event_type, CAST(floor(epoch(ts)) AS BIGINT) // {EVENT_SLIDE} AS p, count(*) AS c "
             f"FROM events GROUP BY 1, 2),\nexp AS (SELECT event_type, unnest(generate_series(p, p + {kk - 1})) AS pane, c "
@@ -240,7 +243,7 @@ def _misc_sql() -> dict[str, str]:
             "WITH pts AS (SELECT CAST((event_id * 7919) % 10007 AS DOUBLE) / CAST(10007 AS DOUBLE) * 2 - 1 AS x, "
             "CAST((event_id * 104729) % 10009 AS DOUBLE) / CAST(10009 AS DOUBLE) * 2 - 1 AS y FROM events)\n"
             "SELECT count(*) AS n_points, CAST(count_if(x * x + y * y < 1) AS BIGINT) AS n_inside, "
-            "CAST(round(CAST(CAST(CAST(4 AS DOUBLE) * count_if(x * x + y * y < 1) / count(*) AS VARCHAR) AS DECIMAL(38, 18)), 6) AS DOUBLE) AS estimate FROM pts"),
+            f"{r6('CAST(4 AS DOUBLE) * count_if(x * x + y * y < 1) / count(*)')} AS estimate FROM pts"),
     }
 
 

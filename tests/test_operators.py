@@ -149,3 +149,16 @@ def test_text_file_batch_scan_and_parse(spark, tmp_path):
     assert sorted(r.id for r in parse_csv(lines).collect()) == [1, 2]
     counts = line_contains_counts(lines).first()
     assert (counts.lines_with_a, counts.lines_with_b) == (1, 1)
+
+
+def test_ranked_spreads_a_hot_group(spark):
+    # one group with all rows: the final numbering runs per value bucket, never per group
+    from loadlens.operators import ranks
+
+    df = spark.range(0, 20000).select(F.lit(1).alias("g"), (F.col("id") * 1.5).alias("v"))
+    probs = [i / 32 for i in range(1, 32)]
+    splits = df.agg(F.percentile_approx("v", probs, 1000).alias("s")).first().s
+    sizes = df.select(F.size(F.filter(F.lit(splits), lambda x: x < F.col("v"))).alias("b")).groupBy("b").count()
+    assert sizes.count() >= 30 and sizes.agg(F.max("count")).first()[0] <= 2 * 20000 / 32
+    r = ranks.ranked(df, ["g"], "v", buckets=32)
+    assert r.agg(F.min("rank"), F.max("rank")).first() == (0, 19999)
