@@ -23,7 +23,8 @@ from loadlens.operators import quality as q
 from loadlens.operators import text as tx
 from loadlens.operators import windows as wn
 from loadlens.operators.keys import HOUSE, keys_of
-from loadlens.sources.tables import MEASUREMENT_COLUMNS, load_measurements, read_table, unit_disc_points
+from loadlens.sources.tables import (MEASUREMENT_COLUMNS, load_candidate_measurements, load_measurements,
+                                     read_table, unit_disc_points)
 from loadlens.session import scratch_path
 from loadlens.sinks.writers import store_table
 from loadlens.sources.text import document_texts, union_sources
@@ -57,7 +58,7 @@ def _m(spark, d):
 
 
 def _v(spark, d):
-    return ms.valid_load(load_measurements(spark, d))
+    return ms.valid_load(load_candidate_measurements(spark, d))
 
 
 def _rows(df: DataFrame) -> DataFrame:

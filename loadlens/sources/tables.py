@@ -67,6 +67,18 @@ def load_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measurements_from_events(read_table(spark, sf_dir, "events"))
 
 
+def load_candidate_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measurements that can be valid loads, with the test on raw columns pushed to the scan.
+
+    ``event_type IN (load types)`` and ``value > 0`` on the stored double are
+    implied by the validity rule (the float cast keeps the sign), so they only
+    let Parquet skip row groups and decode less; the exact rule still runs.
+    """
+    events = read_table(spark, sf_dir, "events").filter(
+        F.col("event_type").isin(*LOAD_EVENT_TYPES) & (F.col("value") > 0))
+    return measurements_from_events(events)
+
+
 def unit_disc_points(events: DataFrame) -> DataFrame:
     """Deterministic points in [-1, 1)^2 from ``event_id`` (FIXTURES.md section 3)."""
     e = F.col("event_id")
