@@ -2,8 +2,8 @@
 
 Every query reads the driver's tables (``events`` as measurements,
 ``documents`` as text) over whole tables and whole texts.  Operators return
-full-precision doubles; queries round double columns once, at the output, to
-``OUT_DECIMALS`` so engines that sum in a different order agree.
+full-precision doubles; queries round double columns once, at the output
+(``functions.output.finish``, 6 decimals) so engines that sum in a different order agree.
 """
 
 from __future__ import annotations
