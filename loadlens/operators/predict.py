@@ -111,7 +111,7 @@ def prediction_set(pred: DataFrame, keys: Sequence[str], tf: int = DEFAULT_TF) -
     return pred.select(F.lit(tf).alias("tf"), "target_slice", *keys, "predicted_load").distinct()
 
 
-def rolling_prediction(loads: DataFrame, narrow: bool = True, chunk_seconds: int = 3600,
+def rolling_prediction(loads: DataFrame, narrow: bool = True, target_rows: int = 2_000_000,
                        median_factor: float = 0.01) -> DataFrame:
     """Record-at-a-time running prediction per house (T3), one output row per reading.
 
@@ -121,12 +121,21 @@ def rolling_prediction(loads: DataFrame, narrow: bool = True, chunk_seconds: int
     initial median (0) forever, which this reproduces.
 
     The running sum is a two-level prefix sum so a house holding a third of all
-    rows is not ordered in one task: per (house, time chunk) totals get offsets
-    from a window over chunks (one row per chunk), and the row-level window
-    runs per (house, chunk).
+    rows is not ordered in one task.  Each (house, hour) is cut into chunks of
+    equal length sized so a chunk holds about ``target_rows`` readings (down to
+    one second); per-chunk totals get their offsets from a window over the
+    house's chunks (one row per chunk), and the row-level window runs per
+    (house, chunk).  Only the readings of a single house-second are never split.
     """
-    r = loads.select("house_id", "household_id", "id", "timestamp", as_double().alias("v"),
-                     idiv(F.col("timestamp"), chunk_seconds).alias("_chunk"))
+    base = loads.select("house_id", "household_id", "id", "timestamp", as_double().alias("v"),
+                        idiv(F.col("timestamp"), 3600).alias("_hour"))
+    per_hour = base.groupBy("house_id", "_hour").agg(F.count(F.lit(1)).alias("_rows"))
+    pieces = F.ceil(F.col("_rows") / F.lit(target_rows))
+    spec = per_hour.select("house_id", "_hour", F.greatest(F.lit(1), idiv(F.lit(3600), pieces)).alias("_len"))
+    in_hour = F.col("timestamp").cast("long") - F.col("_hour") * 3600
+    r = base.join(spec, ["house_id", "_hour"]).select(
+        "house_id", "household_id", "id", "timestamp", "v",
+        (F.col("_hour") * 3600 + idiv(in_hour, F.col("_len")) * F.col("_len")).alias("_chunk"))
     part = r.groupBy("house_id", "_chunk").agg(F.sum("v").alias("_cs"), F.count(F.lit(1)).alias("_cc"))
     w_off = Window.partitionBy("house_id").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     off = part.select("house_id", "_chunk", F.coalesce(F.sum("_cs").over(w_off), F.lit(0.0)).alias("_os"),

@@ -17,7 +17,7 @@ TF, P, K = 3600, 21600, 3
 OPS = {
     "state_prediction": lambda m: pr.state_prediction(valid_load(m), HOUSE, TF, P, K, "intended"),
     "plug_state_prediction": lambda m: pr.state_prediction(valid_load(m), PLUG, TF, P, K, "as_run"),
-    "rolling": lambda m: pr.rolling_prediction(load_only(m), narrow=True, chunk_seconds=600),
+    "rolling": lambda m: pr.rolling_prediction(load_only(m), narrow=True, target_rows=3),
     "averages_set": lambda m: avg.averages_set(valid_load(m), HOUSE, TF, P),
     "median_measures": lambda m: med.final_median(valid_load(m), HOUSE, TF, P, "reference", "measures"),
     "sorted": lambda m: med.sorted_measures(valid_load(m), PLUG, TF),

@@ -82,7 +82,7 @@ def test_ranked_exact_with_many_buckets(spark):
 
 def test_rolling_prediction_signs_and_narrowing(spark):
     m = measurement_rows(spark, [(1, O, -4.0, 1, 0, 0, 0), (2, O + 1, 10.0, 1, 0, 0, 0), (3, O + 2, 0.1, 1, 0, 0, 0)])
-    out = {r.id: r.predicted_load for r in pr.rolling_prediction(ms.load_only(m), narrow=False, chunk_seconds=2).collect()}
+    out = {r.id: r.predicted_load for r in pr.rolling_prediction(ms.load_only(m), narrow=False, target_rows=1).collect()}
     # row 1: avg -4, prior sum 0 -> +|-0.04|: (-4 + 0.04) / 2
     assert out[1] == pytest.approx((-4 + 0.04) / 2)
     # row 2: avg 3, prior -4 < 0 -> -0.03
