@@ -105,3 +105,22 @@ def test_shifted_median(spark, values, expected):
 def test_exact_median(spark):
     arr = F.array(*[F.lit(float(v)) for v in [1, 2, 3, 10]])
     assert spark.range(1).select(exact_median(arr).alias("m")).first()["m"] == 2.5
+
+
+def test_encode_parse_roundtrip_special_values(spark):
+    from loadlens.functions import encode_csv
+    from loadlens.functions.parsing import hhp_id
+
+    vals = [0.0001, 1e10, float("nan"), float("inf"), -2.5, 68.451]
+    m = spark.createDataFrame([(i, 1377986401 + i, v, 1, 2, 3, 4) for i, v in enumerate(vals)],
+                              "id int, timestamp int, value float, property int, plug_id int, household_id int, "
+                              "house_id int").withColumn("hhp_id", hhp_id())
+    lines = m.select(encode_csv().alias("value"))
+    back = {r.id: r.value for r in parse_csv(lines).collect()}
+    assert len(back) == len(vals)
+    for i, v in enumerate(vals):
+        want = spark.range(1).select(F.lit(v).cast("float").alias("x")).first().x
+        assert (math.isnan(back[i]) and math.isnan(want)) or back[i] == want
+    # the line pattern has no exponent, sign or letters: those lines do not match
+    matched = {r.id for r in parse_regex(lines).collect()}
+    assert matched == {5}
