@@ -61,13 +61,20 @@ def run_bounded(df: DataFrame, writer, output_mode: str, checkpoint: str,
 
 def materialize(spark: SparkSession, df: DataFrame, output_mode: str = "complete",
                 tag: str = "stream") -> DataFrame:
-    """Run a streaming DataFrame to the end of its input; return the result table."""
+    """Run a streaming DataFrame to the end of its input; return the result table.
+
+    The output is seeded with an empty table of the stream's schema, so an
+    input with no rows gives an empty result instead of a missing path.
+    """
     ship_package(spark)
     out = scratch_path(spark, f"{tag}-out")
     ckpt = scratch_path(spark, f"{tag}-ckpt")
+    empty = spark.createDataFrame([], df.schema)
     if output_mode == "complete":
+        empty.write.mode("overwrite").parquet(out)
         run_bounded(df, overwrite_each_batch(out), "complete", ckpt)
         return spark.read.parquet(out)
+    empty.write.mode("overwrite").parquet(f"{out}/batch_id=-1")
     run_bounded(df, partition_per_batch(out), output_mode, ckpt)
     return spark.read.parquet(out).drop("batch_id")
 

@@ -118,3 +118,14 @@ def test_run_for_a_fixed_time(spark, tmp_path):
                 seconds=8, interval="1 second")
     assert not q.isActive
     assert spark.read.parquet(out).count() == 2
+
+
+def test_empty_stream_gives_empty_result(spark, tmp_path):
+    from loadlens.streaming.sinks import materialize
+
+    src = tmp_path / "in"
+    src.mkdir()
+    out = materialize(spark, word_count_stream(stream_lines(spark, str(src))), "complete", "empty")
+    assert out.count() == 0 and out.columns == ["word", "n"]
+    appended = materialize(spark, stream_lines(spark, str(src)), "append", "empty-append")
+    assert appended.count() == 0 and appended.columns == ["value"]
