@@ -87,3 +87,35 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
     sc.addPyFile(zpath)
     sc._loadlens_shipped = True
+
+
+def cluster_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20,
+                 max_shuffle_partitions: int = 60_000) -> dict[str, str]:
+    """Settings sized for a large run (pass to ``get_spark(extra=...)`` or spark-submit).
+
+    * Scan splits of ``target_partition_bytes`` (``files.maxPartitionBytes``),
+      so one task reads a bounded slice of a file whatever the file size.
+    * Initial shuffle partitions from the input size (at least 2 per core,
+      at most ``max_shuffle_partitions`` so map-output tracking stays cheap);
+      AQE then coalesces toward ``target_partition_bytes`` per reducer.
+    * Skew join: a reducer partition over 4x the target and 5x the median is
+      split and the other side replicated (hot houses on shuffled joins).
+    * Broadcast only under a runtime-measured 64 MB (AQE checks the actual size
+      of the built side before it broadcasts).
+    """
+    shuffle = max(2 * cores, min(max_shuffle_partitions, input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    }

@@ -162,3 +162,14 @@ def test_ranked_spreads_a_hot_group(spark):
     assert sizes.count() >= 30 and sizes.agg(F.max("count")).first()[0] <= 2 * 20000 / 32
     r = ranks.ranked(df, ["g"], "v", buckets=32)
     assert r.agg(F.min("rank"), F.max("rank")).first() == (0, 19999)
+
+
+def test_cluster_conf_sizes_partitions():
+    from loadlens.session import cluster_conf
+
+    big = cluster_conf(100 * 10**12, cores=4000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 60_000
+    assert big["spark.sql.autoBroadcastJoinThreshold"] == "-1"          # no static, size-unchecked broadcast
+    assert int(big["spark.sql.adaptive.autoBroadcastJoinThreshold"]) == 64 << 20
+    small = cluster_conf(10 << 20, cores=8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
