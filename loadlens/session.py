@@ -12,7 +12,7 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app: str = "loadlens", extra: dict | None = None) -> SparkSession:
-    """A session with AQE (coalescing and skew-join splitting) and UTC time.
+    """A session with AQE (coalescing, skew-join splitting, runtime-checked broadcast) and UTC time.
 
     On a cluster pass ``master=None`` and let the launcher decide; size
     ``spark.sql.shuffle.partitions`` to the data (AQE coalesces small ones).
@@ -27,6 +27,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # broadcast only what AQE has measured at runtime, never on file-size estimates
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
