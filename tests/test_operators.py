@@ -173,3 +173,16 @@ def test_cluster_conf_sizes_partitions():
     assert int(big["spark.sql.adaptive.autoBroadcastJoinThreshold"]) == 64 << 20
     small = cluster_conf(10 << 20, cores=8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_sql_views_match_the_dataframe_query(spark):
+    from conftest import SF_SMALL
+    from loadlens.plans.catalog import QUERIES
+    from loadlens.plans.sql import register
+
+    register(spark, SF_SMALL)
+    via_sql = spark.sql("""SELECT house_id, time_slice(timestamp, 3600) AS slice, count(*) AS n,
+                                  round(avg(CAST(value AS DOUBLE)), 6) AS avg_load
+                           FROM valid_measurements GROUP BY 1, 2""")
+    via_df = QUERIES["house_slice_avg"](spark, SF_SMALL)
+    assert via_sql.exceptAll(via_df).count() == 0 and via_df.exceptAll(via_sql).count() == 0
