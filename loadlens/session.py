@@ -66,32 +66,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Make ``loadlens`` importable in Python workers (like ``--py-files``).
-
-    Needed by the operators that run Python on executors (stateful stream
-    processors, ``foreachBatch`` functions).  The zip is built once per
-    SparkContext on the driver and distributed by Spark's file server.
-    """
-    sc = spark.sparkContext
-    if getattr(sc, "_loadlens_shipped", False):
-        return
-    import tempfile
-    import zipfile
-
-    pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    fd, zpath = tempfile.mkstemp(prefix="loadlens-", suffix=".zip")
-    os.close(fd)
-    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
-        for root, _, files in os.walk(pkg_dir):
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(root, f)
-                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
-    sc.addPyFile(zpath)
-    sc._loadlens_shipped = True
-
-
 def cluster_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20,
                  max_shuffle_partitions: int = 60_000) -> dict[str, str]:
     """Settings sized for a large run (pass to ``get_spark(extra=...)`` or spark-submit).
