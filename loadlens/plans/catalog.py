@@ -61,6 +61,10 @@ def _v(spark, d):
     return ms.valid_load(load_candidate_measurements(spark, d))
 
 
+def _loads(spark, d):
+    return ms.load_only(load_candidate_measurements(spark, d, positive=False))
+
+
 def _rows(df: DataFrame) -> DataFrame:
     return finish(df.select(*MEASUREMENT_COLUMNS))
 
@@ -74,7 +78,7 @@ def valid_measurements(spark, d):
 
 @query("load_measurements")
 def load_measurements_q(spark, d):
-    return _rows(ms.load_only(_m(spark, d)))
+    return _rows(_loads(spark, d))
 
 
 @query("household_filter")
@@ -104,7 +108,7 @@ def house_value_pairs(spark, d):
 
 @query("plug_value_pairs")
 def plug_value_pairs(spark, d):
-    return finish(ms.plug_value_pairs(ms.load_only(_m(spark, d))))
+    return finish(ms.plug_value_pairs(_loads(spark, d)))
 
 
 @query("time_slice")
@@ -228,7 +232,7 @@ def tumbling_house_sum(spark, d):
 
 @query("rolling_prediction")
 def rolling_prediction(spark, d):
-    return finish(pr.rolling_prediction(ms.load_only(_m(spark, d)), narrow=False))
+    return finish(pr.rolling_prediction(_loads(spark, d), narrow=False))
 
 
 @query("sliding_event_count")

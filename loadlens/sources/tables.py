@@ -67,16 +67,19 @@ def load_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measurements_from_events(read_table(spark, sf_dir, "events"))
 
 
-def load_candidate_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Measurements that can be valid loads, with the test on raw columns pushed to the scan.
-
-    ``event_type IN (load types)`` and ``value > 0`` on the stored double are
-    implied by the validity rule (the float cast keeps the sign), so they only
-    let Parquet skip row groups and decode less; the exact rule still runs.
+def load_candidate_measurements(spark: SparkSession, sf_dir: str, positive: bool = True) -> DataFrame:
+    """Measurements that can be loads (valid loads when ``positive``), with the test on
+    raw columns pushed to the scan.
+
+    ``event_type IN (load types)`` (and ``value > 0`` on the stored double) are
+    implied by the load / validity rules (the float cast keeps the sign), so
+    they only let Parquet skip row groups and decode less; the exact rule
+    still runs after the mapping.
     """
-    events = read_table(spark, sf_dir, "events").filter(
-        F.col("event_type").isin(*LOAD_EVENT_TYPES) & (F.col("value") > 0))
-    return measurements_from_events(events)
+    cond = F.col("event_type").isin(*LOAD_EVENT_TYPES)
+    if positive:
+        cond = cond & (F.col("value") > 0)
+    return measurements_from_events(read_table(spark, sf_dir, "events").filter(cond))
 
 
 def unit_disc_points(events: DataFrame) -> DataFrame:
