@@ -1,0 +1 @@
+"""Structured Streaming: file-stream sources, foreachBatch sinks, stream forms, stateful prediction."""
