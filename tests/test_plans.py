@@ -53,3 +53,20 @@ def test_no_static_broadcast_on_estimates(spark):
     # the session broadcasts only after AQE measures a side: the initial plan has none
     assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "-1"
     assert "BroadcastExchange" not in plan(spark, "house_error")
+
+
+def test_cluster_conf_applies_to_a_session(spark):
+    from loadlens.session import cluster_conf
+
+    conf = cluster_conf(50 << 20, cores=4)
+    saved = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        assert QUERIES["house_slice_avg"](spark, SF_SMALL).count() > 0
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
