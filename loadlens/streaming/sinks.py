@@ -111,6 +111,13 @@ class ProgressRecorder(StreamingQueryListener):
     def total(self) -> int:
         return sum(r["num_input_rows"] for r in self.rows)
 
+    def to_dataframe(self, spark: SparkSession) -> DataFrame:
+        """The collected progress as a table (one row per micro-batch)."""
+        schema = "batch_id long, num_input_rows long, trigger_ms long, processed_rows_per_second double"
+        return spark.createDataFrame(
+            [(r["batch_id"], r["num_input_rows"], r["trigger_ms"], r["processed_rows_per_second"])
+             for r in self.rows], schema)
+
 
 def batch_progress(query: StreamingQuery) -> list[dict]:
     """Per-batch input counts and durations of a finished query (from its progress log)."""

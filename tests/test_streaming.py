@@ -104,6 +104,8 @@ def test_progress_listener_and_text_sink(spark, tmp_path):
     finally:
         spark.streams.removeListener(rec)
     assert rec.total() == 2 and run_verdict(rec.total()) == "PASSED"
+    table = rec.to_dataframe(spark)
+    assert table.agg(F.sum("num_input_rows")).first()[0] == 2
     assert sorted(r.value for r in spark.read.text(f"{out}/batch_id=0").collect()) == ["x y", "z"]
 
 
