@@ -1,5 +1,6 @@
 """Scalar building blocks (all native Catalyst expressions)."""
 
+from loadlens.functions.output import finish
 from loadlens.functions.parsing import (
     FIELDS,
     LINE_PATTERN,
@@ -25,7 +26,7 @@ from loadlens.functions.timeslice import (
 
 __all__ = [
     "DEFAULT_TF", "FIELDS", "FULL_DAY", "LINE_PATTERN", "ORIGIN_TS", "copysign",
-    "encode_csv", "epoch_seconds", "hhp_id", "idiv", "java_split", "lines_of", "pane",
+    "encode_csv", "epoch_seconds", "finish", "hhp_id", "idiv", "java_split", "lines_of", "pane",
     "parse_csv", "parse_csv_with_rejects", "parse_regex", "regex_split", "shifted_median",
     "shifted_median_ranks", "time_slice", "time_slice_sql_function", "words",
 ]

@@ -3,6 +3,8 @@
 from loadlens.sources.tables import (
     MEASUREMENT_COLUMNS,
     TABLES,
+    balanced,
+    load_candidate_measurements,
     load_measurements,
     measurements_from_events,
     read_table,
@@ -20,7 +22,7 @@ from loadlens.sources.text import (
 )
 
 __all__ = [
-    "MEASUREMENT_COLUMNS", "TABLES", "document_lines", "document_texts", "kafka_lines",
+    "MEASUREMENT_COLUMNS", "TABLES", "balanced", "load_candidate_measurements", "document_lines", "document_texts", "kafka_lines",
     "literal_lines", "load_measurements", "measurements_from_events", "read_table",
     "socket_lines", "table_path", "text_lines", "union_sources", "unit_disc_points",
 ]
