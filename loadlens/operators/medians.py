@@ -111,14 +111,21 @@ def with_median(valid: DataFrame, keys: Sequence[str], tf: int = DEFAULT_TF,
     Returns ``keys, id, timestamp, slice, pane, value, median``.
     """
     p = prepared(valid, keys, tf, pane_seconds, origin)
-    rows = p.select(*keys, "id", "timestamp", "s", "v",
-                    F.explode(F.sequence("p0", F.col("p0") + (panes_per_window - 1))).alias("pane"))
+    panes = F.sequence("p0", F.col("p0") + (panes_per_window - 1))
     if source == "as_run":
-        out = rows.withColumn("median", F.col("v"))
+        out = p.select(*keys, "id", "timestamp", "s", "v", F.explode(panes).alias("pane"),
+                       F.col("v").alias("median"))
     elif source == "intended":
+        # medians for the K panes of each (key, slice, arrival pane), as a K-element array;
+        # raw readings join it once and are expanded after the join, so a shuffled join
+        # moves each reading once, not K times
         hist = median_history(valid, keys, tf, pane_seconds, rule, origin)
-        med = asof_lookup(rows.select(*keys, "s", "pane"), hist, [*keys, "s"], "pane", "fp", ["median"])
-        out = rows.join(med, [*keys, "s", "pane"], "left").withColumn(
+        probes = p.select(*keys, "s", "p0").distinct().select(*keys, "s", "p0", F.explode(panes).alias("pane"))
+        med = asof_lookup(probes.select(*keys, "s", "pane"), hist, [*keys, "s"], "pane", "fp", ["median"])
+        per_start = probes.join(med, [*keys, "s", "pane"], "left").groupBy(*keys, "s", "p0").agg(
+            F.sort_array(F.collect_list(F.struct("pane", "median"))).alias("_meds"))
+        out = p.join(per_start, [*keys, "s", "p0"]).select(
+            *keys, "id", "timestamp", "s", "v", F.inline("_meds")).withColumn(
             "median", F.coalesce(F.col("median"), F.col("v")))
     else:
         raise ValueError(f"median source must be 'intended' or 'as_run', not {source!r}")
