@@ -18,6 +18,7 @@ from loadlens.functions.timeslice import (
     FULL_DAY,
     ORIGIN_TS,
     epoch_seconds,
+    event_time,
     idiv,
     pane,
     time_slice,
@@ -26,7 +27,7 @@ from loadlens.functions.timeslice import (
 
 __all__ = [
     "DEFAULT_TF", "FIELDS", "FULL_DAY", "LINE_PATTERN", "ORIGIN_TS", "copysign",
-    "encode_csv", "epoch_seconds", "finish", "hhp_id", "idiv", "java_split", "lines_of", "pane",
+    "encode_csv", "epoch_seconds", "event_time", "finish", "hhp_id", "idiv", "java_split", "lines_of", "pane",
     "parse_csv", "parse_csv_with_rejects", "parse_regex", "regex_split", "shifted_median",
     "shifted_median_ranks", "time_slice", "time_slice_sql_function", "words",
 ]

@@ -68,6 +68,19 @@ def epoch_seconds(col, dtype: DataType) -> Column:
     return c.cast("long")
 
 
+def event_time(col, dtype: DataType) -> Column:
+    """An instant (TIMESTAMP) for watermarks and windows, independent of the session zone.
+
+    Watermarks need TIMESTAMP; a TIMESTAMP_NTZ wall clock is read as UTC, so
+    window boundaries fall on the same epoch multiples as the pane arithmetic.
+    """
+    c = _c(col)
+    if isinstance(dtype, TimestampNTZType):
+        micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
+        return F.timestamp_micros(micros)
+    return c
+
+
 def time_slice_sql_function(spark, name: str = "time_slice", origin: int = ORIGIN_TS) -> None:
     """Register ``name(ts INT, tf INT) RETURNS INT`` as a session SQL function."""
     spark.sql(

@@ -12,18 +12,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadlens.functions.timeslice import DEFAULT_TF, ORIGIN_TS, epoch_seconds
+from loadlens.functions.timeslice import DEFAULT_TF, ORIGIN_TS, epoch_seconds, event_time
 from loadlens.operators.measures import as_double, prepared, valid_load
 from loadlens.functions.text import words
 
 
 def sliding_event_counts(events: DataFrame, window_seconds: int, slide_seconds: int,
                          watermark: str | None = None) -> DataFrame:
-    """Count per event type in sliding event-time windows."""
-    ev = events.withWatermark("ts", watermark) if watermark else events
-    g = ev.groupBy(F.window("ts", f"{window_seconds} seconds", f"{slide_seconds} seconds").alias("w"),
-                   "event_type").agg(F.count(F.lit(1)).alias("n"))
-    return g
+    """Count per event type in sliding event-time windows (``ts`` may be NTZ)."""
+    ev = events.withColumn("_et", event_time("ts", events.schema["ts"].dataType))
+    if watermark:
+        ev = ev.withWatermark("_et", watermark)
+    return ev.groupBy(F.window("_et", f"{window_seconds} seconds", f"{slide_seconds} seconds").alias("w"),
+                      "event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 def finish_sliding_event_counts(result: DataFrame, slide_seconds: int) -> DataFrame:

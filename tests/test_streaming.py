@@ -131,3 +131,28 @@ def test_empty_stream_gives_empty_result(spark, tmp_path):
     assert out.count() == 0 and out.columns == ["word", "n"]
     appended = materialize(spark, stream_lines(spark, str(src)), "append", "empty-append")
     assert appended.count() == 0 and appended.columns == ["value"]
+
+
+def test_sliding_counts_append_mode_equal_batch(spark, tmp_path):
+    import datetime as dt
+
+    from loadlens.functions.timeslice import epoch_seconds, idiv
+    from loadlens.operators.windows import sliding_counts
+    from loadlens.sources.tables import read_table
+    from loadlens.streaming.queries import finish_sliding_event_counts, sliding_event_counts
+
+    events = read_table(spark, SF_SMALL, "events").select("event_type", "ts")
+    src = tmp_path / "events"
+    events.write.parquet(str(src / "part=1"))
+    last = events.agg(F.max("ts")).first()[0]
+    sentinel = spark.createDataFrame([("sentinel", last + dt.timedelta(days=10))], "event_type string, ts timestamp_ntz")
+    sentinel.write.parquet(str(src / "part=2"))
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(str(src / "*"))
+    out = str(tmp_path / "out")
+    run_bounded(sliding_event_counts(stream, 6000, 600, watermark="0 seconds"), partition_per_batch(out), "append",
+                str(tmp_path / "ckpt"))
+    got = finish_sliding_event_counts(spark.read.parquet(out).drop("batch_id"), 600).filter("event_type != 'sentinel'")
+    secs = epoch_seconds("ts", events.schema["ts"].dataType)
+    want = sliding_counts(events.select("event_type", idiv(secs, 600).alias("_p")), ["event_type"], "_p", 10, 600)
+    assert got.count() == want.count() > 0
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
