@@ -156,3 +156,28 @@ def test_sliding_counts_append_mode_equal_batch(spark, tmp_path):
     want = sliding_counts(events.select("event_type", idiv(secs, 600).alias("_p")), ["event_type"], "_p", 10, 600)
     assert got.count() == want.count() > 0
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_tumbling_sum_append_mode_equal_batch(spark, tmp_path):
+    import datetime as dt
+
+    from loadlens.operators.windows import tumbling_sum
+    from loadlens.sources.tables import measurements_from_events, read_table
+    from loadlens.streaming.queries import finish_tumbling, tumbling_sum_stream
+
+    events = read_table(spark, SF_SMALL, "events")
+    src = tmp_path / "events"
+    events.write.parquet(str(src / "part=1"))
+    last = events.agg(F.max("ts")).first()[0]
+    sentinel = spark.createDataFrame([(10**9, last + dt.timedelta(days=10), 10**6, "view", 1.0, "{}")], events.schema)
+    sentinel.write.parquet(str(src / "part=2"))
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(str(src / "*"))
+    out = str(tmp_path / "out")
+    g = tumbling_sum_stream(measurements_from_events(stream), ["house_id"], 3600, watermark="0 seconds")
+    run_bounded(g, partition_per_batch(out), "append", str(tmp_path / "ckpt"))
+    sentinel_house = 10**6 // 15
+    got = finish(finish_tumbling(spark.read.parquet(out).drop("batch_id"), ["house_id"]).filter(
+        F.col("house_id") != sentinel_house))
+    want = finish(tumbling_sum(measurements_from_events(events), ["house_id"], 3600))
+    assert got.count() == want.count() > 0
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
