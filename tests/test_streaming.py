@@ -181,3 +181,25 @@ def test_tumbling_sum_append_mode_equal_batch(spark, tmp_path):
     want = finish(tumbling_sum(measurements_from_events(events), ["house_id"], 3600))
     assert got.count() == want.count() > 0
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_word_count_update_mode_latest_equals_batch(spark, tmp_path):
+    from pyspark.sql import Window
+
+    from loadlens.operators.text import word_count
+    from loadlens.sources.text import literal_lines
+
+    src = tmp_path / "in"
+    src.mkdir()
+    files = [["To be, or not to be", "that is the question"], ["Whether 'tis nobler", "to suffer; to be"]]
+    for i, lines in enumerate(files):
+        _write_lines(src / f"f{i}.txt", lines)
+    out = str(tmp_path / "out")
+    run_bounded(word_count_stream(stream_lines(spark, str(src), max_files_per_trigger=1)),
+                partition_per_batch(out), "update", str(tmp_path / "ckpt"))
+    upd = spark.read.parquet(out)
+    assert upd.select("batch_id").distinct().count() == 2          # two batches, each with its changed words
+    latest = upd.withColumn("_r", F.row_number().over(Window.partitionBy("word").orderBy(F.desc("batch_id"))))
+    got = {r.word: r.n for r in latest.filter("_r = 1").collect()}
+    want = {r.word: r.n for r in word_count(literal_lines(spark, [s for f in files for s in f]), keep_empty=False).collect()}
+    assert got == want and got["to"] == 4
