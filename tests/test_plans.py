@@ -70,3 +70,13 @@ def test_cluster_conf_applies_to_a_session(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_balanced_only_rebalances_underpartitioned_inputs(spark):
+    from loadlens.sources.tables import balanced
+
+    cores = spark.sparkContext.defaultParallelism
+    one = spark.range(0, 1000, numPartitions=1)
+    assert balanced(one).rdd.getNumPartitions() == cores
+    many = spark.range(0, 1000, numPartitions=cores * 2)
+    assert balanced(many) is many                      # enough partitions: no shuffle added
