@@ -203,3 +203,29 @@ def test_word_count_update_mode_latest_equals_batch(spark, tmp_path):
     got = {r.word: r.n for r in latest.filter("_r = 1").collect()}
     want = {r.word: r.n for r in word_count(literal_lines(spark, [s for f in files for s in f]), keep_empty=False).collect()}
     assert got == want and got["to"] == 4
+
+
+def test_slice_avg_update_mode_latest_equals_batch(spark, tmp_path):
+    from pyspark.sql import Window
+
+    from loadlens.operators.averages import slice_avg
+    from loadlens.operators.measures import valid_load
+    from loadlens.sources.tables import measurements_from_events, read_table
+    from loadlens.streaming.queries import slice_avg_stream
+
+    events = read_table(spark, SF_SMALL, "events")
+    src = tmp_path / "events"
+    ordered = events.orderBy("ts")
+    n = events.count()
+    ordered.limit(n // 2).write.parquet(str(src / "part=1"))
+    ordered.subtract(ordered.limit(n // 2)).write.parquet(str(src / "part=2"))
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(str(src / "*"))
+    out = str(tmp_path / "out")
+    run_bounded(slice_avg_stream(measurements_from_events(stream), ["house_id"], 3600), partition_per_batch(out),
+                "update", str(tmp_path / "ckpt"))
+    upd = spark.read.parquet(out)
+    w = Window.partitionBy("house_id", "slice").orderBy(F.desc("batch_id"))
+    got = finish(upd.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r", "batch_id"))
+    want = finish(slice_avg(valid_load(measurements_from_events(events)), ["house_id"], 3600))
+    assert got.count() == want.count() > 0
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
