@@ -186,3 +186,13 @@ def test_sql_views_match_the_dataframe_query(spark):
                            FROM valid_measurements GROUP BY 1, 2""")
     via_df = QUERIES["house_slice_avg"](spark, SF_SMALL)
     assert via_sql.exceptAll(via_df).count() == 0 and via_df.exceptAll(via_sql).count() == 0
+
+
+def test_exact_median_over_raw_measures(spark):
+    # distinct readings {1, 2, 4, 8} in one slice (8 arrives twice): exact median 3.0, reference rule 6.0
+    rows = [(i, O + i, float(v), 1, 0, 0, 0) for i, v in enumerate([1, 2, 4, 8, 8])]
+    m = measurement_rows(spark, rows)
+    exact = med.final_median(m, HOUSE, 60, 10, "exact", over="measures").collect()
+    assert [(r.n, r.median) for r in exact] == [(4, 3.0)]
+    ref = med.final_median(m, HOUSE, 60, 10, "reference", over="measures").collect()
+    assert [(r.n, r.median) for r in ref] == [(4, 6.0)]
