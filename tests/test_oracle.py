@@ -3,11 +3,11 @@
 import pytest
 
 from conftest import SF_SMALL
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, oracle_sql
+from loadlens.plans.catalog import QUERIES
 from loadlens.plans.verify import compare, duckdb_connection
 
-QUERIES = queries()
-SQL = oracle_sql()
+SQL = {k: v for k, v in oracle_sql().items() if k in QUERIES}
 
 
 @pytest.fixture(scope="module")
