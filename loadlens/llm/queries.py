@@ -135,10 +135,10 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["op10_embedding_dedup"] = r"""
 WITH RECURSIVE usable AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS e,
-         sqrt(list_sum(list_transform(embedding::DOUBLE[], x -> x * x))) AS norm
+         sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x))) AS norm
   FROM embeddings
   WHERE label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
     ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
