@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadlens.llm import bpe, chat, decontaminate, embed_dedup, html_main, line_dedup, pii, simhash, toxicity
+from loadlens.llm import bpe, chat, decontaminate, embed_dedup, html_main, line_dedup, lm_score, pii, simhash, toxicity
 from loadlens.llm.common import train_part
 from loadlens.sources.tables import read_table
 
@@ -68,6 +68,12 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select(F.col("id").alias("doc_id"), "fingerprint", "component_id")
 
 
+@query
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = lm_score.score_texts(read_table(spark, sf_dir, "documents"), modulus=5, held_out=1)
+    return got.withColumnRenamed("id", "doc_id")
+
+
 @query
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")

@@ -222,10 +222,9 @@ class Model:
 
         if self.weights is None:
             return [0.0] * len(texts)
-        tokens = [text_tokens(t) for t in texts]
         out = []
-        for s in range(0, len(texts), 200):
-            part = tokens[s:s + 200]
+        for s in range(0, len(texts), 100):
+            part = [text_tokens(t) for t in texts[s:s + 100]]
             if len(self.cache) > CACHE_TOKENS:
                 self.cache.clear()
             new = list(set().union(*part).difference(self.cache))
@@ -256,7 +255,7 @@ def unit_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def cut(batches):
         import pyarrow as pa
 
-        for b in batches:
+        for b in (b.slice(i, 500) for b in batches for i in range(0, b.num_rows, 500)):
             rows = [(s, y) for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for s in set(sentences(t))]
             cols = list(zip(*rows)) or [(), ()]
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int32())], ["s", "y"])
@@ -291,7 +290,7 @@ def unit_contexts(texts: DataFrame, units: list[str]) -> dict[str, int]:
         import xxhash
 
         wanted = sent.value
-        for b in batches:
+        for b in (b.slice(i, 500) for b in batches for i in range(0, b.num_rows, 500)):
             got = set()
             for n, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 words = ["", *(t or "").lower().split(), ""]
@@ -403,7 +402,9 @@ def score_toxicity(docs: DataFrame, model: Model | None, id_col: str = "doc_id",
     def score(text):
         import pandas as pd
 
-        return pd.Series(sent.value.score(text.tolist()) if sent.value else [0.0] * len(text), dtype=float)
+        got = [x for i in range(0, len(text), 500) for x in sent.value.score(text.iloc[i:i + 500].tolist())] if sent.value \
+            else [0.0] * len(text)
+        return pd.Series(got, dtype=float)
 
     keep = [c for c in docs.columns if c not in ("score", "predicted")]
     out = docs.select(*[docs[f"`{c}`"] for c in keep], score(docs[f"`{text_col}`"].cast("string")).alias("score"))
