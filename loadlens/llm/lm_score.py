@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 from loadlens.llm.common import narrow, stored, train_part
 
 HEAD = 1 << 16
-CHUNK = 100_000  # tokens handled at once
+CHUNK = 400_000  # tokens whose words are told apart at once
+PART = 20_000  # tokens whose class probabilities are computed at once
 BLOCK = 256  # table rows per shuffled block
 
 
@@ -38,7 +39,7 @@ BLOCK = 256  # table rows per shuffled block
 class Shape:
     """Sizes of the model: feature rows (a power of two up to 2**16), first and second classes."""
 
-    rows: int = 1 << 14
+    rows: int = 1 << 13
     first: int = 32
     second: int = 16
 
@@ -212,6 +213,11 @@ def _shapes(shape: Shape):
     return [(shape.rows, s) for s in shape.sizes()] + [(shape.first, shape.second)]
 
 
+def few_tasks(df: DataFrame) -> DataFrame:
+    """``df`` in at most two partitions per core: each task returns tables of a fixed size."""
+    return df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def gather(train: DataFrame, shape: Shape) -> DataFrame:
     """One pass over training texts: token counts ``(h, leaf, n)`` and class counts per feature row ``(block, data)``."""
 
@@ -232,8 +238,8 @@ def gather(train: DataFrame, shape: Shape) -> DataFrame:
                  none.cast(pa.int64()), none.cast(pa.binary())], names)
 
         for b in batches:
-            for s in range(0, b.num_rows, 500):
-                for _, h, c1, c2, h1, h2 in token_chunks(b.column(0).slice(s, 500).to_pylist(), shape):
+            for s in range(0, b.num_rows, 1000):
+                for _, h, c1, c2, h1, h2 in token_chunks(b.column(0).slice(s, 1000).to_pylist(), shape):
                     for i, r in enumerate(feature_rows(h1, h2, c1, shape)):
                         width = tables[i].shape[1]
                         np.add.at(tables[i].reshape(-1), r.astype(np.int64) * width + (c1 if i < 3 else c2), 1)
@@ -249,7 +255,7 @@ def gather(train: DataFrame, shape: Shape) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()),
                                               pa.array([block], pa.int64()), pa.array([data], pa.binary())], names)
 
-    return train.select("text").mapInArrow(run, "h long, leaf int, n long, block long, data binary")
+    return few_tasks(train.select("text")).mapInArrow(run, "h long, leaf int, n long, block long, data binary")
 
 
 def gradient(part: DataFrame, sent, shape: Shape) -> list:
@@ -262,11 +268,11 @@ def gradient(part: DataFrame, sent, shape: Shape) -> list:
         model = sent.value
         tables = [np.zeros(s, np.float32) for s in _shapes(shape)[:6]]
         for b in batches:
-            for s in range(0, b.num_rows, 500):
-                for _, _, c1, c2, h1, h2 in token_chunks(b.column(0).slice(s, 500).to_pylist(), shape):
+            for s in range(0, b.num_rows, 1000):
+                for _, _, c1, c2, h1, h2 in token_chunks(b.column(0).slice(s, 1000).to_pylist(), shape):
                     rows = feature_rows(h1, h2, c1, shape)
-                    for at in range(0, len(c1), CHUNK):  # a very long text in parts
-                        cut = slice(at, at + CHUNK)
+                    for at in range(0, len(c1), PART):
+                        cut = slice(at, at + PART)
                         some = [r[cut] for r in rows]
                         for k, p, c in zip((0, 3), model.probabilities(some, c1[cut]), (c1[cut], c2[cut])):
                             p *= -1
@@ -277,7 +283,7 @@ def gradient(part: DataFrame, sent, shape: Shape) -> list:
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([data], pa.binary())],
                                              ["block", "data"])
 
-    return summed_blocks(part.select("text").mapInArrow(run, "block long, data binary"))
+    return summed_blocks(few_tasks(part.select("text")).mapInArrow(run, "block long, data binary"))
 
 
 def head_counts(vocab: DataFrame):
@@ -332,7 +338,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
         model, size, head, count = sent.value
         uid = TaskContext.get().partitionId() << 33
-        for b in (b.slice(i, 500) for b in batches for i in range(0, b.num_rows, 500)):
+        for b in (b.slice(i, 1000) for b in batches for i in range(0, b.num_rows, 1000)):
             k = b.num_rows
             tokens, known, base, fit = np.zeros(k, np.int64), np.zeros(k, np.int64), np.zeros(k), np.zeros(k)
             rare, times = [[] for _ in range(k)], [[] for _ in range(k)]
@@ -340,8 +346,8 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 tokens += np.bincount(doc, minlength=k)
                 rows = feature_rows(h1, h2, c1, shape)
                 each = -size[c1 * shape.second + c2]
-                for at in range(0, len(c1), CHUNK):
-                    cut = slice(at, at + CHUNK)
+                for at in range(0, len(c1), PART):
+                    cut = slice(at, at + PART)
                     p1, p2 = model.probabilities([r[cut] for r in rows], c1[cut])
                     here = np.arange(len(p1))
                     each[cut] += np.log10(p1[here, c1[cut]].astype(float)) + np.log10(p2[here, c2[cut]].astype(float))
