@@ -57,6 +57,11 @@ def train_part(id_col: Column, modulus: int, held_out: int) -> Column:
     return F.coalesce(rest != F.lit(held_out), F.lit(False))
 
 
+def sized_broadcast(df: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """``df`` (a stored or cheap narrow table) marked for broadcast if it has at most ``most`` rows, else unchanged."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def salted_join(left: DataFrame, right: DataFrame, on: str, spread: Sequence[str], salts: int = 16,
                 how: str = "inner") -> DataFrame:
     """Equi-join in which one key value of ``left`` is spread over ``salts`` tasks.

@@ -26,7 +26,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadlens.llm.common import narrow, stored, train_part
+from loadlens.llm.common import narrow, sized_broadcast, stored, train_part
 
 DECAY = 0.5  # per letter of gap
 SHARE = {3: 0.3, 4: 1.0}  # weight of common subsequences by length
@@ -332,7 +332,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     src = narrow(docs, id_col, text_col).where(train_part(F.col("id"), modulus, held_out))
     y = labels.select(labels[f"`{id_col}`"].cast("long").alias("id"), labels[f"`{label_col}`"].cast("int").alias("y"))
-    y = y.where(F.col("y").isin(0, 1)).distinct()
+    y = sized_broadcast(stored(y.where(F.col("y").isin(0, 1)).distinct(), "labels"))
     counts = stored(unit_counts(src, y), "unit-counts")
     n = counts.agg(F.sum("toxic"), F.sum("clean")).first()
     if not n[0]:
