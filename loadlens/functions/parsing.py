@@ -2,7 +2,7 @@
 
 Wire format: headerless CSV ``id,timestamp,value,property,plug_id,household_id,house_id``.
 Integers must be plain decimal literals (an optional sign, digits only) and
-fit an int; the value is a float (``NaN``/``Infinity`` accepted).  Extra
+fit an int (the id a long); the value is a float (``NaN``/``Infinity`` accepted).  Extra
 fields after the seventh are ignored, fewer than seven make the row bad.
 """
 
@@ -19,6 +19,8 @@ HHP_SEP = ":"
 LINE_PATTERN = r"([0-9]*),([0-9]*),([0-9]*.[0-9]*),([0-9]*),([0-9]*),([0-9]*),([0-9]*)"
 
 _INT_RE = r"^[+-]?[0-9]+$"
+# Fixed value: the float literals a Java parser takes (case matters in NaN and Infinity).
+_FLOAT_RE = r"^\s*[+-]?(NaN|Infinity|([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[fFdD]?)\s*$"
 
 
 def hhp_id(house="house_id", household="household_id", plug="plug_id") -> Column:
@@ -28,15 +30,15 @@ def hhp_id(house="house_id", household="household_id", plug="plug_id") -> Column
 
 def _typed(name: str, raw: Column) -> Column:
     if name in INT_FIELDS:
-        return F.when(raw.rlike(_INT_RE), raw.try_cast("int"))
-    return raw.try_cast("float")
+        return F.when(raw.rlike(_INT_RE), raw.try_cast("long" if name == "id" else "int"))
+    return F.when(raw.rlike(_FLOAT_RE), raw.try_cast("float"))
 
 
 def _field_exprs(parts: Column) -> dict[str, Column]:
     return {name: _typed(name, F.get(parts, i)) for i, name in enumerate(FIELDS)}
 
 
-_ROW_TYPE = ("struct<id:int,timestamp:int,value:float,property:int,plug_id:int,"
+_ROW_TYPE = ("struct<id:bigint,timestamp:int,value:float,property:int,plug_id:int,"
              "household_id:int,house_id:int>")
 
 

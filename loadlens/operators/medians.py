@@ -13,6 +13,7 @@ from loadlens.operators.asof import asof_lookup
 from loadlens.operators.averages import SET_DECIMALS, averages_history, distinct_values
 from loadlens.operators.measures import prepared
 from loadlens.operators.ranks import ranked
+from loadlens.operators.salt import salted_lookup
 
 
 def _rule(arr, rule: str):
@@ -124,7 +125,7 @@ def with_median(valid: DataFrame, keys: Sequence[str], tf: int = DEFAULT_TF,
         med = asof_lookup(probes.select(*keys, "s", "pane"), hist, [*keys, "s"], "pane", "fp", ["median"])
         per_start = probes.join(med, [*keys, "s", "pane"], "left").groupBy(*keys, "s", "p0").agg(
             F.sort_array(F.collect_list(F.struct("pane", "median"))).alias("_meds"))
-        out = p.join(per_start, [*keys, "s", "p0"]).select(
+        out = salted_lookup(p, per_start, [*keys, "s", "p0"], ["timestamp", "id"]).select(
             *keys, "id", "timestamp", "s", "v", F.inline("_meds")).withColumn(
             "median", F.coalesce(F.col("median"), F.col("v")))
     else:

@@ -20,19 +20,24 @@ from loadlens.functions.timeslice import DEFAULT_TF, ORIGIN_TS, idiv, time_slice
 from loadlens.operators.asof import asof_attach
 from loadlens.operators.measures import as_double, prepared
 from loadlens.operators.medians import median_history
+from loadlens.operators.salt import salted_lookup
 
 # Micro-batch length (s) and window length in batches of the reference job.
 DEFAULT_PANE_SECONDS = 10
 DEFAULT_PANES_PER_WINDOW = 3
 
 
+HEAD_UNIT = 2 * 10 ** 19  # over twice the largest id
+
+
 def head_key(ts: str = "timestamp", rid: str = "id"):
-    """(timestamp, id) packed in one long that orders like the pair (ints only)."""
-    return F.col(ts).cast("long") * F.lit(1 << 32) + (F.col(rid).cast("long") + F.lit(1 << 31))
+    """(timestamp, id) packed in one decimal that orders like the pair (id any long)."""
+    wide = F.col(ts).cast("decimal(11,0)") * F.lit(str(HEAD_UNIT)).cast("decimal(20,0)")
+    return (wide + F.col(rid).cast("decimal(19,0)") + F.lit(str(HEAD_UNIT // 2)).cast("decimal(20,0)")).cast("decimal(33,0)")
 
 
 def head_timestamp(key: str):
-    return F.shiftright(F.col(key), 32).cast("int")
+    return F.floor(F.col(key) / F.lit(str(HEAD_UNIT)).cast("decimal(20,0)")).cast("int")
 
 
 def window_partials(valid: DataFrame, keys: Sequence[str], tf: int = DEFAULT_TF,
@@ -43,7 +48,7 @@ def window_partials(valid: DataFrame, keys: Sequence[str], tf: int = DEFAULT_TF,
     and its value ``head_v``.
 
     The head is the earliest reading, ties broken by id; (timestamp, id) is
-    packed into one long so ``min`` / ``min_by`` stay hash aggregates (a
+    packed into one decimal so ``min`` / ``min_by`` stay hash aggregates (a
     struct minimum would force a sort of the raw rows in every map task).
     Ids are unique per reading; for equal (timestamp, id) the value picked is
     unspecified.
@@ -133,7 +138,7 @@ def rolling_prediction(loads: DataFrame, narrow: bool = True, target_rows: int =
     pieces = F.ceil(F.col("_rows") / F.lit(target_rows))
     spec = per_hour.select("house_id", "_hour", F.greatest(F.lit(1), idiv(F.lit(3600), pieces)).alias("_len"))
     in_hour = F.col("timestamp").cast("long") - F.col("_hour") * 3600
-    r = base.join(spec, ["house_id", "_hour"]).select(
+    r = salted_lookup(base, spec, ["house_id", "_hour"], ["timestamp", "id"]).select(
         "house_id", "household_id", "id", "timestamp", "v",
         (F.col("_hour") * 3600 + idiv(in_hour, F.col("_len")) * F.col("_len")).alias("_chunk"))
     part = r.groupBy("house_id", "_chunk").agg(F.sum("v").alias("_cs"), F.count(F.lit(1)).alias("_cc"))

@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loadlens.operators.salt import salted_lookup
+
 DEFAULT_BUCKETS = 64
 
 
@@ -31,7 +33,7 @@ def ranked(df: DataFrame, group: Sequence[str], value: str, buckets: int = DEFAU
         F.percentile_approx(value, probs, accuracy).alias("_splits"),
         F.count(F.lit(1)).alias("n"),
     )
-    with_b = df.join(splits, group).withColumn(
+    with_b = salted_lookup(df, splits, group, [value]).withColumn(
         "_b", F.size(F.filter("_splits", lambda x: x < F.col(value)))
     ).drop("_splits")
     counts = with_b.groupBy(*group, "_b").agg(F.count(F.lit(1)).alias("_cnt"))

@@ -23,8 +23,7 @@ from loadlens.operators import quality as q
 from loadlens.operators import text as tx
 from loadlens.operators import windows as wn
 from loadlens.operators.keys import HOUSE, keys_of
-from loadlens.sources.tables import (MEASUREMENT_COLUMNS, load_candidate_measurements, load_measurements,
-                                     read_table, unit_disc_points)
+from loadlens.sources.tables import (MEASUREMENT_COLUMNS, load_candidate_measurements, load_measurements, read_table)
 from loadlens.session import scratch_path
 from loadlens.sinks.writers import store_table
 from loadlens.sources.text import document_texts, union_sources
@@ -41,6 +40,8 @@ EVENT_SLIDE = 600
 DOCS_PER_PANE = 50
 WORD_PANES = 3
 TUMBLE_SECONDS = 3600
+# Delay of the prediction streams: covers files of the table arriving in any order.
+STREAM_DELAY = "400 days"
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -267,11 +268,6 @@ def sliding_word_count(spark, d):
     return tx.sliding_word_count(document_texts(spark, d), "doc_id", DOCS_PER_PANE, WORD_PANES)
 
 
-@query("unit_disc_share")
-def unit_disc_share(spark, d):
-    return finish(tx.unit_disc_share(unit_disc_points(read_table(spark, d, "events"))))
-
-
 __all__ = ["QUERIES", "finish"]
 
 
@@ -324,14 +320,16 @@ def _stream_prediction(level: str) -> Query:
 
     def run(spark, d):
         from loadlens.streaming.sinks import materialize
-        from loadlens.streaming.sources import stream_measurements
+        from loadlens.streaming.sources import end_of_input, stream_measurements
         from loadlens.streaming.state import prediction_stream
 
-        s = prediction_stream(stream_measurements(spark, d), keys, TF, PANE, K)
-        return finish(materialize(spark, s, "append", f"{level}-prediction"))
+        m = stream_measurements(spark, d)
+        last, end = end_of_input(spark, m)
+        s = prediction_stream(m.unionByName(last), keys, TF, PANE, K, watermark=STREAM_DELAY)
+        return finish(materialize(spark, s, "append", f"{level}-prediction", end))
     return run
 
 
-# emits every window the watermark has closed (the last K panes stay open at end of input)
+# the end-of-input reading closes the last windows, so the result is that of the batch form
 query("stream_house_state_prediction_as_run")(_stream_prediction("house"))
 query("stream_plug_state_prediction_as_run")(_stream_prediction("plug"))

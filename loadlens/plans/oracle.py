@@ -13,7 +13,7 @@ HOUSE = ("house_id",)
 PLUG = ("house_id", "household_id", "plug_id")
 
 M = """m AS (
-  SELECT CAST(event_id AS INTEGER) AS id,
+  SELECT event_id AS id,
          CAST(floor(epoch(ts)) AS INTEGER) AS "timestamp",
          CAST(value AS FLOAT) AS value,
          CASE WHEN event_type IN ('view', 'click', 'purchase') THEN 1 ELSE 0 END AS property,
@@ -235,15 +235,12 @@ def _misc_sql() -> dict[str, str]:
             f"WINDOW w AS (PARTITION BY house_id ORDER BY \"timestamp\", id, v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))\n"
             f"SELECT house_id, household_id, id, \"timestamp\", {r6(ROLLING_PRED)} AS predicted_load FROM s"),
         "sliding_event_count": (
-            f"WITH part AS (SELECT event_type, CAST(floor(epoch(ts)) AS BIGINT) // {EVENT_SLIDE} AS p, count(*) AS c "
-            f"FROM events GROUP BY 1, 2),\nexp AS (SELECT event_type, unnest(generate_series(p, p + {kk - 1})) AS pane, c "
-            f"FROM part)\nSELECT event_type, pane, (pane - {kk - 1}) * {EVENT_SLIDE} AS window_start, "
-            f"(pane + 1) * {EVENT_SLIDE} AS window_end, CAST(sum(c) AS BIGINT) AS n FROM exp GROUP BY event_type, pane"),
-        "unit_disc_share": (
-            "WITH pts AS (SELECT CAST((event_id * 7919) % 10007 AS DOUBLE) / CAST(10007 AS DOUBLE) * 2 - 1 AS x, "
-            "CAST((event_id * 104729) % 10009 AS DOUBLE) / CAST(10009 AS DOUBLE) * 2 - 1 AS y FROM events)\n"
-            "SELECT count(*) AS n_points, CAST(count_if(x * x + y * y < 1) AS BIGINT) AS n_inside, "
-            f"{r6('CAST(4 AS DOUBLE) * count_if(x * x + y * y < 1) / count(*)')} AS estimate FROM pts"),
+            f"WITH r AS (SELECT event_type, CAST(floor(epoch(ts)) AS BIGINT) AS t FROM events),\n"
+            f"panes AS (SELECT unnest(generate_series((SELECT min(t) FROM r) // {EVENT_SLIDE}, "
+            f"(SELECT max(t) FROM r) // {EVENT_SLIDE} + {kk - 1})) AS pane)\n"
+            f"SELECT event_type, pane, (pane - {kk - 1}) * {EVENT_SLIDE} AS window_start, "
+            f"(pane + 1) * {EVENT_SLIDE} AS window_end, count(*) AS n FROM r JOIN panes "
+            f"ON t >= (pane - {kk - 1}) * {EVENT_SLIDE} AND t < (pane + 1) * {EVENT_SLIDE} GROUP BY event_type, pane"),
     }
 
 
@@ -258,7 +255,6 @@ def oracle_queries() -> dict[str, str]:
     out["stream_house_slice_avg"] = out["house_slice_avg"]
     out["stream_tumbling_house_sum"] = out["tumbling_house_sum"]
     out["stream_word_count"] = out["word_count_nonempty"]
-    closed = f"\nSELECT * FROM pred WHERE (pane + 1) * {PANE} <= (SELECT max(\"timestamp\") FROM v)"
-    out["stream_house_state_prediction_as_run"] = state(HOUSE, "as_run") + closed
-    out["stream_plug_state_prediction_as_run"] = state(PLUG, "as_run") + closed
+    out["stream_house_state_prediction_as_run"] = state(HOUSE, "as_run") + "\nSELECT * FROM pred"
+    out["stream_plug_state_prediction_as_run"] = state(PLUG, "as_run") + "\nSELECT * FROM pred"
     return out

@@ -44,14 +44,21 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+def single_machine(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for checkpoints and written intermediates.
 
-    Read from ``spark.checkpoint.dir``; only when it is unset (local tests) a
-    folder under the system temp directory is set for this session.
+    Read from ``spark.checkpoint.dir``; only when it is unset on a single-machine
+    master (tests) a folder under the system temp directory is set for this session.
+    On a cluster an unset folder is an error: no machine-local folder will do.
     """
     d = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not single_machine(spark.sparkContext.master):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         import tempfile
 
         d = os.path.join(tempfile.gettempdir(), f"loadlens-ckpt-{uuid.uuid4().hex[:8]}")

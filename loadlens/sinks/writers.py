@@ -15,7 +15,8 @@ def write_set_table(df: DataFrame, path: str, unique_on: Sequence[str], partitio
     slice (86,400 values at tf = 1).
     """
     cols = [c for c in partition_by if c in df.columns]
-    w = df.select(*unique_on).distinct().write.mode("overwrite")
+    # only the slice sizes written now are replaced, others stay
+    w = df.select(*unique_on).distinct().write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     (w.partitionBy(*cols) if cols else w).parquet(path)
 
 

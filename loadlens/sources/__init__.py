@@ -9,7 +9,6 @@ from loadlens.sources.tables import (
     measurements_from_events,
     read_table,
     table_path,
-    unit_disc_points,
 )
 from loadlens.sources.text import (
     document_lines,
@@ -24,5 +23,5 @@ from loadlens.sources.text import (
 __all__ = [
     "MEASUREMENT_COLUMNS", "TABLES", "balanced", "load_candidate_measurements", "document_lines", "document_texts", "kafka_lines",
     "literal_lines", "load_measurements", "measurements_from_events", "read_table",
-    "socket_lines", "table_path", "text_lines", "union_sources", "unit_disc_points",
+    "socket_lines", "table_path", "text_lines", "union_sources",
 ]

@@ -53,7 +53,7 @@ def measurements_from_events(events: DataFrame) -> DataFrame:
     household = idiv(u % USERS_PER_HOUSE, PLUGS_PER_HOUSEHOLD).cast("int")
     plug = (u % PLUGS_PER_HOUSEHOLD).cast("int")
     return events.select(
-        F.col("event_id").cast("int").alias("id"),
+        F.col("event_id").cast("long").alias("id"),
         epoch_seconds("ts", ts_type).cast("int").alias("timestamp"),
         F.col("value").cast("float").alias("value"),
         F.when(F.col("event_type").isin(*LOAD_EVENT_TYPES), 1).otherwise(0).alias("property"),
@@ -80,11 +80,3 @@ def load_candidate_measurements(spark: SparkSession, sf_dir: str, positive: bool
     if positive:
         cond = cond & (F.col("value") > 0)
     return measurements_from_events(read_table(spark, sf_dir, "events").filter(cond))
-
-
-def unit_disc_points(events: DataFrame) -> DataFrame:
-    """Deterministic points in [-1, 1)^2 from ``event_id`` (FIXTURES.md section 3)."""
-    e = F.col("event_id")
-    x = ((e * 7919) % 10007).cast("double") / F.lit(10007.0) * 2 - 1
-    y = ((e * 104729) % 10009).cast("double") / F.lit(10009.0) * 2 - 1
-    return events.select(x.alias("x"), y.alias("y"))

@@ -60,9 +60,12 @@ def run_bounded(df: DataFrame, writer, output_mode: str, checkpoint: str,
 
 
 def materialize(spark: SparkSession, df: DataFrame, output_mode: str = "complete",
-                tag: str = "stream") -> DataFrame:
+                tag: str = "stream", end=None) -> DataFrame:
     """Run a streaming DataFrame to the end of its input; return the result table.
 
+    ``end`` is called when the input is used up, before the same query runs once more
+    from its checkpoint: it adds what closes the last windows (``sources.end_of_input``).
+
     The output is seeded with an empty table of the stream's schema, so an
     input with no rows gives an empty result instead of a missing path.
     """
@@ -75,6 +78,9 @@ def materialize(spark: SparkSession, df: DataFrame, output_mode: str = "complete
         return spark.read.parquet(out)
     empty.write.mode("overwrite").parquet(f"{out}/batch_id=-1")
     run_bounded(df, partition_per_batch(out), output_mode, ckpt)
+    if end is not None:
+        end()
+        run_bounded(df, partition_per_batch(out), output_mode, ckpt)
     return spark.read.parquet(out).drop("batch_id")
 
 

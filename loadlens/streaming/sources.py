@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
+from loadlens.session import scratch_path
 from loadlens.sources.tables import measurements_from_events, table_path
 
 
+def is_directory(spark: SparkSession, path: str) -> bool:
+    """Whether a path of any file system Spark reads is a directory."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
+
+
 def stream_table(spark: SparkSession, sf_dir: str, name: str,
                  max_files_per_trigger: int | None = None, partitions: int | None = None) -> DataFrame:
     """One driver table as a file stream (schema taken from the batch reader).
@@ -15,16 +24,40 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str,
     feeding many cores need; use it when a trigger brings few large files and
     the per-row work is heavy (text), not when a trigger already has many files.
     """
-    schema = spark.read.parquet(table_path(sf_dir, name)).schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    path = table_path(sf_dir, name)
+    r = spark.readStream.schema(spark.read.parquet(path).schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    df = r.parquet(sf_dir)
+    if is_directory(spark, path):
+        df = r.parquet(path)
+    else:  # a file stream watches directories: a table stored as one file is picked from its folder
+        df = r.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
     return df.repartition(partitions) if partitions else df
 
 
-def stream_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return measurements_from_events(stream_table(spark, sf_dir, "events"))
+def stream_measurements(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    return measurements_from_events(stream_table(spark, sf_dir, "events", max_files_per_trigger))
+
+
+#: A reading at this second, of a house and plug that do not exist, ends the input of a bounded stream.
+END_SECOND = 2_147_000_000
+
+
+def end_of_input(spark: SparkSession, measurements: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
+    """A stream to union with ``measurements`` and a function that ends the input.
+
+    Called once all files are processed, it adds one reading so late that every window of
+    real readings closes in the next run; its own windows stay open, so it never shows in an
+    append-mode result.
+    """
+    folder = scratch_path(spark, "end-of-input")
+    row = spark.createDataFrame([(-1, END_SECOND, 1.0, 1, -1, -1, -1, "-1:-1:-1")],
+                                "id long, timestamp int, value float, property int, plug_id int, "
+                                "household_id int, house_id int, hhp_id string")
+    row = row.select(*measurements.columns)
+    row.limit(0).write.parquet(folder)
+    return (spark.readStream.schema(measurements.schema).parquet(folder),
+            lambda: row.write.mode("append").parquet(folder))
 
 
 def stream_lines(spark: SparkSession, directory: str, max_files_per_trigger: int | None = None) -> DataFrame:

@@ -73,8 +73,12 @@ class RunningPrediction(StatefulProcessor):
 def window_partials_stream(measurements: DataFrame, keys: Sequence[str], tf: int = DEFAULT_TF,
                            pane_seconds: int = DEFAULT_PANE_SECONDS,
                            panes_per_window: int = DEFAULT_PANES_PER_WINDOW,
-                           watermark: str = "0 seconds", origin: int = ORIGIN_TS) -> DataFrame:
-    """Sliding-window partials per key, emitted once per window when it closes."""
+                           *, watermark: str, origin: int = ORIGIN_TS) -> DataFrame:
+    """Sliding-window partials per key, emitted once per window when it closes.
+
+    ``watermark`` is the delay readings may have: later ones are dropped by the engine,
+    so it must cover the disorder of the input.
+    """
     p = prepared(valid_load(measurements), keys, tf, origin=origin).select(
         "*", head_key().alias("_hk"), F.timestamp_seconds("timestamp").alias("_et"))
     size = panes_per_window * pane_seconds
@@ -105,10 +109,11 @@ def require_rocksdb(spark) -> None:
 def prediction_stream(measurements: DataFrame, keys: Sequence[str], tf: int = DEFAULT_TF,
                       pane_seconds: int = DEFAULT_PANE_SECONDS,
                       panes_per_window: int = DEFAULT_PANES_PER_WINDOW,
-                      watermark: str = "0 seconds", origin: int = ORIGIN_TS) -> DataFrame:
+                      *, watermark: str, origin: int = ORIGIN_TS) -> DataFrame:
     """Append-mode stream of predictions; same rows as the batch ``state_prediction``
     (``median_source='as_run'``) for every window that has closed."""
     require_rocksdb(measurements.sparkSession)
-    parts = window_partials_stream(measurements, keys, tf, pane_seconds, panes_per_window, watermark, origin)
+    parts = window_partials_stream(measurements, keys, tf, pane_seconds, panes_per_window, watermark=watermark,
+                                   origin=origin)
     return parts.groupBy(*keys).transformWithStateInPandas(
         RunningPrediction(keys), output_schema(keys), "Append", "None")

@@ -24,7 +24,7 @@ def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     level = sys.argv[2] if len(sys.argv) > 2 else "house"
     spark = get_spark("local[8]", 8)
-    s = prediction_stream(stream_measurements(spark, sf), keys_of(level), 3600, 21600, 3)
+    s = prediction_stream(stream_measurements(spark, sf), keys_of(level), 3600, 21600, 3, watermark="0 seconds")
     t0 = time.time()
     q = run_bounded(s, partition_per_batch(scratch_path(spark, "rate-out")), "append", scratch_path(spark, "rate-ckpt"))
     wall = time.time() - t0
