@@ -31,10 +31,19 @@ from loadlens.llm.common import narrow, stored, train_part
 
 HEAD = 1 << 16
 CHUNK = 400_000  # tokens whose words are told apart at once
-PART = 20_000  # tokens whose class probabilities are computed at once
+PART = 4_000  # tokens whose class probabilities are computed at once, in cache
+LOGIT = 60.0  # largest logit either way
 BLOCK = 256  # table rows per shuffled block
 
 
+class Numbered(dict):
+    """Words numbered as they are first asked for."""
+
+    def __missing__(self, word):
+        self[word] = n = len(self)
+        return n
+
+
 @dataclass(frozen=True)
 class Shape:
     """Sizes of the model: feature rows (a power of two up to 2**16), first and second classes."""
@@ -69,14 +78,14 @@ def token_chunks(texts, shape: Shape):
         return np.repeat(*map(np.array, zip(*owner))), h[t], c1[t], c2[t], h[a[at - 1]], h[a[at - 2]]
 
     start = {b"\t": 0, b"\n": 1}  # no word holds white space: before the text, end of the text
-    ids, owner, words = [], [], dict(start)
+    ids, owner, words = [], [], Numbered(start)
     for i, t in enumerate(texts):
         got = (t or "").encode("utf-8", "surrogatepass").lower().split()
         if ids and len(ids) + len(got) > CHUNK:
             yield close(ids, owner, words)
-            ids, owner, words = [], [], dict(start)
-        ids += [0, 0]
-        ids += [words.setdefault(w, len(words)) for w in got]
+            ids, owner, words = [], [], Numbered(start)
+        ids += (0, 0)
+        ids.extend(map(words.__getitem__, got))
         ids.append(1)
         owner.append((i, len(got) + 1))
     if ids:
@@ -89,7 +98,7 @@ def feature_rows(before, second_before, first, shape: Shape):
 
     def cut(x):
         x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-        return (x >> np.uint64(48)).astype(np.uint16) & np.uint16(shape.rows - 1)
+        return (x >> np.uint64(48)).astype(np.intp) & (shape.rows - 1)
 
     feats = [before, second_before * np.uint64(3) + np.uint64(1),
              before * np.uint64(0xC2B2AE3D27D4EB4F) + second_before * np.uint64(0x165667B19E3779F9)]
@@ -130,31 +139,40 @@ class Weights:
         for i, g in enumerate(gradient):
             self.tables[i] = self.tables[i] + rate * g / (share * self.counts[i] + pull)
 
-    def probabilities(self, rows, first):
-        """Class probabilities ``(tokens x first, tokens x second)``; the second given the token's first class."""
+    def shares(self, rows, first):
+        """Per factor ``(exp of the logits, their sum per token)``; the second given the token's first class.
+
+        Logits are cut at ``LOGIT`` either way, so that no exponential overflows.
+        """
         import numpy as np
 
         out = []
-        for k, base in ((0, self.prior[0]), (3, self.prior[1][first])):
-            x = self.tables[k][rows[k]]
-            x += self.tables[k + 1][rows[k + 1]]
-            x += self.tables[k + 2][rows[k + 2]]
+        for k, base in ((0, self.prior[0]), (3, self.prior[1].take(first, axis=0, mode="clip"))):
+            x = self.tables[k].take(rows[k], axis=0, mode="clip")
+            x += self.tables[k + 1].take(rows[k + 1], axis=0, mode="clip")
+            x += self.tables[k + 2].take(rows[k + 2], axis=0, mode="clip")
             x += base
-            x -= x.max(axis=1, keepdims=True)
+            np.clip(x, -LOGIT, LOGIT, out=x)
             np.exp(x, out=x)
-            x /= x.sum(axis=1, keepdims=True)
-            out.append(x)
+            out.append((x, x @ np.ones(x.shape[1], np.float32)))
         return out
 
+    def probabilities(self, rows, first):
+        """Class probabilities ``(tokens x first, tokens x second)``; the second given the token's first class."""
+        out = self.shares(rows, first)
+        for x, total in out:
+            x /= total[:, None]
+        return [x for x, _ in out]
+
 
-def _sum_rows(table, rows, values):
-    """``table[rows] += values``, rows repeated."""
+def _take_rows(table, rows, values):
+    """``table[rows] -= values``, rows repeated."""
     import numpy as np
 
-    order = np.argsort(rows, kind="stable")
+    order = np.argsort(rows.astype(np.uint16), kind="stable")  # a radix sort: tables have at most 2**16 rows
     r = rows[order]
     cut = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
-    table[r[cut]] += np.add.reduceat(values[order], cut, axis=0)
+    table[r[cut]] -= np.add.reduceat(values.take(order, axis=0), cut, axis=0)
 
 
 def _blocks(tables):
@@ -226,7 +244,7 @@ def gather(train: DataFrame, shape: Shape) -> DataFrame:
         import pyarrow as pa
 
         names = ["h", "leaf", "n", "block", "data"]
-        tables = [np.zeros(s, np.float32) for s in _shapes(shape)]
+        tables = [np.zeros(s, np.int64) for s in _shapes(shape)]
         held, size = [], 0
 
         def words():
@@ -240,11 +258,11 @@ def gather(train: DataFrame, shape: Shape) -> DataFrame:
         for b in batches:
             for s in range(0, b.num_rows, 1000):
                 for _, h, c1, c2, h1, h2 in token_chunks(b.column(0).slice(s, 1000).to_pylist(), shape):
-                    for i, r in enumerate(feature_rows(h1, h2, c1, shape)):
-                        width = tables[i].shape[1]
-                        np.add.at(tables[i].reshape(-1), r.astype(np.int64) * width + (c1 if i < 3 else c2), 1)
-                    np.add.at(tables[6], (c1, c2), 1)
-                    held.append((h, c1 * shape.second + c2))
+                    leaf = c1 * shape.second + c2
+                    for i, r in enumerate([*feature_rows(h1, h2, c1, shape), None]):
+                        cell = leaf if r is None else r * tables[i].shape[1] + (c1 if i < 3 else c2)
+                        tables[i] += np.bincount(cell, minlength=tables[i].size).reshape(tables[i].shape)
+                    held.append((h, leaf))
                     size += len(h)
                     if size >= 1_000_000:
                         yield words()
@@ -275,10 +293,9 @@ def gradient(part: DataFrame, sent, shape: Shape) -> list:
                         cut = slice(at, at + PART)
                         some = [r[cut] for r in rows]
                         for k, p, c in zip((0, 3), model.probabilities(some, c1[cut]), (c1[cut], c2[cut])):
-                            p *= -1
-                            p[np.arange(len(c)), c] += 1
+                            p[np.arange(len(c)), c] -= 1
                             for i in range(k, k + 3):
-                                _sum_rows(tables[i], some[i], p)
+                                _take_rows(tables[i], some[i], p)
         for block, data in _blocks(tables):
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([data], pa.binary())],
                                              ["block", "data"])
@@ -348,9 +365,8 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 each = -size[c1 * shape.second + c2]
                 for at in range(0, len(c1), PART):
                     cut = slice(at, at + PART)
-                    p1, p2 = model.probabilities([r[cut] for r in rows], c1[cut])
-                    here = np.arange(len(p1))
-                    each[cut] += np.log10(p1[here, c1[cut]].astype(float)) + np.log10(p2[here, c2[cut]].astype(float))
+                    for (p, total), c in zip(model.shares([r[cut] for r in rows], c1[cut]), (c1[cut], c2[cut])):
+                        each[cut] += np.log10(p[np.arange(len(c)), c].astype(float) / total)
                 fit += np.bincount(doc, each, minlength=k)
                 h = h.view(np.int64)
                 place = np.minimum(np.searchsorted(head, h), max(0, len(head) - 1))
