@@ -38,8 +38,8 @@ def document_keys(docs: DataFrame, min_chars: int) -> DataFrame:
 
         for b in batches:
             ids, keys = [], []
-            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                got = {line_digest(x, min_chars) for x in (t or "").split("\n")}
+            for i, t in zip(b.column(0).to_pylist(), b.column(1)):  # one text at a time as Python strings
+                got = {line_digest(x, min_chars) for x in (t.as_py() or "").split("\n")}
                 got.discard(None)
                 ids.extend([i] * len(got))
                 keys.extend(got)
