@@ -21,7 +21,8 @@ from loadlens.operators import quality as q
 from loadlens.operators.keys import HOUSE, PLUG
 from loadlens.operators.measures import valid_load
 from loadlens.functions.output import finish
-from loadlens.sinks.writers import write_set_table
+from loadlens.session import scratch_path
+from loadlens.sinks.writers import store_table, write_set_table
 from loadlens.sources.tables import load_measurements
 
 SET_TABLES = ("house_measure", "plug_measure", "house_averages", "plug_averages",
@@ -35,14 +36,16 @@ def run_processor(measurements: DataFrame, out_dir: str, tf: int = 1, pane_secon
     ``median_source='as_run'`` reproduces what the original code computes; use
     ``'intended'`` for the slice-median prediction it was written for.
     """
-    v = valid_load(measurements)
+    spark = measurements.sparkSession
+    # read and checked once; every table and each of its passes starts from this narrow copy
+    v = store_table(valid_load(measurements).select(*PLUG, "id", "timestamp", "value"), scratch_path(spark, "valid"))
     paths = {}
     for level, keys in (("house", HOUSE), ("plug", PLUG)):
         tables = {
             f"{level}_measure": (avg.measure_set(v, keys, tf), "value"),
             f"{level}_averages": (finish(avg.averages_set(v, keys, tf, pane_seconds)), "avg_load"),
-            f"{level}_prediction": (pr.prediction_set(finish(pr.state_prediction(
-                v, keys, tf, pane_seconds, panes_per_window, median_source)), keys, tf), "predicted_load"),
+            f"{level}_prediction": (pr.prediction_set(pr.state_prediction(
+                v, keys, tf, pane_seconds, panes_per_window, median_source), keys, tf), "predicted_load"),
         }
         for name, (df, value_col) in tables.items():
             slice_col = "target_slice" if name.endswith("prediction") else "slice"

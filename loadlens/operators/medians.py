@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadlens.functions.stats import exact_median, shifted_median, shifted_median_ranks
@@ -12,6 +12,7 @@ from loadlens.functions.timeslice import DEFAULT_TF, ORIGIN_TS
 from loadlens.operators.asof import asof_lookup
 from loadlens.operators.averages import SET_DECIMALS, averages_history, distinct_values
 from loadlens.operators.measures import prepared
+from loadlens.operators.orderstat import replayed_medians
 from loadlens.operators.ranks import ranked
 from loadlens.operators.salt import salted_lookup
 
@@ -24,39 +25,18 @@ def _rule(arr, rule: str):
     raise ValueError(f"median rule must be 'reference' or 'exact', not {rule!r}")
 
 
-# Panes per slice above which the history is replayed with a Fenwick tree
-# instead of a running array (whose cost is quadratic in the history length).
-REPLAY_ABOVE_PANES_PER_SLICE = 4
-
-
 def median_history(valid: DataFrame, keys: Sequence[str], tf: int = DEFAULT_TF,
                    pane_seconds: int = 10, rule: str = "reference", origin: int = ORIGIN_TS,
-                   decimals: int = SET_DECIMALS, method: str = "auto") -> DataFrame:
-    """The median of each (key, slice) averages set, as of every pane it changed.
-
-    Returns ``keys, s, fp, n, median``.  ``method='window'`` keeps a running
-    sorted array per (key, slice) (native, quadratic in the history length);
-    ``'replay'`` replays each history through a Fenwick tree (O(m log m),
-    pandas per group, a group being one (key, slice) history, bounded by the
-    panes that touch the slice).  ``'auto'`` replays when a slice spans more
-    than ``REPLAY_ABOVE_PANES_PER_SLICE`` panes, where histories grow long.
+                   decimals: int = SET_DECIMALS) -> DataFrame:
+    """The median of each (key, slice) averages set, as of every pane in which it grew.
+
+    Returns ``keys, s, fp, n, median``, one row per new average.  Each history is replayed
+    in pane order (``orderstat``); it is bounded by the panes that touch the slice, not by
+    the row volume.
     """
-    h = averages_history(valid, keys, tf, pane_seconds, origin, decimals)
-    if method == "auto":
-        method = "replay" if -(-tf // pane_seconds) > REPLAY_ABOVE_PANES_PER_SLICE else "window"
-    if method == "replay":
-        from loadlens.operators.orderstat import median_history_by_replay
-
-        if rule not in ("reference", "exact"):
-            raise ValueError(f"median rule must be 'reference' or 'exact', not {rule!r}")
-        return median_history_by_replay(h, keys, rule)
-    if method != "window":
-        raise ValueError(f"method must be 'auto', 'window' or 'replay', not {method!r}")
-    # same partitioning and order as the history's own window: no new exchange
-    w = Window.partitionBy(*keys, "s").orderBy("fp").rowsBetween(Window.unboundedPreceding, 0)
-    arr = F.array_sort(F.collect_set("avg_load").over(w))
-    return h.select(*keys, "s", "fp", arr.alias("_arr")).select(
-        *keys, "s", "fp", F.size("_arr").cast("long").alias("n"), _rule(F.col("_arr"), rule).alias("median"))
+    if rule not in ("reference", "exact"):
+        raise ValueError(f"median rule must be 'reference' or 'exact', not {rule!r}")
+    return replayed_medians(averages_history(valid, keys, tf, pane_seconds, origin, decimals), keys, rule)
 
 
 def final_median(valid: DataFrame, keys: Sequence[str], tf: int = DEFAULT_TF,

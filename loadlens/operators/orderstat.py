@@ -1,91 +1,92 @@
-"""Order statistics of a growing set, O(m log m) per group (Fenwick tree over ranks).
-
-Used for the averages history when a slice spans many panes: the running
-``collect_set`` window is quadratic in the history length of a (key, slice).
-Here each group's history (bounded by the panes that touch the slice, not by
-the row volume) is replayed in pane order; a Fenwick tree over the ranks of
-the group's distinct averages answers "k-th smallest inserted so far" in
-O(log m).
+"""Order statistics of a growing set: the averages history of each (key, slice), replayed in pane order.
+
+A history is bounded by the panes that touch its slice.  A running ``collect_set`` window would
+hold one array per row, quadratic in the history; here the rows stream through a task sorted by
+(key, slice, pane) and only the current set is held, in sorted blocks.
 """
 
 from __future__ import annotations
 
 import sys
+from bisect import bisect_left, insort
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
 # shipped by value: executors need no installed copy of this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-
-def _targets(n: int, rule: str) -> tuple[int, int]:
-    """0-based positions the rule reads in a sorted set of size n (hi = lo for one element)."""
-    if rule == "exact":
-        return (n - 1) // 2, n // 2
-    if n % 2 == 0:
-        return n // 2, n // 2 + 1
-    return (n + 1) // 2, (n + 1) // 2
-
-
-def replay_medians(fps: np.ndarray, vals: np.ndarray, rule: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For values inserted in ``fps`` order, the set size and median after each new value.
-
-    Returns (fp of each first insertion, set size, median); repeats add nothing.
-    A position the set does not have yet gives 0.0 (reference rule).
-    """
-    order = np.argsort(fps, kind="stable")
-    fps, vals = fps[order], vals[order]
-    _, first = np.unique(vals, return_index=True)
-    keep = np.sort(first)
-    fps, vals = fps[keep], vals[keep]
-    m = len(vals)
-    srt = np.argsort(vals, kind="stable")
-    rank = np.empty(m, dtype=np.int64)
-    rank[srt] = np.arange(m)
-    sorted_vals = vals[srt]
-    tree = np.zeros(m + 1, dtype=np.int64)
-    top = 1 << max(0, m.bit_length() - 1) if m else 0
-
-    def kth(k: int) -> float:
-        pos, rem, step = 0, k + 1, top
-        while step:
-            nxt = pos + step
-            if nxt <= m and tree[nxt] < rem:
-                pos, rem = nxt, rem - tree[nxt]
-            step >>= 1
-        return float(sorted_vals[pos])
-
-    med = np.zeros(m, dtype=np.float64)
-    for i in range(m):
-        j = rank[i] + 1
-        while j <= m:
-            tree[j] += 1
-            j += j & -j
-        n = i + 1
-        lo, hi = _targets(n, rule)
+BLOCK = 1000  # a block of the sorted set is cut in two above twice this size
+
+
+class GrowingSet:
+    """A sorted set of floats: add a value, read the k-th smallest."""
+
+    def __init__(self):
+        self.blocks: list[list[float]] = []
+        self.size = 0
+
+    def add(self, v: float) -> bool:
+        """Whether ``v`` is new."""
+        if not self.blocks:
+            self.blocks.append([])
+        n = min(bisect_left(self.blocks, v, key=lambda b: b[-1] if b else v), len(self.blocks) - 1)
+        block = self.blocks[n]
+        at = bisect_left(block, v)
+        if at < len(block) and block[at] == v:
+            return False
+        insort(block, v)
+        self.size += 1
+        if len(block) > 2 * BLOCK:
+            self.blocks[n:n + 1] = [block[:BLOCK], block[BLOCK:]]
+        return True
+
+    def kth(self, k: int) -> float | None:
+        """The value at 0-based position ``k``; None outside the set."""
+        if not 0 <= k < self.size:
+            return None
+        for block in self.blocks:
+            if k < len(block):
+                return block[k]
+            k -= len(block)
+
+    def median(self, rule: str) -> float:
+        """``exact``, or ``reference``: one position too high, 0.0 where the set has no such position."""
+        n = self.size
         if rule == "exact":
-            med[i] = (kth(lo) + kth(hi)) / 2
+            lo, hi = self.kth((n - 1) // 2), self.kth(n // 2)
         elif n % 2 == 0:
-            med[i] = (kth(lo) + kth(hi)) / 2 if hi < n else 0.0
+            lo, hi = self.kth(n // 2), self.kth(n // 2 + 1)
         else:
-            med[i] = kth(lo) if lo < n else 0.0
-    return fps, np.arange(1, m + 1, dtype=np.int64), med
+            lo = hi = self.kth((n + 1) // 2)
+        return 0.0 if lo is None or hi is None else (lo + hi) / 2
 
 
-def median_history_by_replay(history: DataFrame, keys: Sequence[str], rule: str = "reference") -> DataFrame:
-    """``keys, s, fp, avg_load`` history -> ``keys, s, fp, n, median`` at each new average."""
-    keys = list(keys)
-    schema = ", ".join([f"{k} int" for k in keys] + ["s int", "fp long", "n long", "median double"])
+def replayed_medians(history: DataFrame, keys: Sequence[str], rule: str = "reference") -> DataFrame:
+    """``keys, s, fp, avg_load`` history -> ``keys, s, fp, n, median`` at each new average.
 
-    def per_group(pdf: pd.DataFrame) -> pd.DataFrame:
-        fps, n, med = replay_medians(pdf["fp"].to_numpy(), pdf["avg_load"].to_numpy(), rule)
-        out = pd.DataFrame({k: np.full(len(fps), pdf[k].iloc[0], dtype=np.int32) for k in keys})
-        out["s"] = np.full(len(fps), pdf["s"].iloc[0], dtype=np.int32)
-        out["fp"], out["n"], out["median"] = fps.astype(np.int64), n, med
-        return out
-
-    return history.groupBy(*keys, "s").applyInPandas(per_group, schema)
+    ``history`` comes out of a window partitioned by (key, slice) and ordered by pane, so its
+    rows already lie together and in order: the sort below is dropped from the plan.
+    """
+    group = [*keys, "s"]
+    schema = ", ".join([f"{k} int" for k in group] + ["fp long", "n long", "median double"])
+
+    def run(batches):
+        import pyarrow as pa
+
+        names = [*group, "fp", "n", "median"]
+        types = [*[pa.int32()] * len(group), pa.int64(), pa.int64(), pa.float64()]
+        now, members = None, GrowingSet()
+        for b in batches:
+            out = []
+            for row in zip(*[c.to_pylist() for c in b.columns]):
+                if row[:-2] != now:
+                    now, members = row[:-2], GrowingSet()
+                if members.add(row[-1]):
+                    out.append((*row[:-1], members.size, members.median(rule)))
+            cols = list(zip(*out)) or [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
+
+    ordered = history.select(*group, "fp", "avg_load").sortWithinPartitions(*group, "fp")
+    return ordered.mapInArrow(run, schema)

@@ -24,24 +24,28 @@ from loadlens.operators import text as tx
 from loadlens.operators import windows as wn
 from loadlens.operators.keys import HOUSE, keys_of
 from loadlens.sources.tables import (MEASUREMENT_COLUMNS, load_candidate_measurements, load_measurements, read_table)
-from loadlens.session import scratch_path
-from loadlens.sinks.writers import store_table
 from loadlens.sources.text import document_texts, union_sources
 
 # Test parameters: slice size, pane length, panes per window.
 TF = 3600
 PANE = 21600
+SHORT_PANE = 300  # several panes a slice
 K = 3
 SLICES = (1, 7, 60, 3600)
 # Sliding event count: window length and slide in seconds.
 EVENT_WINDOW = 6000
 EVENT_SLIDE = 600
+WIDE_PANES = 300  # panes per window of the wide form
 # Sliding word count: messages (documents) per pane and panes per window.
 DOCS_PER_PANE = 50
+DOCS_PER_LONG_PANE = 500  # where words are kept at zero
 WORD_PANES = 3
 TUMBLE_SECONDS = 3600
 # Delay of the prediction streams: covers files of the table arriving in any order.
 STREAM_DELAY = "400 days"
+# Domain bounds that cut: largest id, first and last slice.
+CUT_ID = 4
+CUT_SLICES = (6, 17)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -92,6 +96,12 @@ def domain_bounds(spark, d):
     return _rows(ms.domain_bounds(_m(spark, d)))
 
 
+@query("domain_bounds_cut")
+def domain_bounds_cut(spark, d):
+    m = ms.with_slices(_m(spark, d), [TF])
+    return finish(ms.domain_bounds(m, CUT_ID, CUT_SLICES, f"slice_{TF}").select(*MEASUREMENT_COLUMNS, f"slice_{TF}"))
+
+
 @query("plug_measurements")
 def plug_measurements(spark, d):
     return finish(ms.plug_measurements(_v(spark, d)))
@@ -131,6 +141,29 @@ def parse_csv_q(spark, d):
     return _rows(parse_csv(_csv_lines(spark, d)))
 
 
+def _faulty_lines(spark, d) -> DataFrame:
+    """The encoded lines, with a fault in most that goes by the id (4 kinds are bad, 2 are good)."""
+    line, kind = encode_csv(), F.pmod("id", F.lit(8))
+    return _m(spark, d).select(
+        F.when(kind == 1, F.regexp_replace(line, r",[^,]*$", ""))                           # six fields
+        .when(kind == 2, F.regexp_replace(line, r"^([^,]*,[^,]*),[^,]*", "$1,inf"))         # not a float literal
+        .when(kind == 3, F.regexp_replace(line, r"^([^,]*,[^,]*),[^,]*", "$1,+1e1f"))       # one that is
+        .when(kind == 4, F.concat(F.lit("99999999999999999999"), line))                     # id beyond a long
+        .when(kind == 5, F.concat(line, F.lit(",more")))                                    # an eighth field
+        .when(kind == 6, F.regexp_replace(line, r"^([^,]*),", "$1 ,"))                      # blank in an integer
+        .otherwise(line).alias("value"))
+
+
+@query("parse_csv_faulty")
+def parse_csv_faulty(spark, d):
+    return _rows(parse_csv(_faulty_lines(spark, d)))
+
+
+@query("parse_csv_rejects")
+def parse_csv_rejects(spark, d):
+    return parse_csv(_faulty_lines(spark, d), mode="reject")
+
+
 @query("parse_regex")
 def parse_regex_q(spark, d):
     return _rows(parse_regex(_csv_lines(spark, d)))
@@ -145,19 +178,13 @@ def union_sources_q(spark, d):
 
 # ---- aggregates and set tables -------------------------------------------------------
 
-def _pred(spark, d, keys, source: str) -> DataFrame:
-    return pr.state_prediction(_v(spark, d), keys, TF, PANE, K, source)
+def _pred(spark, d, keys, source: str, pane: int = PANE) -> DataFrame:
+    return pr.state_prediction(_v(spark, d), keys, TF, pane, K, source)
 
 
 def _pred_set(spark, d, keys) -> DataFrame:
-    """Stored predictions (intended median), rounded before entering the set.
-
-    Written to the shared folder and read back, as the accuracy report reads
-    the stored set: the evaluation starts from files, not from the chain.
-    """
-    pset = pr.prediction_set(finish(_pred(spark, d, keys, "intended")), keys, TF)
-    level = "house" if len(keys) == 1 else "plug"
-    return store_table(pset, scratch_path(spark, f"{level}-prediction-set"))
+    """The set of predictions (intended median), not rounded.  ``jobs.energy`` stores it."""
+    return pr.prediction_set(_pred(spark, d, keys, "intended"), keys, TF)
 
 
 def _register_level(level: str) -> None:
@@ -179,8 +206,15 @@ def _register_level(level: str) -> None:
             med.with_median(_v(spark, d), keys, TF, PANE, K, "as_run")),
         "state_prediction": lambda spark, d: finish(_pred(spark, d, keys, "intended")),
         "state_prediction_as_run": lambda spark, d: finish(_pred(spark, d, keys, "as_run")),
-        "prediction": lambda spark, d: _pred_set(spark, d, keys),
-        "prediction_min": lambda spark, d: q.prediction_min(_pred_set(spark, d, keys), keys),
+        "with_median_short": lambda spark, d: finish(
+            med.with_median(_v(spark, d), keys, TF, SHORT_PANE, K, "intended")),
+        "state_prediction_short": lambda spark, d: finish(_pred(spark, d, keys, "intended", SHORT_PANE)),
+        "median_measures": lambda spark, d: finish(
+            med.final_median(_v(spark, d), keys, TF, PANE, "reference", "measures")),
+        "measure_card": lambda spark, d: avg.measure_card(_v(spark, d), keys, TF),
+        "measure_sorted": lambda spark, d: finish(med.sorted_measures(_v(spark, d), keys, TF)),
+        "prediction": lambda spark, d: finish(_pred_set(spark, d, keys)),
+        "prediction_min": lambda spark, d: finish(q.prediction_min(_pred_set(spark, d, keys), keys)),
         "error": lambda spark, d: finish(q.prediction_error(
             q.prediction_min(_pred_set(spark, d, keys), keys),
             avg.slice_avg(_v(spark, d), keys, TF), keys, "reference")),
@@ -199,21 +233,6 @@ def house_error_target(spark, d):
     return finish(q.prediction_error(pmin, avg.slice_avg(_v(spark, d), HOUSE, TF), HOUSE, "target"))
 
 
-@query("house_median_measures")
-def house_median_measures(spark, d):
-    return finish(med.final_median(_v(spark, d), HOUSE, TF, PANE, "reference", "measures"))
-
-
-@query("house_measure_card")
-def house_measure_card(spark, d):
-    return avg.measure_card(_v(spark, d), HOUSE, TF)
-
-
-@query("house_measure_sorted")
-def house_measure_sorted(spark, d):
-    return finish(med.sorted_measures(_v(spark, d), HOUSE, TF))
-
-
 # ---- windows and running state -------------------------------------------------------
 
 @query("sliding_panes")
@@ -236,14 +255,27 @@ def rolling_prediction(spark, d):
     return finish(pr.rolling_prediction(_loads(spark, d), narrow=False))
 
 
-@query("sliding_event_count")
-def sliding_event_count(spark, d):
+@query("rolling_prediction_float")
+def rolling_prediction_float(spark, d):
+    return finish(pr.rolling_prediction(_loads(spark, d)))
+
+
+def _event_panes(spark, d) -> DataFrame:
     from loadlens.functions.timeslice import epoch_seconds, idiv
 
     ev = read_table(spark, d, "events")
     secs = epoch_seconds("ts", ev.schema["ts"].dataType)
-    rows = ev.select("event_type", idiv(secs, EVENT_SLIDE).alias("_pane"))
-    return wn.sliding_counts(rows, ["event_type"], "_pane", EVENT_WINDOW // EVENT_SLIDE, EVENT_SLIDE)
+    return ev.select("event_type", idiv(secs, EVENT_SLIDE).alias("_pane"))
+
+
+@query("sliding_event_count")
+def sliding_event_count(spark, d):
+    return wn.sliding_counts(_event_panes(spark, d), ["event_type"], "_pane", EVENT_WINDOW // EVENT_SLIDE, EVENT_SLIDE)
+
+
+@query("sliding_event_count_wide")
+def sliding_event_count_wide(spark, d):
+    return wn.sliding_counts(_event_panes(spark, d), ["event_type"], "_pane", WIDE_PANES, EVENT_SLIDE)
 
 
 # ---- text ---------------------------------------------------------------------------
@@ -268,6 +300,12 @@ def sliding_word_count(spark, d):
     return tx.sliding_word_count(document_texts(spark, d), "doc_id", DOCS_PER_PANE, WORD_PANES)
 
 
+@query("sliding_word_count_zeros")
+def sliding_word_count_zeros(spark, d):
+    return tx.sliding_word_count(document_texts(spark, d), "doc_id", DOCS_PER_LONG_PANE, WORD_PANES,
+                                 keep_zeros=True)
+
+
 __all__ = ["QUERIES", "finish"]
 
 

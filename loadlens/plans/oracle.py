@@ -7,7 +7,8 @@ Tables ``events`` and ``documents`` are views over the driver's parquet.
 
 from __future__ import annotations
 
-from loadlens.plans.catalog import DOCS_PER_PANE, EVENT_SLIDE, EVENT_WINDOW, K, PANE, SLICES, TF, TUMBLE_SECONDS, WORD_PANES
+from loadlens.plans.catalog import (CUT_ID, CUT_SLICES, DOCS_PER_LONG_PANE, DOCS_PER_PANE, EVENT_SLIDE, EVENT_WINDOW, K,
+                                    PANE, SHORT_PANE, SLICES, TF, TUMBLE_SECONDS, WIDE_PANES, WORD_PANES)
 
 HOUSE = ("house_id",)
 PLUG = ("house_id", "household_id", "plug_id")
@@ -52,9 +53,9 @@ def _on(a: str, b: str, cols) -> str:
     return " AND ".join(f"{a}.{c} = {b}.{c}" for c in cols)
 
 
-def prep(keys, base: str = "v") -> str:
+def prep(keys, base: str = "v", pane: int = PANE) -> str:
     return (f"p AS (SELECT {_k(keys)}, id, \"timestamp\", CAST(value AS DOUBLE) AS v, "
-            f"{sl('timestamp', TF)} AS s, CAST(\"timestamp\" AS BIGINT) // {PANE} AS p0 FROM {base})")
+            f"{sl('timestamp', TF)} AS s, CAST(\"timestamp\" AS BIGINT) // {pane} AS p0 FROM {base})")
 
 
 def history(keys) -> str:
@@ -70,18 +71,18 @@ mh AS (SELECT {ks}, s, fp, list_sort(list(avg_load) OVER (PARTITION BY {ks}, s O
 mhm AS (SELECT {ks}, s, fp, {shifted('arr')} AS median FROM mh)"""
 
 
-def base(keys) -> str:
-    return f"WITH {M},\n{V},\n{prep(keys)}{history(keys)}"
+def base(keys, pane: int = PANE) -> str:
+    return f"WITH {M},\n{V},\n{prep(keys, pane=pane)}{history(keys)}"
 
 
-def state(keys, source: str) -> str:
-    """CTE chain ending in ``pred`` (rounded predictions) for one level."""
+def state(keys, source: str, pane: int = PANE) -> str:
+    """CTE chain for one level: ``pred`` (predictions), ``pset`` (their set), ``pmin`` (its minimum), not rounded."""
     ks = _k(keys)
     med = "hv" if source == "as_run" else "coalesce(mhm.median, st.hv)"
     join = "" if source == "as_run" else (
         f"ASOF LEFT JOIN mhm ON {_on('st', 'mhm', keys)} AND st.s = mhm.s AND st.pane >= mhm.fp")
     sel = ", ".join(f"st.{c}" for c in keys)
-    return base(keys) + f""",
+    return base(keys, pane) + f""",
 x AS (SELECT {ks}, id, "timestamp", v, s, unnest(generate_series(p0, p0 + {K - 1})) AS pane FROM p),
 win AS (SELECT {ks}, pane, sum(v) AS wsum, count(*) AS wcnt,
         min(struct_pack(t := "timestamp", i := id, v := v, s := s)) AS head FROM x GROUP BY {ks}, pane),
@@ -89,7 +90,7 @@ st AS (SELECT {ks}, pane, sum(wsum) OVER w AS total, CAST(sum(wcnt) OVER w AS BI
        head.t AS head_timestamp, head.v AS hv, head.s AS s FROM win
        WINDOW w AS (PARTITION BY {ks} ORDER BY pane ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
 sm AS (SELECT {sel}, st.pane, st.head_timestamp, st.n, st.total, st.s, {med} AS med FROM st {join}),
-pred AS (SELECT {ks}, pane, head_timestamp, n, {r6('(total / n + med) / 2')} AS predicted_load,
+pred AS (SELECT {ks}, pane, head_timestamp, n, (total / n + med) / 2 AS predicted_load,
          s + 1 AS target_slice FROM sm),
 pset AS (SELECT DISTINCT {TF} AS tf, target_slice, {ks}, predicted_load FROM pred),
 pmin AS (SELECT target_slice, {ks}, min(predicted_load) AS predicted_load FROM pset GROUP BY target_slice, {ks})"""
@@ -99,12 +100,12 @@ def error(keys, shift: int) -> str:
     ks = _k(keys)
     return state(keys, "intended") + f""",
 a AS (SELECT {ks}, s AS slice, avg(v) AS avg_load FROM p GROUP BY {ks}, s)
-SELECT {", ".join("a." + c for c in keys)}, a.slice, pmin.predicted_load, {r6('a.avg_load')} AS avg_load,
+SELECT {", ".join("a." + c for c in keys)}, a.slice, {r6('pmin.predicted_load')} AS predicted_load, {r6('a.avg_load')} AS avg_load,
        {r6('abs(pmin.predicted_load - a.avg_load)')} AS error
 FROM a JOIN pmin ON {_on('a', 'pmin', keys)} AND pmin.target_slice = a.slice + {shift}"""
 
 
-def with_median(keys, source: str) -> str:
+def with_median(keys, source: str, pane: int = PANE) -> str:
     ks = _k(keys)
     rows = f"""rows AS (SELECT {ks}, id, "timestamp", s, v, unnest(generate_series(p0, p0 + {K - 1})) AS pane FROM p)"""
     if source == "as_run":
@@ -112,7 +113,7 @@ def with_median(keys, source: str) -> str:
 {rows}
 SELECT {ks}, id, "timestamp", s AS slice, pane, {r6('v')} AS value, {r6('v')} AS median FROM rows"""
     sel = ", ".join(f"rows.{c}" for c in keys)
-    return base(keys) + f""",
+    return base(keys, pane) + f""",
 {rows}
 SELECT {sel}, rows.id, rows."timestamp", rows.s AS slice, rows.pane, {r6('rows.v')} AS value,
        {r6('coalesce(mhm.median, rows.v)')} AS median
@@ -150,20 +151,40 @@ def level_sql(keys) -> dict[str, str]:
                               f"FROM (SELECT DISTINCT {ks}, s, avg_load FROM h) GROUP BY {ks}, s",
         f"{lvl}_with_median": with_median(keys, "intended"),
         f"{lvl}_with_median_as_run": with_median(keys, "as_run"),
-        f"{lvl}_state_prediction": state(keys, "intended") + "\nSELECT * EXCLUDE (target_slice), target_slice FROM pred",
-        f"{lvl}_state_prediction_as_run": state(keys, "as_run") + "\nSELECT * FROM pred",
-        f"{lvl}_prediction": state(keys, "intended") + "\nSELECT * FROM pset",
-        f"{lvl}_prediction_min": state(keys, "intended") + "\nSELECT * FROM pmin",
+        f"{lvl}_state_prediction": state(keys, "intended") + f"\n{ROUNDED} FROM pred",
+        f"{lvl}_state_prediction_short": state(keys, "intended", SHORT_PANE) + f"\n{ROUNDED} FROM pred",
+        f"{lvl}_with_median_short": with_median(keys, "intended", SHORT_PANE),
+        f"{lvl}_state_prediction_as_run": state(keys, "as_run") + f"\n{ROUNDED} FROM pred",
+        f"{lvl}_prediction": state(keys, "intended") + f"\n{ROUNDED} FROM pset",
+        f"{lvl}_prediction_min": state(keys, "intended") + f"\n{ROUNDED} FROM pmin",
         f"{lvl}_error": error(keys, 1),
+        f"{lvl}_median_measures": (f"WITH {M},\n{V},\n{prep(keys)},\nf AS (SELECT {ks}, s, list_sort(list(DISTINCT v)) AS arr "
+                                   f"FROM p GROUP BY {ks}, s)\nSELECT {ks}, s AS slice, len(arr) AS n, "
+                                   f"{r6(shifted('arr'))} AS median FROM f"),
+        f"{lvl}_measure_card": (f"WITH {M},\n{V},\n{prep(keys)}\nSELECT {ks}, s AS slice, count(DISTINCT v) AS card "
+                                f"FROM p GROUP BY {ks}, s"),
+        f"{lvl}_measure_sorted": (f"WITH {M},\n{V},\n{prep(keys)}\nSELECT {ks}, s AS slice, "
+                                  f"row_number() OVER (PARTITION BY {ks}, s ORDER BY v) - 1 AS rank, "
+                                  f"{r6('v')} AS value FROM (SELECT DISTINCT {ks}, s, v FROM p)"),
     }
     return out
 
 
+ROUNDED = f"SELECT * REPLACE ({r6('predicted_load')} AS predicted_load)"
+
+
 def _text_sql() -> dict[str, str]:
     wc = (f"WITH t AS (SELECT lower(text) AS s FROM documents),\n"
           f"tok AS (SELECT unnest({java_split_sql('s', chr(92) + 'W+', chr(92) + 'W+')}) AS word FROM t)\n")
-    lines = ("list_transform(string_split(regexp_replace(text, '\\n\\z', ''), chr(10)), "
-             "lambda x: regexp_replace(x, '\\r\\z', ''))")
+    lines = "regexp_split_to_array(regexp_replace(text, '(\\r\\n|\\n|\\r)\\z', ''), '\\r\\n|\\n|\\r')"
+
+    def windows(docs: int) -> str:
+        return (f"WITH tok AS (SELECT doc_id, unnest({java_split_sql('text', ' ', ' +')}) AS word FROM documents),\n"
+                f"panes AS (SELECT unnest(generate_series((SELECT min(doc_id) FROM tok) // {docs}, "
+                f"(SELECT max(doc_id) FROM tok) // {docs} + {WORD_PANES - 1})) AS pane),\n"
+                f"c AS (SELECT word, pane, count(*) AS n FROM tok JOIN panes ON doc_id >= (pane - {WORD_PANES - 1}) * {docs} "
+                f"AND doc_id < (pane + 1) * {docs} GROUP BY word, pane)\n")
+
     return {
         "word_count": wc + "SELECT word, count(*) AS n FROM tok GROUP BY word",
         "word_count_nonempty": wc + "SELECT word, count(*) AS n FROM tok WHERE word <> '' GROUP BY word",
@@ -171,23 +192,46 @@ def _text_sql() -> dict[str, str]:
             f"SELECT CAST(sum(len(list_filter(ls, lambda x: contains(x, 'a')))) AS BIGINT) AS lines_with_a, "
             f"CAST(sum(len(list_filter(ls, lambda x: contains(x, 'b')))) AS BIGINT) AS lines_with_b "
             f"FROM (SELECT {lines} AS ls FROM documents)"),
-        "sliding_word_count": (
-            f"WITH tok AS (SELECT doc_id // {DOCS_PER_PANE} AS p, "
-            f"unnest({java_split_sql('text', ' ', ' +')}) AS word FROM documents),\n"
-            f"part AS (SELECT word, p, count(*) AS c FROM tok GROUP BY word, p),\n"
-            f"exp AS (SELECT word, unnest(generate_series(p, p + {WORD_PANES - 1})) AS pane, c FROM part)\n"
-            f"SELECT word, pane, CAST(sum(c) AS BIGINT) AS n FROM exp GROUP BY word, pane"),
+        "sliding_word_count": windows(DOCS_PER_PANE) + "SELECT word, pane, n FROM c",
+        "sliding_word_count_zeros": windows(DOCS_PER_LONG_PANE) + (
+            f", seen AS (SELECT word, min(doc_id) AS first_doc FROM tok GROUP BY word)\n"
+            f"SELECT seen.word, panes.pane, coalesce(n, 0) AS n FROM seen "
+            f"JOIN panes ON panes.pane >= first_doc // {DOCS_PER_LONG_PANE} "
+            f"LEFT JOIN c ON c.word = seen.word AND c.pane = panes.pane"),
     }
 
 
-# (avg + copySign(avg * 0.01, prior sum)) / 2 over the running sum and count
-ROLLING_PRED = ("(tot / c + CASE WHEN prior < 0 THEN -abs(tot / c * CAST(0.01 AS DOUBLE)) "
-                "ELSE abs(tot / c * CAST(0.01 AS DOUBLE)) END) / 2")
+def rolling(avg: str) -> str:
+    """(avg + copySign(avg * 0.01, prior sum)) / 2 over the running sum and count."""
+    pred = "(a + CASE WHEN prior < 0 THEN -abs(a * CAST(0.01 AS DOUBLE)) ELSE abs(a * CAST(0.01 AS DOUBLE)) END) / 2"
+    return (
+        f"WITH {M},\nr AS (SELECT house_id, household_id, id, \"timestamp\", CAST(value AS DOUBLE) AS v "
+        f"FROM m WHERE property = 1),\n"
+        f"s AS (SELECT *, sum(v) OVER w AS tot, count(*) OVER w AS c, coalesce(sum(v) OVER (PARTITION BY house_id "
+        f"ORDER BY \"timestamp\", id, v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) AS prior FROM r "
+        f"WINDOW w AS (PARTITION BY house_id ORDER BY \"timestamp\", id, v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))\n"
+        f"SELECT house_id, household_id, id, \"timestamp\", {r6(pred)} AS predicted_load FROM (SELECT *, {avg} AS a FROM s)")
+
+
+def event_counts(panes: int) -> str:
+    """Raw events joined to the windows that hold them."""
+    return (
+        f"WITH r AS (SELECT event_type, CAST(floor(epoch(ts)) AS BIGINT) AS t FROM events),\n"
+        f"panes AS (SELECT unnest(generate_series((SELECT min(t) FROM r) // {EVENT_SLIDE}, "
+        f"(SELECT max(t) FROM r) // {EVENT_SLIDE} + {panes - 1})) AS pane)\n"
+        f"SELECT event_type, pane, (pane - {panes - 1}) * {EVENT_SLIDE} AS window_start, "
+        f"(pane + 1) * {EVENT_SLIDE} AS window_end, count(*) AS n FROM r JOIN panes "
+        f"ON t >= (pane - {panes - 1}) * {EVENT_SLIDE} AND t < (pane + 1) * {EVENT_SLIDE} GROUP BY event_type, pane")
+
+
+def faulty(select: str) -> str:
+    """Rows of ``m`` with their wire fields as text and the kind of fault (by id)."""
+    return (f"WITH {M},\nw AS (SELECT *, id % 8 AS kind, concat_ws(',', id, \"timestamp\") AS head, CAST(value AS VARCHAR) AS val, "
+            f"concat_ws(',', property, plug_id, household_id) AS mid, house_id AS tail FROM m)\n{select}")
 
 
 def _misc_sql() -> dict[str, str]:
     hp = prep(HOUSE)
-    kk = EVENT_WINDOW // EVENT_SLIDE
     return {
         "valid_measurements": f"WITH {M},\n{V}\nSELECT {ROW_COLS} FROM v",
         "load_measurements": f"WITH {M}\nSELECT {ROW_COLS} FROM m WHERE property = 1",
@@ -205,42 +249,34 @@ def _misc_sql() -> dict[str, str]:
         "encode_csv": (f"WITH {M}\nSELECT CAST(NULL AS VARCHAR) AS key, concat_ws(',', id, \"timestamp\", "
                        f"CAST(value AS VARCHAR), property, plug_id, household_id, house_id) AS value FROM m"),
         "parse_csv": f"WITH {M}\nSELECT {ROW_COLS} FROM m",
+        "parse_csv_faulty": faulty(
+            f"SELECT {ROW_COLS} FROM (SELECT * REPLACE (CASE WHEN kind = 3 THEN 10 ELSE value END AS value) FROM w "
+            f"WHERE kind IN (0, 3, 5, 7))"),
+        "parse_csv_rejects": faulty(
+            "SELECT CASE kind WHEN 1 THEN concat_ws(',', head, val, mid) WHEN 2 THEN concat_ws(',', head, 'inf', mid, tail) "
+            "WHEN 4 THEN '99999999999999999999' || concat_ws(',', head, val, mid, tail) "
+            "ELSE concat_ws(',', id || ' ', \"timestamp\", val, mid, tail) END AS line FROM w WHERE kind IN (1, 2, 4, 6)"),
+        "domain_bounds_cut": (f"WITH {M}\nSELECT {ROW_COLS}, {sl('timestamp', TF)} AS slice_{TF} FROM m "
+                              f"WHERE house_id <= {CUT_ID} AND household_id <= {CUT_ID} AND plug_id <= {CUT_ID} "
+                              f"AND {sl('timestamp', TF)} BETWEEN {CUT_SLICES[0]} AND {CUT_SLICES[1]}"),
         "parse_regex": f"WITH {M}\nSELECT {ROW_COLS} FROM m",
         "union_sources": f"WITH {M}\nSELECT {ROW_COLS} FROM m UNION ALL SELECT {ROW_COLS} FROM m",
         "house_error_target": error(HOUSE, 0),
-        "house_median_measures": (f"WITH {M},\n{V},\n{hp},\nf AS (SELECT house_id, s, list_sort(list(DISTINCT v)) AS arr "
-                                  f"FROM p GROUP BY house_id, s)\nSELECT house_id, s AS slice, len(arr) AS n, "
-                                  f"{r6(shifted('arr'))} AS median FROM f"),
-        "house_measure_card": (f"WITH {M},\n{V},\n{hp}\nSELECT house_id, s AS slice, count(DISTINCT v) AS card "
-                               f"FROM p GROUP BY house_id, s"),
-        "house_measure_sorted": (f"WITH {M},\n{V},\n{hp}\nSELECT house_id, s AS slice, "
-                                 f"row_number() OVER (PARTITION BY house_id, s ORDER BY v) - 1 AS rank, "
-                                 f"{r6('v')} AS value FROM (SELECT DISTINCT house_id, s, v FROM p)"),
-        "sliding_panes": (f"WITH {M},\n{V},\n{hp},\npart AS (SELECT house_id, p0, sum(v) AS ps, count(*) AS pc "
-                          f"FROM p GROUP BY house_id, p0),\n"
-                          f"exp AS (SELECT house_id, unnest(generate_series(p0, p0 + {K - 1})) AS pane, ps, pc FROM part)\n"
+        "sliding_panes": (f"WITH {M},\n{V},\n{hp},\npanes AS (SELECT unnest(generate_series((SELECT min(p0) FROM p), "
+                          f"(SELECT max(p0) FROM p) + {K - 1})) AS pane)\n"
                           f"SELECT house_id, pane, (pane - {K - 1}) * {PANE} AS window_start, (pane + 1) * {PANE} AS window_end, "
-                          f"CAST(sum(pc) AS BIGINT) AS n, {r6('sum(ps)')} AS sum_load FROM exp GROUP BY house_id, pane"),
+                          f"count(*) AS n, {r6('sum(v)')} AS sum_load FROM p JOIN panes ON \"timestamp\" >= (pane - {K - 1}) * {PANE} "
+                          f"AND \"timestamp\" < (pane + 1) * {PANE} GROUP BY house_id, pane"),
         "batch_counts": (f"WITH {M},\nc AS (SELECT CAST(\"timestamp\" AS BIGINT) // {PANE} AS pane, count(*) AS n "
                          f"FROM m GROUP BY 1)\nSELECT pane, n, CAST(sum(n) OVER (ORDER BY pane ROWS BETWEEN "
                          f"UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_total FROM c"),
         "tumbling_house_sum": (f"WITH {M}\nSELECT house_id, CAST(\"timestamp\" AS BIGINT) // {TUMBLE_SECONDS} * "
                                f"{TUMBLE_SECONDS} AS window_start, count(*) AS n, "
                                f"{r6('sum(CAST(value AS DOUBLE))')} AS sum_value FROM m GROUP BY 1, 2"),
-        "rolling_prediction": (
-            f"WITH {M},\nr AS (SELECT house_id, household_id, id, \"timestamp\", CAST(value AS DOUBLE) AS v "
-            f"FROM m WHERE property = 1),\n"
-            f"s AS (SELECT *, sum(v) OVER w AS tot, count(*) OVER w AS c, coalesce(sum(v) OVER (PARTITION BY house_id "
-            f"ORDER BY \"timestamp\", id, v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) AS prior FROM r "
-            f"WINDOW w AS (PARTITION BY house_id ORDER BY \"timestamp\", id, v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))\n"
-            f"SELECT house_id, household_id, id, \"timestamp\", {r6(ROLLING_PRED)} AS predicted_load FROM s"),
-        "sliding_event_count": (
-            f"WITH r AS (SELECT event_type, CAST(floor(epoch(ts)) AS BIGINT) AS t FROM events),\n"
-            f"panes AS (SELECT unnest(generate_series((SELECT min(t) FROM r) // {EVENT_SLIDE}, "
-            f"(SELECT max(t) FROM r) // {EVENT_SLIDE} + {kk - 1})) AS pane)\n"
-            f"SELECT event_type, pane, (pane - {kk - 1}) * {EVENT_SLIDE} AS window_start, "
-            f"(pane + 1) * {EVENT_SLIDE} AS window_end, count(*) AS n FROM r JOIN panes "
-            f"ON t >= (pane - {kk - 1}) * {EVENT_SLIDE} AND t < (pane + 1) * {EVENT_SLIDE} GROUP BY event_type, pane"),
+        "rolling_prediction": rolling("tot / c"),
+        "rolling_prediction_float": rolling("CAST(CAST(tot / c AS FLOAT) AS DOUBLE)"),
+        "sliding_event_count": event_counts(EVENT_WINDOW // EVENT_SLIDE),
+        "sliding_event_count_wide": event_counts(WIDE_PANES),
     }
 
 
@@ -255,6 +291,6 @@ def oracle_queries() -> dict[str, str]:
     out["stream_house_slice_avg"] = out["house_slice_avg"]
     out["stream_tumbling_house_sum"] = out["tumbling_house_sum"]
     out["stream_word_count"] = out["word_count_nonempty"]
-    out["stream_house_state_prediction_as_run"] = state(HOUSE, "as_run") + "\nSELECT * FROM pred"
-    out["stream_plug_state_prediction_as_run"] = state(PLUG, "as_run") + "\nSELECT * FROM pred"
+    out["stream_house_state_prediction_as_run"] = state(HOUSE, "as_run") + f"\n{ROUNDED} FROM pred"
+    out["stream_plug_state_prediction_as_run"] = state(PLUG, "as_run") + f"\n{ROUNDED} FROM pred"
     return out

@@ -18,8 +18,8 @@ def test_processor_then_quality(spark, tmp_path):
     assert set(paths) == set(SET_TABLES)
     stored = spark.read.parquet(paths["house_prediction"])
     assert "tf" in stored.columns and stored.select("tf").distinct().collect()[0].tf == 3600
-    want = prediction_set(finish(state_prediction(valid_load(m), HOUSE, 3600, 21600, 3, "intended")), HOUSE, 3600)
-    got = stored.select(*want.columns)
+    want = finish(prediction_set(state_prediction(valid_load(m), HOUSE, 3600, 21600, 3, "intended"), HOUSE, 3600))
+    got = finish(stored.select(*want.columns))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     errors = run_quality(spark, m, out, tf=3600)
     h = errors["house_error"]
