@@ -71,7 +71,12 @@ def averages_history(valid: DataFrame, keys: Sequence[str], tf: int = DEFAULT_TF
     the row volume.
     """
     p = prepared(valid, keys, tf, pane_seconds, origin)
-    first = p.groupBy(*keys, "s", "v").agg(F.min("p0").alias("fp"))
+    return history_of(p, keys, decimals)
+
+
+def history_of(arrivals: DataFrame, keys: Sequence[str], decimals: int = SET_DECIMALS) -> DataFrame:
+    """``averages_history`` from rows ``keys, s, v, p0``; repeated rows change nothing."""
+    first = arrivals.groupBy(*keys, "s", "v").agg(F.min("p0").alias("fp"))
     per_pane = first.groupBy(*keys, "s", "fp").agg(F.sum("v").alias("_ds"), F.count(F.lit(1)).alias("_dc"))
     w = Window.partitionBy(*keys, "s").orderBy("fp").rowsBetween(Window.unboundedPreceding, 0)
     avg = F.sum("_ds").over(w) / F.sum("_dc").over(w)

@@ -24,6 +24,7 @@ from loadlens.operators import text as tx
 from loadlens.operators import windows as wn
 from loadlens.operators.keys import HOUSE, keys_of
 from loadlens.sources.tables import (MEASUREMENT_COLUMNS, load_candidate_measurements, load_measurements, read_table)
+from loadlens.session import scratch_path
 from loadlens.sources.text import document_texts, union_sources
 
 # Test parameters: slice size, pane length, panes per window.
@@ -368,6 +369,24 @@ def _stream_prediction(level: str) -> Query:
     return run
 
 
+def _stream_set(level: str, table: str) -> Query:
+    keys = keys_of(level)
+
+    def run(spark, d):
+        from loadlens.streaming import sets
+        from loadlens.streaming.sources import stream_measurements
+
+        rows = sets.arrivals(stream_measurements(spark, d), TF, PANE)
+        got = sets.insert_available(rows, scratch_path(spark, "arrivals"), scratch_path(spark, "arrivals-ckpt"))
+        return finish(getattr(sets, f"{table}_set_of")(got, keys, TF))
+    return run
+
+
+for _level in ("house", "plug"):
+    query(f"stream_{_level}_measure")(_stream_set(_level, "measure"))
+    query(f"stream_{_level}_averages")(_stream_set(_level, "averages"))
+
+
 # the end-of-input reading closes the last windows, so the result is that of the batch form
 query("stream_house_state_prediction_as_run")(_stream_prediction("house"))
 query("stream_plug_state_prediction_as_run")(_stream_prediction("plug"))

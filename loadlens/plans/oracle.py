@@ -290,6 +290,8 @@ def oracle_queries() -> dict[str, str]:
     out["stream_sliding_event_count"] = out["sliding_event_count"]
     out["stream_house_slice_avg"] = out["house_slice_avg"]
     out["stream_tumbling_house_sum"] = out["tumbling_house_sum"]
+    for name in ("house_measure", "plug_measure", "house_averages", "plug_averages"):
+        out[f"stream_{name}"] = out[name]
     out["stream_word_count"] = out["word_count_nonempty"]
     out["stream_house_state_prediction_as_run"] = state(HOUSE, "as_run") + f"\n{ROUNDED} FROM pred"
     out["stream_plug_state_prediction_as_run"] = state(PLUG, "as_run") + f"\n{ROUNDED} FROM pred"
