@@ -48,7 +48,7 @@ class Numbered(dict):
 class Shape:
     """Sizes of the model: feature rows (a power of two up to 2**16), first and second classes."""
 
-    rows: int = 1 << 13
+    rows: int = 1 << 14
     first: int = 32
     second: int = 16
 

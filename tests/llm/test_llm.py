@@ -238,6 +238,10 @@ def test_lm_probabilities_add_up():
     assert np.allclose(p1.sum(axis=1), 1, atol=1e-5) and np.allclose(p2.sum(axis=1), 1, atol=1e-5)
 
 
+def test_lm_tables_have_at_least_16384_rows():
+    assert lm_score.Shape().rows >= 1 << 14
+
+
 # chat formatting
 
 def test_chat_examples(spark):
