@@ -9,8 +9,8 @@ counts, one unseen token included, so probabilities add up to 1.
 
 Training reads all training rows: one pass gathers token counts and, per hashed feature, class
 counts, from which the weights start; then ``rounds`` gradient updates, each over another
-share of the training rows, sum empirical minus expected counts on the executors and update the
-tables.  Tables have a fixed size (``Shape``); only they travel through the driver.  Texts are
+share of the training rows and together over all of them, sum empirical minus expected counts on the
+executors and update the tables.  Tables have a fixed size (``Shape``); only they travel through the driver.  Texts are
 scored in sparse numpy batches that gather only the rows of the features present.  Counts of
 frequent tokens are broadcast (at most ``HEAD`` of them), the others are joined per distinct
 token of a text.
@@ -323,14 +323,17 @@ def head_counts(vocab: DataFrame):
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", modulus: int = 5, held_out: int = 1,
-                shape: Shape = Shape(), rounds: int = 2, share: int = 4) -> DataFrame:
+                shape: Shape = Shape(), rounds: int = 4, share: int = 4) -> DataFrame:
     """``(id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` per row.
 
     The model learns from rows whose crc32 of the id leaves another remainder than ``held_out``;
-    each of the ``rounds`` updates takes another ``1 / share`` of them.
+    each of the ``rounds`` updates takes another ``1 / share`` of them, so fewer rounds than shares would
+    leave rows out and are refused.
     """
     import numpy as np
 
+    if rounds < share:
+        raise ValueError(f"{rounds} rounds leave out {share - rounds} of {share} shares of the training rows")
     spark = docs.sparkSession
     src = narrow(docs, id_col, text_col).withColumn("train", train_part(F.col("id"), modulus, held_out))
     train = src.where("train")

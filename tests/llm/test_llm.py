@@ -242,6 +242,22 @@ def test_lm_tables_have_at_least_16384_rows():
     assert lm_score.Shape().rows >= 1 << 14
 
 
+def test_lm_rounds_cover_every_training_row(docs, monkeypatch):
+    seen = []
+    real = lm_score.gradient
+
+    def spied(part, sent, shape):
+        seen.extend(r.id for r in part.select("id").collect())
+        return real(part, sent, shape)
+
+    monkeypatch.setattr(lm_score, "gradient", spied)
+    lm_score.score_texts(docs, shape=lm_score.Shape(rows=256))
+    ids = {r.doc_id for r in docs.select("doc_id").collect()}
+    assert set(seen) == {i for i in ids if zlib.crc32(str(i).encode()) % 5 != 1}
+    with pytest.raises(ValueError):
+        lm_score.score_texts(docs, rounds=2, share=4)
+
+
 # chat formatting
 
 def test_chat_examples(spark):
