@@ -36,8 +36,8 @@ KINDS = {
     "email": r"(?<![\w.+%-])[^\W_][\w.+%-]{0,63}@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}\.)+[A-Za-z]{2,24}(?![\w-])",
     "access_key": r"(?<!\w)(?:AKIA|ASIA)[A-Z0-9]{16}(?!\w)",
     "secret": r"(?i:(?<!\w)(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key))\s{0,3}[=:]\s{0,3}"
-              r"[\"']?(?P<secret_v>(?=[^\s\"']{0,200}\d)[^\s\"']{5,199}[^\s\"'.,;:!?)])",
-    "hex_key": r"(?<!\w)[0-9a-fA-F]{32,512}(?!\w)",
+              r"[\"']?(?P<secret_v>[^\s\"']{5,}[^\s\"'.,;:!?)])",
+    "hex_key": r"(?<!\w)[0-9a-fA-F]{32,}+(?!\w)",
     "mac": r"(?<![\w:])(?:[0-9A-Fa-f]{2}:){5}[0-9A-Fa-f]{2}(?![\w:])",
     "ipv4": rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\w|\.\d)",
     "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
@@ -54,8 +54,11 @@ _GENDER = {t: g for g, ts in TITLES.items() for t in ts}
 _CAP = r"[A-ZÀ-ÖØ-ÞА-ЯЁ][^\W\d_]+(?:[-'’][^\W\d_]+)*"
 NAME = re.compile(rf"(?<![\w-])(?P<t>{'|'.join(sorted(_GENDER, key=len, reverse=True))})\.? (?P<n>{_CAP}(?: {_CAP}){{0,2}})")
 FOUND = re.compile("|".join(f"(?P<{k}>{p})" for k, p in KINDS.items()))
+UNASSIGNED = re.compile("|".join(f"(?P<{k}>{p})" for k, p in KINDS.items() if k != "secret"))
+VALUE = re.compile(r"[^\s\"']*")
+SPACE = re.compile(r"\s")
 HINT = re.compile(r"[0-9@]+|A[KS]IA")  # every kind but names has one of these
-REACH = 260  # characters of a mention before its first and after its last hint, at most
+REACH = 260  # characters of a mention before the word of its first hint and after its last hint, at most
 TITLED = re.compile(rf"(?:{'|'.join(_GENDER)})\.? {_CAP[:_CAP.index(']') + 1]}")
 HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 # Syllables of invented names by script, and endings by gender.
@@ -114,32 +117,50 @@ def names_in(text: str) -> dict[str, str]:
 
 
 def _near_hints(text: str):
-    """Stretches of the text around its hints; a stretch ends at white space or the text's end."""
+    """Stretches of the text around its hints, in order and apart; none begins or ends inside a hint's word."""
     a = b = None
     for m in HINT.finditer(text):
-        if b is not None and m.start() - REACH <= b:
-            b = max(b, m.end() + REACH)
-            continue
-        if b is not None:
-            yield a, _token_end(text, b)
-        a, b = max(0, m.start() - REACH), m.end() + REACH
+        if b is None or m.start() - REACH > b:
+            start = max(b or 0, _word_start(text, m.start(), b or 0) - REACH)
+            if b is None or start > b:
+                if b is not None:
+                    yield a, b
+                a = start
+        if b is None or m.end() + REACH > b:
+            b = _word_end(text, m.end() + REACH)
     if b is not None:
-        yield a, _token_end(text, b)
+        yield a, b
 
 
-def _token_end(text: str, at: int) -> int:
-    while at < len(text) and not text[at].isspace():
-        at += 1
+def _word_start(text: str, at: int, low: int) -> int:
+    while at > low and not text[at - 1].isspace():
+        at -= 1
     return at
 
 
+def _word_end(text: str, at: int) -> int:
+    m = SPACE.search(text, min(at, len(text)))
+    return m.start() if m else len(text)
+
+
+def _found(text: str, start: int, stop: int):
+    """Matches of the kinds in ``text[start:stop]``; an assigned value without a digit is no secret, but may hold other kinds."""
+    while m := FOUND.search(text, start, stop):
+        start = m.end()
+        if m["secret"] is None or any(map(str.isdecimal, m["secret_v"])):
+            yield m
+            continue
+        start = VALUE.match(text, m.start("secret_v"), stop).end()
+        yield from UNASSIGNED.finditer(text, m.start("secret_v"), start)
+
+
 def mentions(text: str | None) -> list[tuple[int, int, str, str]]:
     """``(start, end, kind, value)`` of every mention, in order, without overlaps."""
     if not text:
         return []
     found, end = [], 0
     for start, stop in _near_hints(text):
-        for m in FOUND.finditer(text, max(start, end), stop):
+        for m in _found(text, max(start, end), stop):
             end = m.end()
             kind = m.lastgroup if m.lastgroup != "secret_v" else "secret"
             a, b = m.span("secret_v") if kind == "secret" else m.span()

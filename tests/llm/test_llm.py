@@ -308,6 +308,19 @@ def test_pii_surrogates(spark, odd, empty):
     assert pii.surrogate_pii(odd, b"k").count() == len(ODD) and pii.surrogate_pii(empty, b"k").count() == 0
 
 
+def test_pii_secrets_are_swapped_to_their_end():
+    long, late, key = "eyJ" + "aB3" * 200, "qwertzuiop" * 60 + "7xy", "0123456789abcdef" * 64
+    for text, value in ((f"a token: {long} end", long), (f'token = "{long}"', long), (f"token={late}.", late),
+                        (f"key {key} end", key), (f"x {'w ' * 900}secret={late} {'w ' * 900}", late)):
+        new, n = pii.rewrite(text, b"k", {})
+        at = text.index(value)
+        assert n == 1 and len(new) == len(text) and new[:at] == text[:at] and new[at + len(value):] == text[at + len(value):]
+        swapped = new[at:at + len(value)]
+        assert all(swapped[i:i + 30] not in text for i in range(0, len(value) - 30, 30))
+    assert [m[2] for m in pii.mentions("token:first.last@x.org 1")] == ["email"]
+    assert pii.mentions("password: required. 1 " + "token=" * 50_000 + " 1") == []
+
+
 def test_pii_surrogates_stay_distinct(spark):
     """A one-letter local part has 26 surrogates: values that collide draw again until all differ."""
     values = [(f"{c}@x.org",) for c in "abcdefghijklmnopqrst"]
