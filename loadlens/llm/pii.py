@@ -2,7 +2,8 @@
 
 Detected: e-mail addresses, phone numbers, payment cards, IPv4 and MAC addresses, IBANs, US social
 security numbers, cloud access keys, values of password / token / key assignments, long hex keys, and
-names after a title (and the same names elsewhere in that text).  A mention's canonical value (case
+names in any script after a title, in mail headers, after a letter's closing, or of two or more words led by a
+common given name (and the same names elsewhere in that text).  A mention's canonical value (case
 and separators removed) is replaced by a surrogate drawn from an HMAC of a secret key, the kind
 and the value, so one value has one surrogate in every document (coreference).  The surrogate keeps
 the kind's rules: digits stay digits and letters letters, cards keep brand and check digit, IBANs
@@ -24,6 +25,9 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import sys
+import unicodedata
+from functools import lru_cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,23 +51,63 @@ KINDS = {
              r"\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4})(?!\w)",
 }
 # Titles by gender.
-TITLES = {"m": "Mr Herr Señor Monsieur господин г-н".split(),
-          "f": "Mrs Ms Miss Frau Señora Señorita Madame Mme Mademoiselle госпожа г-жа".split(),
+TITLES = {"m": "Mr Herr Señor Monsieur господин г-н пан Κύριος κύριος κύριο κ السيد מר श्री".split(),
+          "f": "Mrs Ms Miss Frau Señora Señorita Madame Mme Mademoiselle госпожа г-жа пані Κυρία κυρία السيدة גברת श्रीमती".split(),
           "x": "Dr Prof Professor".split()}
 _GENDER = {t: g for g, ts in TITLES.items() for t in ts}
-_CAP = r"[A-ZÀ-ÖØ-ÞА-ЯЁ][^\W\d_]+(?:[-'’][^\W\d_]+)*"
-NAME = re.compile(rf"(?<![\w-])(?P<t>{'|'.join(sorted(_GENDER, key=len, reverse=True))})\.? (?P<n>{_CAP}(?: {_CAP}){{0,2}})")
+
+
+def _letters():
+    """Regex ranges of letters and of the marks written with them, which ``\\w`` leaves out."""
+    out, low = [], None
+    for c in range(sys.maxunicode + 2):
+        inside = c <= sys.maxunicode and unicodedata.category(chr(c)) in ("Lu", "Ll", "Lt", "Lm", "Lo", "Mn", "Mc")
+        if inside and low is None:
+            low = c
+        elif not inside and low is not None:
+            out.append(f"\\U{low:08x}-\\U{c - 1:08x}")
+            low = None
+    return "".join(out)
+
+
+_WORD = r"[^\W\d_][%s]*(?:[-'’][^\W\d_][%s]*)*" % (2 * (_letters(),))
+NAME = re.compile(rf"(?<![\w-])(?P<t>{'|'.join(map(re.escape, sorted(_GENDER, key=len, reverse=True)))})\.? (?P<n>{_WORD}(?: {_WORD}){{0,2}})")
+# Common given names by gender that are hardly ever other words; names of two or more words that begin with one need no title.
+GIVEN = {"m": "Ahmed Alexander Andreas Andrzej Anthony Carlos Christopher Daniel Dmitri Fernando Francisco Giovanni Giuseppe "
+              "Hans Henrik Ivan Jean Johannes John Jonathan José Juan Jürgen Krzysztof Lars Łukasz Luis Matthew Mehmet Michael "
+              "Miguel Mohamed Mohammed Muhammad Mustafa Nicholas Nikolai Paolo Paweł Pedro Peter Pierre Piotr Richard Robert "
+              "Stephen Sven Thomas Tomasz Vladimir Wolfgang Yusuf Александр Алексей Андрей Владимир Дмитрий Иван Михаил "
+              "Николай Сергей Γιώργος Νίκος Андрій Олександр Сергій".split(),
+         "f": "Agnieszka Aisha Anna Ayşe Catherine Charlotte Elena Elizabeth Emma Fatima Fatma Giulia Hannah Ingrid Isabella "
+              "Jennifer Jessica Johanna Julia Katarzyna Laura Linda Magdalena Małgorzata Margaret Maria María Martha Mary "
+              "Michelle Natalia Olga Patricia Rebecca Sarah Sophie Stephanie Susan Svetlana Ursula Zeynep Анна Екатерина "
+              "Елена Мария Наталья Ольга Светлана Татьяна Μαρία Ελένη Олена Наталія".split()}
+_GIVEN = {n: g for g, ns in GIVEN.items() for n in ns}
+RUN = re.compile(rf"(?<![\w-]){_WORD}(?: {_WORD})+")
+# Header lines that hold a person, and closings of letters that one follows.
+CUED = re.compile(rf"^[ \t>]*(?i:From|To|Cc|Bcc|Sender|Reply-To|Signed|Signature|Von|An|De|От|Кому):[ \t]*[\"']?(?P<n>{_WORD}(?: {_WORD}){{1,2}})"
+                  rf"[\"']?[ \t]*(?=[<(\[,;\r\n]|$)|"
+                  r"^[ \t>]*(?i:(?:(?:best|kind|warm)(?:est)? )?regards|sincerely(?: yours)?|yours (?:sincerely|truly|faithfully)|best wishes|cheers|"
+                  r"mit freundlichen grüßen|viele grüße|cordialement|saludos|atentamente|с уважением)[,.!]?[ \t]*\r?\n\s{0,4}"
+                  rf"(?P<s>{_WORD}(?: {_WORD}){{0,2}})[ \t]*\r?$", re.M)
 FOUND = re.compile("|".join(f"(?P<{k}>{p})" for k, p in KINDS.items()))
 UNASSIGNED = re.compile("|".join(f"(?P<{k}>{p})" for k, p in KINDS.items() if k != "secret"))
 VALUE = re.compile(r"[^\s\"']*")
 SPACE = re.compile(r"\s")
 HINT = re.compile(r"[0-9@]+|A[KS]IA")  # every kind but names has one of these
 REACH = 260  # characters of a mention before the word of its first hint and after its last hint, at most
-TITLED = re.compile(rf"(?:{'|'.join(_GENDER)})\.? {_CAP[:_CAP.index(']') + 1]}")
 HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 # Syllables of invented names by script, and endings by gender.
 SYLLABLES = {"latin": "al bre cor dan el fa gar hel is jo ka lem mar nor ol per ro sel tam ul vin wes".split(),
-             "cyrillic": "ал бо вер гор да ев жен зар ил ка лем мар нор ол пет ро сав там уль фе".split()}
+             "cyrillic": "ал бо вер гор да ев жен зар ил ка лем мар нор ол пет ро сав там уль фе".split(),
+             "greek": "αλ βε γα δη ελ ζω θε κα λε μαρ νι ολ πε ρο σαν τα φι χρι".split(),
+             "arabic": "با تر جم حس دا را سل شا صر طا عم فا كر لم ما نور هد يس".split(),
+             "hebrew": "אב בן גל דן הד זיו חן טל יר כר לי מור נעם סה עד פז רון שי".split(),
+             "devanagari": "अ क ग च ज त द न प ब म य र ल व स ह".split(),
+             "hangul": "가 나 도 라 미 보 서 우 재 준 진 하 현 혜 호".split(),
+             "hiragana": "あ き く さ し た な は ま み や ゆ ら り".split(),
+             "katakana": "ア キ ク サ シ タ ナ ハ マ ミ ヤ ユ ラ リ".split(),
+             "cjk": "安 文 华 明 林 德 海 江 山 志 国 平 春 秋 雨 云 天 宁".split()}
 ENDINGS = {("given", "latin", "m"): ["rd", "n", "us", "ton"], ("given", "latin", "f"): ["a", "ina", "elle", "ia"],
            ("given", "latin", "x"): ["in", "ey", "is", "en"], ("family", "latin", ""): ["son", "er", "well", "mond"],
            ("given", "cyrillic", "m"): ["ан", "ор", "ей", "ил"], ("given", "cyrillic", "f"): ["ина", "ана", "ия", "ела"],
@@ -102,17 +146,58 @@ def canonical(kind: str, mention: str) -> str | None:
     return mention
 
 
+def script_of(word: str) -> str:
+    """The first word of the Unicode name of a word's first letter, as ``latin``, ``greek``, ``cjk``."""
+    return re.split(r"[ -]", unicodedata.name(word[0], "LATIN"))[0].lower()
+
+
+@lru_cache(None)
+def syllables(script: str) -> list[str]:
+    """Syllables of a script; of one without a set of its own, its letters."""
+    if script in SYLLABLES:
+        return SYLLABLES[script]
+    return [c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) in ("Ll", "Lo")
+            and unicodedata.name(c, "").lower().startswith(script + " ")] or SYLLABLES["latin"]
+
+
+def _upper(word: str) -> bool:
+    return unicodedata.category(word[0]) in ("Lu", "Lt")
+
+
+def _name_words(words: list[str]) -> list[str]:
+    """The words a name has at the start of ``words``: capitals, or the first one in a script without letter case."""
+    if not _upper(words[0]):
+        return words[:1] if unicodedata.category(words[0][0]) == "Lo" else []
+    return words[:next((i for i, w in enumerate(words) if not _upper(w)), len(words))]
+
+
 def names_in(text: str) -> dict[str, str]:
-    """Name words introduced by a title: word -> kind (``given:script:gender`` or ``family:script:gender``)."""
+    """Name words after a title, a header or a closing, or led by a common given name: word as written -> kind
+    (``given:script:gender`` or ``family:script:gender``, the same for all forms of one word)."""
     out: dict[str, str] = {}
-    if not TITLED.search(text):
-        return out
-    for m in NAME.finditer(text):
-        words, gender = m["n"].split(" "), _GENDER[m["t"]]
+    kinds: dict[str, str] = {}
+
+    def add(words, gender, alone="family"):
         for i, w in enumerate(words):
-            script = "cyrillic" if re.search(r"[Ѐ-ӿ]", w) else "latin"
-            part = "given" if i < len(words) - 1 else "family"
-            out.setdefault(w.casefold(), f"{part}:{script}:{gender if part == 'given' or script != 'latin' else ''}")
+            script = script_of(w)
+            part = "given" if i < len(words) - 1 else "family" if i else alone
+            kind = f"{part}:{script}:{gender if part == 'given' or script != 'latin' else ''}"
+            out[w] = kinds.setdefault(w.casefold(), kind)
+
+    for m in NAME.finditer(text):
+        add(_name_words(m["n"].split(" ")), _GENDER[m["t"]])
+    for m in CUED.finditer(text):
+        words = (m["n"] or m["s"]).split(" ")
+        if all(map(_upper, words)):
+            add(words, _GIVEN.get(words[0], "x"), "given")
+    for m in RUN.finditer(text) if not _GIVEN.keys().isdisjoint(text.split()) else ():
+        words = m[0].split(" ")
+        at = 0
+        while at < len(words) - 1:
+            got = _name_words(words[at:at + 3]) if words[at] in _GIVEN else []
+            if len(got) > 1:
+                add(got, _GIVEN[got[0]])
+            at += max(1, len(got))
     return out
 
 
@@ -170,11 +255,13 @@ def mentions(text: str | None) -> list[tuple[int, int, str, str]]:
     names = names_in(text)
     if names:
         taken = [(a, b) for a, b, _, _ in found]
-        words = re.compile(r"(?<![\w@.])(?:" + "|".join(map(re.escape, sorted(names, key=len, reverse=True))) + r")(?!\w|@)",
-                           re.I)
+        kinds = {w.casefold(): k for w, k in names.items()}
+        forms = sorted({f for w in names for f in (w, w.upper())}, key=len, reverse=True)
+        words = re.compile(r"(?<![\w@.])(?:" + "|".join(map(re.escape, forms)) + r")(?!\w|@)", re.I)
         for m in words.finditer(text):
-            if m[0][0].isupper() and not any(a < m.end() and m.start() < b for a, b in taken):
-                found.append((m.start(), m.end(), "name:" + names[m[0].casefold()], m[0].casefold()))
+            kind = kinds.get(m[0].casefold())
+            if kind and not m[0][0].islower() and not any(a < m.end() and m.start() < b for a, b in taken):
+                found.append((m.start(), m.end(), "name:" + kind, m[0].casefold()))
         found.sort()
     return found
 
@@ -247,9 +334,9 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
         return value[:kept] + "".join(str(draw(10)) for _ in value[kept:])
     if kind.startswith("name:"):
         part, script, gender = kind[5:].split(":")
-        s = SYLLABLES[script]
+        s = syllables(script)
         body = "".join(s[draw(len(s))] for _ in range(2 + attempt // 2))
-        end = ENDINGS[(part, script, gender)]
+        end = ENDINGS.get((part, script, gender), [""])
         return body + end[draw(len(end))]
     return _swap(value, draw, kind in ("hex_key", "mac") or (bool(HEX.fullmatch(value)) and len(value) >= 8))
 

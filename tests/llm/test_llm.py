@@ -321,6 +321,21 @@ def test_pii_secrets_are_swapped_to_their_end():
     assert pii.mentions("password: required. 1 " + "token=" * 50_000 + " 1") == []
 
 
+def test_pii_names_in_any_script_and_without_title():
+    for text, names in (("Mr Łukasz Nowak, Mrs Şahin, Dr Žižek", "Łukasz Nowak Şahin Žižek"),
+                        ("κ. Γιώργος Παπαδόπουλος", "Γιώργος Παπαδόπουλος"), ("Dr Їжакевич", "Їжакевич"), ("Mr İbrahim, Dr Weiß", "İbrahim Weiß"),
+                        ("Mr 王小明 said", "王小明"), ("السيد محمد قال", "محمد"), ("श्री राम", "राम"), ("Dr Ծատուրյան", "Ծատուրյան"),
+                        ("then Maria Kowalska left", "Maria Kowalska"), ("x\nFrom: Tarik Orban <a>", "Tarik Orban"),
+                        ("bye\n\nKind regards,\nTarik Orban\n", "Tarik Orban")):
+        got = pii.mentions(text)
+        assert [text[a:b] for a, b, _, _ in got] == names.split(), text
+        new, _ = pii.rewrite(text, b"k", {})
+        for w, (_, _, kind, value) in zip(names.split(), got):
+            assert w not in new and pii.script_of(pii.surrogate(b"k", kind, value)) == pii.script_of(w)
+    text = "Miss the bus. From: the start\nThe End Of Days was Maria. Regards, all"
+    assert pii.rewrite(text, b"k", {}) == (text, 0)
+
+
 def test_pii_surrogates_stay_distinct(spark):
     """A one-letter local part has 26 surrogates: values that collide draw again until all differ."""
     values = [(f"{c}@x.org",) for c in "abcdefghijklmnopqrst"]
