@@ -4,9 +4,12 @@ A page is cut into text blocks at block elements.  Regions that are never articl
 page headers and footers, sidebars, notices, adverts, forms, scripts, styles, comments) are known
 by element, role or class words and dropped.  Pass one classifies every other block by itself:
 link density, length and stop-word density make it good, bad, or undecided when it is short.
-Pass two gives undecided blocks the label of their nearest decided neighbours.  Blocks inside an
-article element need less evidence: only link lists are bad there, and where no neighbour is
-decided they are kept.
+Pass two gives undecided blocks the label of their nearest decided neighbours.  An article or main element is
+evidence only: a block inside needs fewer stop words to be good and is undecided, not bad, without them; undecided
+blocks look at the neighbours on their own side of its edge, and where none is decided, or inside where these
+differ, the edge decides.  Low stop-word density says nothing on tables and code, nor on pages in a language
+without a list (few stop words in all): such blocks are undecided.  An article in a dropped region (teasers) stays
+dropped, unless the page has no good block elsewhere.
 
 Defined cases: null or empty html gives an empty text; a page without any good block gives its
 undecided blocks; unclosed or stray tags are tolerated; whole pages of any length; rows come back
@@ -51,15 +54,18 @@ también fue había era muy años hasta desde está mi porque
 """.split())
 SHORT, LONG = 70, 200  # characters: shorter blocks are undecided, longer ones need fewer stop words
 STOP_LOW, STOP_HIGH, LINKS = 0.15, 0.30, 0.4
+LOOSE = {"pre", "code", "table"}  # text without sentences
 
 
 class _Blocks(HTMLParser):
-    """Blocks ``[text, link_chars, in_article, heading]`` of the regions that can hold article text."""
+    """Blocks ``[text, link_chars, in_article, heading, loose]`` of the regions that can hold article text."""
 
-    def __init__(self):
+    def __init__(self, teasers: bool):
         super().__init__(convert_charrefs=True)
+        self.teasers = teasers  # articles in dropped regions count
+        self.held_back = False
         self.stack: list[tuple[str, str, bool]] = []  # element, why dropped ('', 'soft', 'hard'), in article
-        self.blocks: list[tuple[str, int, bool, bool]] = []
+        self.blocks: list[tuple[str, int, bool, bool, bool]] = []
         self.text: list[str] = []
         self.link_chars = self.links = 0
         self.heading = False
@@ -67,7 +73,8 @@ class _Blocks(HTMLParser):
     def _cut(self):
         text = " ".join("".join(self.text).split())
         if text:
-            self.blocks.append((text, self.link_chars, bool(self.stack) and self.stack[-1][2], self.heading))
+            self.blocks.append((text, self.link_chars, bool(self.stack) and self.stack[-1][2], self.heading,
+                                any(s[0] in LOOSE for s in self.stack)))
         self.text, self.link_chars, self.heading = [], 0, False
 
     def _why(self, tag, attrs, above, article):
@@ -84,6 +91,9 @@ class _Blocks(HTMLParser):
             return "soft"
         if not article and (tag == "header" or "header" in words and not words & {"post", "entry", "article"}):
             return "soft"
+        if tag == "article" and above and not self.teasers:
+            self.held_back = True
+            return above
         return "" if tag in ("article", "main") or role == "main" else above
 
     def handle_starttag(self, tag, attrs):
@@ -144,56 +154,83 @@ class _Blocks(HTMLParser):
             self.link_chars += len(data)
 
 
-def blocks_of(html: str | None) -> list[tuple[str, int, bool, bool]]:
-    p = _Blocks()
+def blocks_of(html: str | None, teasers: bool = False) -> tuple[list[tuple[str, int, bool, bool, bool]], bool]:
+    """The blocks, and whether an article in a dropped region was held back."""
+    p = _Blocks(teasers)
     p.feed(html or "")
     p.close()
     p._cut()
-    return p.blocks
+    return p.blocks, p.held_back
+
+
+def stop_words(text: str) -> tuple[int, int]:
+    """Stop words and words of a text."""
+    words = text.lower().split()
+    return sum(w.strip(".,;:!?()\"'") in STOP_WORDS for w in words), len(words)
 
 
-def first_pass(text: str, link_chars: int, article: bool, heading: bool) -> str:
-    """'good', 'bad' or '' (undecided) from the block alone."""
+def first_pass(text: str, link_chars: int, article: bool, heading: bool, loose: bool, density: float, listed: bool) -> str:
+    """'good', 'bad' or '' (undecided) from the block alone, its stop-word density and whether the page's language is listed."""
     if link_chars > LINKS * len(text):
         return "bad" if not heading else ""
     if heading or len(text) < SHORT:
         return ""
-    words = text.lower().split()
-    density = sum(w.strip(".,;:!?()\"'") in STOP_WORDS for w in words) / len(words)
-    if article or density >= STOP_HIGH or (len(text) >= LONG and density >= STOP_LOW):
+    if density >= STOP_HIGH or ((article or len(text) >= LONG) and density >= STOP_LOW):
         return "good"
-    return "" if density >= STOP_LOW else "bad"
+    return "" if density >= STOP_LOW or article or loose or not listed else "bad"
+
+
+def second_pass(blocks, first: list[str]) -> list[str]:
+    """Labels of all blocks: undecided ones by their nearest decided neighbours on their side of an article's edge."""
+    marked = any(b[2] for b in blocks)
+    out = list(first)
+    for side in (True, False):
+        own = [i for i, b in enumerate(blocks) if b[2] == side]
+        decided = [i for i in own if first[i]]
+        alone = "good" if side or not marked else "bad"
+        if side and all(first[i] == "bad" for i in decided):
+            decided = []  # link lists alone say nothing on the rest of an article
+        at = 0
+        for i in own:
+            if first[i]:
+                continue
+            while at < len(decided) and decided[at] < i:
+                at += 1
+            after = decided[at] if at < len(decided) else None
+            before = decided[at - 1] if at else None
+            if before is None and after is None:
+                out[i] = alone
+            elif before is None or after is None:
+                out[i] = first[after if before is None else before]
+                if side and out[i] == "bad":
+                    out[i] = "good"  # at an article's edge
+            elif first[before] == first[after]:
+                out[i] = first[before]
+            elif side:
+                out[i] = "good"
+            elif blocks[i][3]:
+                out[i] = first[after]  # a heading goes with what follows it
+            else:
+                out[i] = first[before if i - before <= after - i else after]
+    return out
 
 
 def main_text(html: str | None) -> str:
     """The good blocks of a page, joined by blank lines."""
-    blocks = blocks_of(html)
-    if any(b[2] for b in blocks):
-        blocks = [b for b in blocks if b[2]]  # the page marks its article
-    first = [first_pass(*b) for b in blocks]
-    if "good" not in first:
+    blocks, held_back = blocks_of(html)
+    for again in (False, True):
+        counts = [stop_words(b[0]) for b in blocks]
+        long = [c for b, c in zip(blocks, counts) if len(b[0]) >= SHORT and b[1] <= LINKS * len(b[0]) and not b[4]]
+        listed = sum(s for s, _ in long) >= STOP_LOW * sum(n for _, n in long)
+        first = [first_pass(*b, s / max(1, n), listed) for b, (s, n) in zip(blocks, counts)]
+        if "good" in first or not held_back or again:
+            break
+        if any(f != "bad" and len(b[0]) >= SHORT for b, f in zip(blocks, first)):
+            break
+        blocks, _ = blocks_of(html, teasers=True)  # nothing else can be the main text
+    if "good" not in first and not any(b[2] for b in blocks):
         return "\n\n".join(b[0] for b, f in zip(blocks, first) if f != "bad")
-    decided = [i for i, f in enumerate(first) if f]
-    kept, at = [], 0
-    for i, (b, f) in enumerate(zip(blocks, first)):
-        while at < len(decided) and decided[at] < i:
-            at += 1
-        if not f:
-            after = decided[at] if at < len(decided) else None
-            before = decided[at - 1] if at else None
-            if before is None or after is None:
-                f = first[after if before is None else before]
-            elif first[before] == first[after]:
-                f = first[before]
-            elif b[3]:
-                f = first[after]  # a heading goes with what follows it
-            else:
-                f = first[before if i - before <= after - i else after]
-            if f == "bad" and b[2]:
-                f = "good"  # text of a marked article that is not a link list stays
-        if f == "good":
-            kept.append(b[0])
-    return "\n\n".join(kept)
+    return "\n\n".join(b[0] for b, f in zip(blocks, second_pass(blocks, first)) if f == "good")
 
 
 def extract_main_text(pages: DataFrame, html_col: str = "html", out_col: str = "text") -> DataFrame:

@@ -425,6 +425,23 @@ def test_main_text_rules(spark):
     assert sorted(r.text for r in html_main.extract_main_text(rows).collect()) == ["", "", "x"]
 
 
+def test_main_text_takes_articles_as_evidence_only():
+    good = " ".join(("This is the text of an article that has many of the words that are common in a language and so it is long. " * 3).split())
+    teaser = "<div class=related><article><p>Another one of the texts that you may want to read on this site, as it is for all</article></div>"
+    assert html_main.main_text(f"<div><p>{good}<p>{good}</div>{teaser}") == f"{good}\n\n{good}"
+    assert html_main.main_text(f"<div class=sidebar><article><p>{good}</article></div>") == good
+    assert html_main.main_text(f"<article><p>{good}</article><div><p>{good}</div>") == f"{good}\n\n{good}"
+    spam = "Cheap Watches Rolex Omega Discount Shipping Worldwide Buy Today Order Online Store Sale Prices"
+    links = "<ul><li><a href=x>one more link</a></ul>"
+    assert html_main.main_text(f"<article><p>{good}{links}<p>{spam}{links}<p>{good}</article>") == f"{good}\n\n{good}"
+    italian = "Questo testo parla della storia di una vecchia citta e degli uomini che vi abitavano prima della guerra."
+    russian = "Этот текст рассказывает об истории старого города и о людях, которые жили в нём задолго до войны."
+    for text in (italian, russian):
+        assert html_main.main_text(f"<div><p>{text}<p>{text}</div>{links}") == f"{text}\n\n{text}"
+    code = "x = compute(alpha, beta); y = compute(gamma, delta); print(x, y); exit(0); # zeta eta theta"
+    assert html_main.main_text(f"<p>{good}<pre>{code}</pre><p>{good}") == f"{good}\n\n{code}\n\n{good}"
+
+
 # embeddings
 
 def test_embedding_groups_equal_brute_force(spark):
