@@ -119,6 +119,9 @@ class Weights:
         if counts is not None:
             self._start(*counts)
 
+    def __getstate__(self):
+        return self.__dict__ | {"counts": None}  # only updates need the counts, and they are made on the driver
+
     def _start(self, counts, pairs, pull: float = 20.0):
         """Weights from class counts per feature row, pulled to the priors."""
         import numpy as np
@@ -343,7 +346,9 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     model = Weights(shape, (counts[:6], counts[6]))
     for i in range(rounds):
         part = train.where(F.pmod(F.xxhash64("id"), F.lit(share)) == i % share)
-        step = gradient(part, spark.sparkContext.broadcast(model), shape)
+        sent = spark.sparkContext.broadcast(model)
+        step = gradient(part, sent, shape)
+        sent.destroy()
         model.update(_tables(step, _shapes(shape)[:6]), 1 / share)
     model.counts = None
     leaves = np.zeros((shape.first * shape.second, 2))
