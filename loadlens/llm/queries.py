@@ -12,7 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadlens.llm import bpe, chat, decontaminate, embed_dedup, html_main, line_dedup, lm_score, pii, simhash, toxicity
+from loadlens.llm import (bpe, chat, decontaminate, embed_dedup, html_main, line_dedup, lm_score, pii, quality_knn, simhash,
+                          toxicity)
 from loadlens.llm.common import train_part
 from loadlens.sources.tables import read_table
 
@@ -157,3 +158,12 @@ FROM embeddings v
 LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) n ON n.a = v.vec_id
 LEFT JOIN (SELECT a, min(b) AS low FROM reach GROUP BY a) c ON c.a = v.vec_id
 """
+
+
+@query
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_knn.train(docs, read_table(spark, sf_dir, "labels"), modulus=5, held_out=0)
+    held = ~train_part(F.col("doc_id"), 5, 0) & F.col("doc_id").isNotNull()
+    return quality_knn.score_quality(docs, model, threshold=0.3).select("doc_id", held.alias("held_out"), "score",
+                                                                        "predicted")
