@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadlens.llm import (bpe, chat, decontaminate, embed_dedup, html_main, line_dedup, lm_score, pii, quality_knn, simhash,
+from loadlens.llm import (bpe, chat, conv_repair, decontaminate, embed_dedup, html_main, line_dedup, lm_score, pii, quality_knn, simhash,
                           toxicity)
 from loadlens.llm.common import train_part
 from loadlens.sources.tables import read_table
@@ -167,3 +167,80 @@ def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = ~train_part(F.col("doc_id"), 5, 0) & F.col("doc_id").isNotNull()
     return quality_knn.score_quality(docs, model, threshold=0.3).select("doc_id", held.alias("held_out"), "score",
                                                                         "predicted")
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conv_repair.damaged(read_table(spark, sf_dir, "conversations"))
+    return conv_repair.digests(conv_repair.repair(rows, present=F.col("present")))
+
+
+def _edit(state: str, cost: str, letter: str, row: str, allowed: str = "true") -> str:
+    """A place's struct (cost, edits, repaired rows) after one more edit; dear where the edit is not allowed."""
+    return (f"{{'c': {state}.c + {cost} + CASE WHEN {allowed} THEN 0 ELSE 1000000000 END, 'e': {state}.e || '{letter}', "
+            f"'x': {state}.x{row}}}")
+
+
+def _repair_sql() -> str:
+    kept, user, reply = " || chr(10) || role || ':' || text", " || chr(10) || 'user:'", " || chr(10) || 'assistant:'"
+    more = "CASE WHEN cut THEN 3 ELSE 0 END"
+    free, rerole = "NOT gone", f"3 + {more}"
+    row = {
+        "b": [_edit("b", "4", "D", "")],
+        "s": [_edit("s", "4", "D", ""), _edit("b", more, "K", kept, f"{free} AND i = 's'")],
+        "u": [_edit("u", "4", "D", "")] + [x for q in "bsa" for x in (
+            _edit(q, more, "K", kept, f"{free} AND i = 'u'"), _edit(q, rerole, "R", user + " || text", free))],
+        "a": [_edit("a", "4", "D", ""), _edit("u", more, "K", kept, f"{free} AND i = 'a'"),
+              _edit("u", rerole, "R", reply + " || text", free)],
+    }
+    read = ", ".join(f"least({', '.join(v)}) AS {k}" if len(v) > 1 else f"{v[0]} AS {k}" for k, v in row.items())
+    inserted = f"least(u, {', '.join(_edit(q, '3', 'I', user) for q in 'bsa')})"
+    start = "{'c': 0::BIGINT, 'e': '', 'x': ''}"
+    far = "{'c': 1000000000::BIGINT, 'e': '', 'x': ''}"
+
+    def closed(source: str) -> str:
+        """Insertions after a row: a user row from any other place, then an assistant row."""
+        return (f"SELECT conv_id, p, b, s, u, least(a, {_edit('u', '3', 'I', reply)}) AS a "
+                f"FROM (SELECT conv_id, p, b, s, {inserted} AS u, a FROM ({source}))")
+
+    begin = closed(f"SELECT DISTINCT conv_id, 0::BIGINT AS p, {start} AS b, {far} AS s, {far} AS u, {far} AS a FROM conversations")
+    step = closed(f"SELECT g.conv_id, g.p, {read} FROM step JOIN g ON g.conv_id IS NOT DISTINCT FROM step.conv_id "
+                  f"AND g.p = step.p + 1")
+    return rf"""
+WITH RECURSIVE tab AS (
+  SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+         lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS t),
+named AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations),
+damage AS (
+  SELECT conv_id, turn, role, text, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+         list_transform(string_split(name, ''), lambda c: ascii(c)::BIGINT)),
+         lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 20 AS kind
+  FROM named, tab),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE kind WHEN 0 THEN []::INTEGER[] WHEN 3 THEN [0, 1] ELSE [0] END) AS again FROM damage),
+numbered AS (
+  SELECT *, left(role, 1) AS i, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS p,
+         NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+         NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS open FROM damaged),
+faults AS (
+  SELECT *, NOT blank AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY p) > 1 AS repeated,
+         p > 1 AND lag(i) OVER (PARTITION BY conv_id ORDER BY p) || i NOT IN ('su', 'ua', 'au') AS bad FROM numbered),
+g AS (SELECT *, blank OR repeated AS gone, open AND NOT (blank OR repeated) AS cut FROM faults),
+step AS ({begin} UNION ALL {step}),
+ends AS (SELECT conv_id, least(arg_max(b, p), arg_max(a, p)) AS w FROM step GROUP BY conv_id),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (blank) AS blank,
+         count(*) FILTER (repeated) AS duplicate, count(*) FILTER (cut) AS truncated, count(*) FILTER (bad) AS illegal
+  FROM g GROUP BY conv_id)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, w.c AS cost, w.e AS audit,
+       sha256(substr(w.x, 2)) AS repaired_sha256
+FROM ends e LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
+
+ORACLE["op12_conversation_repair"] = _repair_sql()
