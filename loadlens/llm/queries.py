@@ -12,13 +12,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadlens.llm import (bpe, chat, conv_repair, decontaminate, embed_dedup, html_main, line_dedup, lm_score, pii, quality_knn, simhash,
+from loadlens.llm import (align, bpe, chat, conv_repair, decontaminate, embed_dedup, html_main, line_dedup, lm_score, pii, quality_knn, simhash,
                           toxicity)
 from loadlens.llm.common import train_part
 from loadlens.sources.tables import read_table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
+BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 #: The key of the registered PII query; a production run passes its own secret.
 PII_KEY = b"registered query"
 
@@ -244,3 +246,8 @@ FROM ends e LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
 
 
 ORACLE["op12_conversation_repair"] = _repair_sql()
+
+
+@query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(read_table(spark, sf_dir, "documents"), BYTE_LEVEL, PIECES).withColumnRenamed("id", "doc_id")
