@@ -6,9 +6,13 @@ pairs of overlapping tokens and whose values are the bytes shared.  Bytes where
 groups; with group incidence matrices the same product gives the pairs of tokens that share a group (counted by its
 symbolic phase, which needs no pair to be written out).
 
+Both tokenizers end a token before a single space between two non-spaces, so a text is cut there into segments
+that are tokenized alike wherever they stand (``Vocabularies`` checks the vocabularies for it).  The matrices are
+those of a batch's distinct segments; a text's figures are sums over its segments.
+
 Corpus-wide pair counts: a batch of texts sends each distinct pair once with its number, Spark sums them and
-finds the highest per B id, and each batch gets back the figures of its own pairs; texts hold
-places in their batch's pair list, so no row per link is shuffled.
+finds the highest per B id, and each batch gets back the figures of its own pairs, which it adds up by segment and then by
+text.  No row per link is shuffled.
 
 Defined cases: texts that are null, empty, or whose token bytes (of either tokenizer) are not exactly a space and the
 text have no tokens, no links and an empty group string; strings of special tokens are plain text; whole texts of
@@ -19,14 +23,17 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadlens.llm.common import narrow, stored
 
-BATCH_CHARS, BATCH_TEXTS = 8 << 20, 4000  # texts whose distinct pairs are counted together
-BLOCK_CHARS = 1 << 20  # texts whose matrices are multiplied together
+BATCH_CHARS, BATCH_TEXTS = 4 << 20, 4000  # texts whose distinct segments and pairs are gathered together
+CHUNK_CHARS = 1 << 16  # segments tokenized in one call
+CUT = re.compile(r"(?<=\S) (?=\S)")
+UNEVEN = re.compile(r"\s\s|\A\s|\s\Z")  # no such place: every space is a cut
 TERMS = 4 << 20  # products held at a time
 SHIFT = 32  # a pair is ``a << SHIFT | b``
 
@@ -66,16 +73,43 @@ class Vocabularies:
         # an id in decimals with each of the signs that can follow it
         self.marked = [f"{i}{mark}" for i in range(max(len(self.a_bytes), len(self.b_bytes))) for mark in (",", "|", ";", "")]
 
-    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
-        """Ids of both for each text; none where either does not spell a space and the text."""
-        spaced = [" " + t for t in texts]
-        out = []
-        for t, s, a, b in zip(texts, spaced, self.a.encode_batch_fast(spaced, add_special_tokens=False),
-                              self.b.encode(texts, num_threads=1)):
-            a, raw = a.ids, s.encode("utf-8", "surrogatepass")
-            good = t and b"".join(map(self.a_bytes.__getitem__, a)) == raw == b"".join(map(self.b_bytes.__getitem__, b))
-            out.append((a, b) if good else ([], []))
-        return out
+        crossing = [p for p in (x.decode("utf-8", "replace") for x in self.b_bytes) if re.search(r"\S ", p)]
+        if crossing:
+            raise ValueError(f"pieces that go on past a space: {crossing[:3]}")
+
+    def _spell(self, text: str) -> tuple[list[int], list[int]] | None:
+        """Ids of both for a text; None where either does not spell a space and the text."""
+        spaced = " " + text
+        a = self.a.encode_batch_fast([spaced], add_special_tokens=False)[0].ids
+        b = self.b.encode(text)
+        raw = spaced.encode("utf-8", "surrogatepass")
+        good = b"".join(map(self.a_bytes.__getitem__, a)) == raw == b"".join(map(self.b_bytes.__getitem__, b))
+        return (a, b) if good else None
+
+    def encode(self, parts: list[str], together: int):
+        """Ids of both over all parts, end to end, and each part's bytes (0: not spelled by both, no ids).
+
+        The first ``together`` parts have no white space at either end and are tokenized many at a time.
+        """
+        import numpy as np
+
+        ids_a, ids_b, size = [], [], []
+
+        def put(got, part, n):
+            ids_a.append(np.array(got[0], np.int64))
+            ids_b.append(np.array(got[1], np.int64))
+            size.extend(n)
+
+        for i, j in [*text_blocks(parts[:together], CHUNK_CHARS, len(parts)), *((k, k + 1) for k in range(together, len(parts)))]:
+            part = parts[i:j]
+            got = self._spell(" ".join(part))
+            if got:
+                put(got, part, [len(p.encode()) + 1 for p in part])
+                continue
+            for p in part:
+                got = self._spell(p) if j > i + 1 else None
+                put(got or ([], []), [p], [len(p.encode()) + 1 if got else 0])
+        return *(np.concatenate(x or [np.zeros(0, np.int64)]) for x in (ids_a, ids_b)), np.array(size, np.int64)
 
 
 _BUILT: dict = {}
@@ -155,23 +189,21 @@ def product(a, b):
 
 
 class Block:
-    """The tokens of some texts end to end, their overlap links and shared groups."""
+    """The tokens of some parts (segments or whole texts) end to end, their overlap links and shared groups."""
 
-    def __init__(self, vocab: Vocabularies, texts: list[str]):
+    def __init__(self, vocab: Vocabularies, parts: list[str], together: int):
         import numpy as np
 
-        ids = vocab.encode(texts)
-        self.n_a, self.n_b = (np.array([len(x[k]) for x in ids], np.int64) for k in (0, 1))
-        self.a = np.array([i for a, _ in ids for i in a], np.int64)
-        self.b = np.array([i for _, b in ids for i in b], np.int64)
+        self.a, self.b, size = vocab.encode(parts, together)
+        self.good = size > 0
         self.a_ends, self.b_ends = np.cumsum(vocab.a_size[self.a]), np.cumsum(vocab.b_size[self.b])
+        ends = np.cumsum(size)
+        self.a_part, self.b_part = np.searchsorted(ends, self.a_ends), np.searchsorted(ends, self.b_ends)
+        self.n_a, self.n_b = (np.bincount(x, minlength=len(parts)) for x in (self.a_part, self.b_part))
         cuts = np.intersect1d(self.a_ends, self.b_ends, assume_unique=True)
+        self.n_groups = np.bincount(np.searchsorted(ends, cuts), minlength=len(parts))
         self.a_group, self.b_group = np.searchsorted(cuts, self.a_ends), np.searchsorted(cuts, self.b_ends)
         self.groups = len(cuts)
-        self.a_text, self.b_text = (np.repeat(np.arange(len(texts)), n) for n in (self.n_a, self.n_b))
-        last = np.cumsum(self.n_a)
-        upto = np.r_[0, self.a_group + 1][last]  # groups up to each text's end
-        self.n_groups = np.diff(np.r_[0, upto])
 
     def overlaps(self):
         """``(a token, b token, bytes)`` of all overlapping pairs: the non-zeros of A·Bᵀ."""
@@ -183,14 +215,14 @@ class Block:
         yield from product(token_groups(self.a_group), transposed(token_groups(self.b_group), self.groups))
 
     def n_shared(self):
-        """Pairs in one group by text, from the symbolic phase."""
+        """Pairs in one group by part, from the symbolic phase."""
         import numpy as np
 
         size = row_sizes(token_groups(self.a_group), transposed(token_groups(self.b_group), self.groups))
-        return np.bincount(self.a_text, size, minlength=len(self.n_a)).astype(np.int64)
+        return np.bincount(self.a_part, size, minlength=len(self.n_a)).astype(np.int64)
 
     def group_strings(self, vocab: Vocabularies) -> list[str]:
-        """``a1,a2|b1;a3|b2,b3`` of each text."""
+        """``a1,a2|b1;a3|b2,b3`` of each part."""
         import numpy as np
 
         a_last = np.r_[self.a_group[1:] != self.a_group[:-1], True][:len(self.a)]
@@ -209,6 +241,13 @@ class Block:
         return ["".join(words[i:j]) for i, j in zip([0, *ends], ends)]
 
 
+def segments(text: str) -> list[str]:
+    """The segments of a text, without the space that each begins with (the first: the one put before the text)."""
+    if not text:
+        return []
+    return CUT.split(text) if UNEVEN.search(text) else text.split(" ")
+
+
 def text_blocks(texts: list[str], chars: int, most: int):
     """``(begin, end)`` of runs of texts of up to ``chars`` characters (or one text) and ``most`` texts."""
     begin, size = 0, 0
@@ -245,14 +284,15 @@ def links(docs: DataFrame, byte_level_path: str, piece_path: str, shared: bool =
         vocab = vocabularies(files)
         for batch in batches:
             ids, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
-            for i, j in text_blocks(texts, BLOCK_CHARS, BATCH_TEXTS):
-                block = Block(vocab, texts[i:j])
+            for i, j in text_blocks(texts, CHUNK_CHARS, BATCH_TEXTS):
+                held = [k for k in range(i, j) if texts[k]]
+                block = Block(vocab, [texts[k] for k in held], 0)
                 a_first, b_first = (np.cumsum(n) - n for n in (block.n_a, block.n_b))
                 for a, b, value in (block.sharing() if shared else block.overlaps()):
-                    text = block.a_text[a]
+                    part = block.a_part[a]
                     yield pa.RecordBatch.from_arrays(
-                        [ids.take(pa.array(text + i)), *map(pa.array, (a - a_first[text], b - b_first[text], block.a[a],
-                                                                       block.b[b], value))], names)
+                        [ids.take(pa.array(np.array(held)[part])), *map(pa.array, (a - a_first[part], b - b_first[part],
+                                                                                   block.a[a], block.b[b], value))], names)
 
     return narrow(docs, id_col, text_col).mapInArrow(run, ", ".join(f"{x} long" for x in names))
 
@@ -265,96 +305,133 @@ def align(docs: DataFrame, byte_level_path: str, piece_path: str, id_col: str =
     all rows; ``count_sum`` adds the counts over links.
     """
     files = tokenizer_files(docs.sparkSession, byte_level_path, piece_path)
-    figures = ["n_a", "n_b", "n_groups", "n_links", "n_shared"]
-    names = ["batch", "id", *figures, "groups_sha256", "places", "pair", "n", "place"]
+    names = ["batch", "kind", "place", "id", *FIGURES, "groups_sha256", "packed", "pair", "n"]
 
     def run(batches):
-        import numpy as np
         import pyarrow as pa
         from pyspark import TaskContext
 
-        kinds = [pa.int64(), pa.int64(), *[pa.int64()] * 5, pa.string(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
         vocab = vocabularies(files)
         number = TaskContext.get().partitionId() << 32
+
+        def rows(count, kind, **cols):
+            given = {"batch": pa.array([number] * count, pa.int64()), "kind": pa.array([kind] * count, pa.int64()), **cols}
+            types = dict.fromkeys(names, pa.int64()) | {"groups_sha256": pa.string(), "packed": pa.binary()}
+            return pa.RecordBatch.from_arrays([given[x] if x in given else pa.nulls(count, types[x]) for x in names], names)
+
         for arrow in batches:
-            ids, all_texts = arrow.column(0), [t or "" for t in arrow.column(1).to_pylist()]
-            for i, j in text_blocks(all_texts, BATCH_CHARS, BATCH_TEXTS):
-                cols: dict[str, list] = {x: [] for x in [*figures, "sha", "pair"]}
-                texts = all_texts[i:j]
-                for k, m in text_blocks(texts, BLOCK_CHARS, BATCH_TEXTS):
-                    block = Block(vocab, texts[k:m])
-                    found = np.zeros(m - k, np.int64)
-                    for a, b, _ in block.overlaps():
-                        cols["pair"].append(block.a[a] << SHIFT | block.b[b])
-                        found += np.bincount(block.a_text[a], minlength=m - k)
-                    for x, v in zip(figures, (block.n_a, block.n_b, block.n_groups, found, block.n_shared())):
-                        cols[x].append(v)
-                    cols["sha"] += [hashlib.sha256(s.encode()).hexdigest() if s else "" for s in block.group_strings(vocab)]
-                pairs = np.concatenate(cols["pair"] or [np.zeros(0, np.int64)])
-                distinct, place, n = np.unique(pairs, return_inverse=True, return_counts=True)
-                place = place.astype(np.uint16 if len(distinct) <= 1 << 16 else np.uint32)
-                n_links = np.concatenate(cols["n_links"])
-                ends = np.cumsum(n_links).tolist()
-                wide = bytes([place.itemsize])
-                packed = [wide + np.sort(place[s:e]).tobytes() for s, e in zip([0, *ends], ends)]
-                rows, pad = j - i, len(distinct)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(rows, number)), ids.slice(i, rows), *[pa.array(np.concatenate(cols[x])) for x in figures],
-                     pa.array(cols["sha"], pa.string()), pa.array(packed, pa.binary()), *[pa.nulls(rows, pa.int64())] * 3], names)
-                if pad:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(pad, number)), *[pa.nulls(pad, t) for t in kinds[1:9]], pa.array(distinct), pa.array(n),
-                         pa.array(np.arange(pad))], names)
+            texts = [t or "" for t in arrow.column(1).to_pylist()]
+            for i, j in text_blocks(texts, BATCH_CHARS, BATCH_TEXTS):
+                yield from _one_batch(vocab, arrow.column(0).slice(i, j - i), texts[i:j], rows)
                 number += 1
 
-    schema = ("batch long, id long, " + ", ".join(f"{x} long" for x in figures)
-              + ", groups_sha256 string, places binary, pair long, n long, place long")
+    schema = ("batch long, kind long, place long, id long, " + ", ".join(f"{x} long" for x in FIGURES)
+              + ", groups_sha256 string, packed binary, pair long, n long")
     both = stored(narrow(docs, id_col, text_col).mapInArrow(run, schema), "alignment")
-    pairs = both.where("pair is not null").select("batch", "place", "pair", "n")
+    pairs = both.where(F.col("kind") == PAIR).select("batch", "kind", "place", "pair", "n")
     counts = stored(pairs.groupBy("pair").agg(F.sum("n").alias("count")), "pair-counts")
+    b_id = F.col("pair").bitwiseAND((1 << SHIFT) - 1)
     # as many rows as the B vocabulary has ids at most
-    best = counts.groupBy(F.col("pair").bitwiseAND((1 << SHIFT) - 1).alias("b")).agg(F.max("count").alias("most"))
-    counts = counts.withColumn("b", F.col("pair").bitwiseAND((1 << SHIFT) - 1)).join(F.broadcast(best), "b").select(
+    best = counts.groupBy(b_id.alias("b")).agg(F.max("count").alias("most"))
+    counts = counts.withColumn("b", b_id).join(F.broadcast(best), "b").select(
         "pair", "count", (F.col("count") == F.col("most")).alias("is_best"))
-    back = pairs.join(counts, "pair").select("batch", "place", "count", "is_best")
-    texts = both.where("pair is null").select("batch", "id", *figures, "groups_sha256", "places")
-    stream = texts.unionByName(back, allowMissingColumns=True).repartition("batch").sortWithinPartitions(
-        "batch", F.col("place").asc_nulls_last())
-    return stream.mapInArrow(_sum_up, "id long, " + ", ".join(f"{x} long" for x in figures)
+    back = pairs.join(counts, "pair").select("batch", "kind", "place", "count", "is_best")
+    rest = both.where(F.col("kind") != PAIR).drop("pair", "n")
+    stream = rest.unionByName(back, allowMissingColumns=True).repartition("batch").sortWithinPartitions("batch", "kind", "place")
+    return stream.mapInArrow(_sum_up, "id long, " + ", ".join(f"{x} long" for x in FIGURES)
                              + ", n_best long, count_sum long, groups_sha256 string")
 
 
+FIGURES = ("n_a", "n_b", "n_groups", "n_links", "n_shared")
+PAIR, SEGMENTS, TEXT = range(3)  # kinds of rows of a batch, in the order they are read back
+SEGMENT_ROWS = 1 << 16  # segments in one row
+
+
+def _one_batch(vocab: Vocabularies, ids, texts: list[str], rows):
+    """Rows of a batch: its texts (segment places), its segments (pair places) and its distinct pairs."""
+    import numpy as np
+    import pyarrow as pa
+
+    cut = [segments(t) for t in texts]
+    distinct = set().union(*cut)
+    plain = [p for p in distinct if p and not (p[0].isspace() or p[-1].isspace())]
+    parts = plain + [p for p in distinct if not p or p[0].isspace() or p[-1].isspace()]
+    place = {p: k for k, p in enumerate(parts)}
+    length = np.array([len(c) for c in cut])
+    at = np.array([k for c in cut for k in map(place.__getitem__, c)], np.int64)
+    owner = np.repeat(np.arange(len(texts)), length)
+    block = Block(vocab, parts, len(plain))
+    bad = np.bincount(owner[~block.good[at]], minlength=len(texts)) > 0
+    at, owner = at[~bad[owner]], owner[~bad[owner]]
+    length = np.where(bad, 0, length)
+
+    links, where = [], []
+    for a, b, _ in block.overlaps():
+        links.append(block.a[a] << SHIFT | block.b[b])
+        where.append(block.a_part[a])
+    links, where = (np.concatenate(x or [np.zeros(0, np.int64)]) for x in (links, where))
+    n_links = np.bincount(where, minlength=len(parts))
+    pairs, of = np.unique(links, return_inverse=True)
+    times = np.bincount(at, minlength=len(parts))
+    total = np.bincount(of, times[where], minlength=len(pairs)).astype(np.int64)
+
+    strings = block.group_strings(vocab)
+    stops = np.cumsum(length).tolist()
+    spans = list(zip([0, *stops], stops))
+    listed = at.tolist()
+    sums = {x: np.bincount(owner, v[at], minlength=len(texts)).astype(np.int64) for x, v in
+            zip(FIGURES, (block.n_a, block.n_b, block.n_groups, n_links, block.n_shared()))}
+    sha = [hashlib.sha256(";".join(map(strings.__getitem__, listed[s:e])).encode()).hexdigest() if e > s else "" for s, e in spans]
+    small = at.astype("<u4")
+    yield rows(len(texts), TEXT, id=ids, **{x: pa.array(v) for x, v in sums.items()}, groups_sha256=pa.array(sha, pa.string()),
+               packed=pa.array([small[s:e].tobytes() for s, e in spans], pa.binary()))
+    # the pair places of each segment: lengths, then places, some segments to a row
+    first = np.r_[0, np.cumsum(n_links)]
+    for k in range(0, len(parts), SEGMENT_ROWS):
+        some = n_links[k:k + SEGMENT_ROWS].astype("<u4")
+        held = of[first[k]:first[min(k + SEGMENT_ROWS, len(parts))]].astype("<u4")
+        head = np.array([len(some)], "<u4")
+        yield rows(1, SEGMENTS, place=pa.array([k], pa.int64()),
+                   packed=pa.array([head.tobytes() + some.tobytes() + held.tobytes()], pa.binary()))
+    if len(pairs):
+        yield rows(len(pairs), PAIR, place=pa.array(np.arange(len(pairs))), pair=pa.array(pairs), n=pa.array(total))
+
+
 def _sum_up(batches):
-    """Per text the sums over its links: a batch's pair figures come first, in order of place, then its texts."""
+    """Per text the sums over its links: of a batch come the figures of its pairs, its segments, then its texts."""
     import numpy as np
     import pyarrow as pa
 
-    figures = ["n_a", "n_b", "n_groups", "n_links", "n_shared"]
-    now, counts, best = None, [], []
+    now, figures, by_segment = None, [], []
     for arrow in batches:
-        batch = arrow.column("batch").to_numpy()
-        cuts = [0, *(np.flatnonzero(batch[1:] != batch[:-1]) + 1).tolist(), len(batch)]
+        mark = arrow.column("batch").to_numpy() * 4 + arrow.column("kind").to_numpy()
+        cuts = [0, *(np.flatnonzero(mark[1:] != mark[:-1]) + 1).tolist(), len(mark)]
         for s, e in zip(cuts, cuts[1:]):
             if s == e:
                 continue
-            part = arrow.slice(s, e - s)
-            if batch[s] != now:
-                now, counts, best = batch[s], [], []
-            known = part.column("place").is_valid().to_numpy(zero_copy_only=False)
-            many = int(known.sum())
-            if many:
-                counts.append(part.column("count").slice(0, many).to_numpy(zero_copy_only=False))
-                best.append(part.column("is_best").slice(0, many).to_numpy(zero_copy_only=False))
-            rest = part.slice(many)
-            if not rest.num_rows:
+            part, batch, kind = arrow.slice(s, e - s), mark[s] // 4, mark[s] % 4
+            if batch != now:
+                now, figures, by_segment = batch, [], []
+            if kind == PAIR:
+                figures.append(np.stack([part.column(x).cast(pa.int64()).to_numpy(zero_copy_only=False)
+                                         for x in ("count", "is_best")]))
+                continue
+            if len(figures) > 1:
+                figures = [np.concatenate(figures, axis=1)]
+            if kind == SEGMENTS:
+                for packed in part.column("packed").to_pylist():
+                    data = np.frombuffer(packed, "<u4")
+                    n, places = data[1:1 + data[0]].astype(np.int64), data[1 + data[0]:]
+                    upto = np.zeros((2, len(places) + 1), np.int64)
+                    if len(places):
+                        np.cumsum(figures[0][:, places], axis=1, out=upto[:, 1:])
+                    ends = np.cumsum(n)
+                    by_segment.append(upto[:, ends] - upto[:, ends - n])
                 continue
-            if len(counts) > 1:
-                counts, best = [np.concatenate(counts)], [np.concatenate(best)]
-            sums, bests = [], []
-            for packed in rest.column("places").to_pylist():
-                place = np.frombuffer(packed, np.uint16 if packed[0] == 2 else np.uint32, offset=1)
-                sums.append(int(counts[0][place].sum()) if len(place) else 0)
-                bests.append(int(best[0][place].sum()) if len(place) else 0)
+            if len(by_segment) > 1:
+                by_segment = [np.concatenate(by_segment, axis=1)]
+            got = [by_segment[0][:, np.frombuffer(x, "<u4")].sum(axis=1) if x else (0, 0) for x in part.column("packed").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [rest.column("id"), *[rest.column(x) for x in figures], pa.array(bests, pa.int64()), pa.array(sums, pa.int64()),
-                 rest.column("groups_sha256")], ["id", *figures, "n_best", "count_sum", "groups_sha256"])
+                [part.column("id"), *[part.column(x) for x in FIGURES], pa.array([int(g[1]) for g in got], pa.int64()),
+                 pa.array([int(g[0]) for g in got], pa.int64()), part.column("groups_sha256")],
+                ["id", *FIGURES, "n_best", "count_sum", "groups_sha256"])

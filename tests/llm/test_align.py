@@ -112,10 +112,7 @@ def key(rows):
     return sorted(((-1 if r[0] is None else r[0], *r[1:]) for r in rows))
 
 
-@pytest.mark.parametrize("batch,block", [(al.BATCH_CHARS, al.BLOCK_CHARS), (40, 20)])
-def test_odd_texts_equal_plain_loops(spark, tokenizers, monkeypatch, batch, block):
-    monkeypatch.setattr(al, "BATCH_CHARS", batch)
-    monkeypatch.setattr(al, "BLOCK_CHARS", block)
+def test_odd_texts_equal_plain_loops(spark, tokenizers):
     rows = [(i if i != 7 else None, t) for i, t in enumerate(TEXTS)] + [(0, "repeated id")]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     df = df.select("*", F.lit(1).alias("id"), F.lit("x").alias("pair"), F.lit(2).alias("n_a"))
@@ -125,6 +122,19 @@ def test_odd_texts_equal_plain_loops(spark, tokenizers, monkeypatch, batch, bloc
     assert sum(r.n_a > 0 for r in got) > 8
 
 
+def test_segments_are_tokenized_alike_wherever_they_stand(tokenizers):
+    a, b = tokenizers
+    vocab = al.Vocabularies(a.to_str(), b.serialized_model_proto())
+    texts = [t for t in TEXTS if t] + ["don't  stop\n now ,ok  it's \x1c x\u3000y z ", " a b", "tab\tand space ok"]
+    for t in texts:
+        parts = al.segments(t)
+        assert " ".join(parts) == t
+        whole, cut = vocab._spell(t), [vocab._spell(p) for p in parts]
+        assert (whole is None) == (None in cut)
+        if whole:
+            assert [i for x in cut for i in x[0]] == whole[0] and [i for x in cut for i in x[1]] == whole[1]
+
+
 def test_links_of_both_products(spark):
     df = spark.createDataFrame([(1, "Hello tokenization"), (2, None)], "doc_id long, text string")
     near, shared = (al.links(df, BYTE_LEVEL, PIECES, shared=s).collect() for s in (False, True))
