@@ -390,3 +390,72 @@ for _level in ("house", "plug"):
 # the end-of-input reading closes the last windows, so the result is that of the batch form
 query("stream_house_state_prediction_as_run")(_stream_prediction("house"))
 query("stream_plug_state_prediction_as_run")(_stream_prediction("plug"))
+
+
+# ---- state kept in the engine: the table arrives in four files, each with rows of all times ----
+
+def _feed(spark, d):
+    """Measurements arriving over several triggers, and what ends the input."""
+    from loadlens.sources.tables import measurements_from_events
+    from loadlens.streaming.sources import arriving_in_files, end_of_input
+
+    m = measurements_from_events(arriving_in_files(spark, read_table(spark, d, "events"), "event_id"))
+    last, end = end_of_input(spark, m)
+    return m.unionByName(last), end
+
+
+def _stream_median_prediction(level: str) -> Query:
+    keys = keys_of(level)
+
+    def run(spark, d):
+        from loadlens.streaming.panes import median_prediction_stream
+        from loadlens.streaming.sinks import materialize
+
+        m, end = _feed(spark, d)
+        s = median_prediction_stream(m, keys, TF, PANE, K, watermark=STREAM_DELAY)
+        return finish(materialize(spark, s, "append", f"{level}-median-prediction", end))
+    return run
+
+
+def _stream_processor(level: str) -> Query:
+    keys = keys_of(level)
+
+    def run(spark, d):
+        from loadlens.streaming.processor import ProcessorTables
+
+        m, end = _feed(spark, d)
+        tables = ProcessorTables(spark, scratch_path(spark, "processor"), TF, PANE, K, STREAM_DELAY)
+        checkpoint = scratch_path(spark, "processor-ckpt")
+        tables.run_available(m, checkpoint)
+        end()
+        tables.run_available(m, checkpoint)
+        return finish(pr.prediction_set(tables.predictions(level), keys, TF))
+    return run
+
+
+for _level in ("house", "plug"):
+    query(f"stream_{_level}_state_prediction")(_stream_median_prediction(_level))
+    query(f"stream_{_level}_prediction")(_stream_processor(_level))
+
+
+@query("stream_rolling_prediction")
+def stream_rolling_prediction(spark, d):
+    from loadlens.streaming.rolling import rolling_prediction_stream
+    from loadlens.streaming.sinks import materialize
+
+    m, end = _feed(spark, d)
+    s = rolling_prediction_stream(ms.load_only(m), watermark=STREAM_DELAY)
+    return finish(materialize(spark, s, "append", "rolling", end))
+
+
+@query("stream_sliding_event_count_wide")
+def stream_sliding_event_count_wide(spark, d):
+    from loadlens.streaming.panes import sliding_count_stream
+    from loadlens.streaming.sinks import materialize
+    from loadlens.streaming.sources import arriving_in_files, end_of_events
+
+    ev = arriving_in_files(spark, read_table(spark, d, "events").select("event_id", "event_type", "ts"), "event_id")
+    ev = ev.select("event_type", "ts")
+    last, end = end_of_events(spark, ev)
+    s = sliding_count_stream(ev.unionByName(last), ["event_type"], "ts", WIDE_PANES, EVENT_SLIDE, watermark=STREAM_DELAY)
+    return materialize(spark, s, "append", "sliding-wide", end)

@@ -295,4 +295,8 @@ def oracle_queries() -> dict[str, str]:
     out["stream_word_count"] = out["word_count_nonempty"]
     out["stream_house_state_prediction_as_run"] = state(HOUSE, "as_run") + f"\n{ROUNDED} FROM pred"
     out["stream_plug_state_prediction_as_run"] = state(PLUG, "as_run") + f"\n{ROUNDED} FROM pred"
+    for name in ("house_state_prediction", "plug_state_prediction", "house_prediction", "plug_prediction",
+                 "sliding_event_count_wide"):
+        out[f"stream_{name}"] = out[name]
+    out["stream_rolling_prediction"] = out["rolling_prediction_float"]
     return out

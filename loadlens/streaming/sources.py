@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from loadlens.session import scratch_path
 from loadlens.sources.tables import measurements_from_events, table_path
@@ -60,6 +61,26 @@ def end_of_input(spark: SparkSession, measurements: DataFrame) -> tuple[DataFram
             lambda: row.write.mode("append").parquet(folder))
 
 
+def end_of_events(spark: SparkSession, events: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
+    """``end_of_input`` for a stream of ``(event_type, ts)``."""
+    folder = scratch_path(spark, "end-of-events")
+    at = F.timestamp_seconds(F.lit(END_SECOND)).cast(events.schema["ts"].dataType)
+    row = spark.range(1).select(F.lit(None).cast("string").alias("event_type"), at.alias("ts"))
+    row.limit(0).write.parquet(folder)
+    return (spark.readStream.schema(events.schema).parquet(folder),
+            lambda: row.write.mode("append").parquet(folder))
+
+
+def arriving_in_files(spark: SparkSession, table: DataFrame, by: str, files: int = 4) -> DataFrame:
+    """A table as a feed that arrives in several files, one a trigger, each with rows of all times.
+
+    A stand-in for a feed: the rows are those of the table, dealt to the files by a hash of the column ``by``.
+    """
+    folder = scratch_path(spark, "feed")
+    table.repartition(files, F.xxhash64(by)).write.parquet(folder)
+    return spark.readStream.schema(table.schema).option("maxFilesPerTrigger", "1").parquet(folder)
+
+
 def stream_lines(spark: SparkSession, directory: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """New text files in a directory, one row per line (``value``)."""
     r = spark.readStream
