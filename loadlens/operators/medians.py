@@ -57,18 +57,18 @@ def final_median(valid: DataFrame, keys: Sequence[str], tf: int = DEFAULT_TF,
         raise ValueError(f"over must be 'averages' or 'measures', not {over!r}")
     d = distinct_values(valid, keys, tf, origin)
     r = ranked(d, [*keys, "s"], "v")
+    sizes = r.groupBy(*keys, "s").agg((F.max("rank") + 1).alias("n"))
     n = F.col("n")
     if rule == "reference":
         lo, hi = shifted_median_ranks(n)
     else:
         lo = F.call_function("div", n - 1, F.lit(2))
         hi = F.call_function("div", n, F.lit(2))
-    picked = r.groupBy(*keys, "s").agg(
-        F.first("n").alias("n"),
-        F.max(F.when(F.col("rank") == lo, F.col("v"))).alias("_lo"),
-        F.max(F.when(F.col("rank") == hi, F.col("v"))).alias("_hi"),
-    )
-    both = F.when(F.col("_lo").isNotNull() & F.col("_hi").isNotNull(), (F.col("_lo") + F.col("_hi")) / 2)
+    # one or two positions per set are looked up in the sets' rows
+    wanted = sizes.select(*keys, "s", "n", F.explode(F.array_distinct(F.array(lo, hi))).alias("rank"))
+    picked = wanted.join(r, [*keys, "s", "rank"], "left").groupBy(*keys, "s").agg(
+        F.first("n").alias("n"), F.count("v").alias("_found"), F.count(F.lit(1)).alias("_wanted"), F.avg("v").alias("_avg"))
+    both = F.when(F.col("_found") == F.col("_wanted"), F.col("_avg"))
     med = both if rule == "exact" else F.coalesce(both, F.lit(0.0))
     return picked.select(*keys, F.col("s").alias("slice"), "n", med.cast("double").alias("median"))
 

@@ -42,6 +42,7 @@ DOCS_PER_PANE = 50
 DOCS_PER_LONG_PANE = 500  # where words are kept at zero
 WORD_PANES = 3
 TUMBLE_SECONDS = 3600
+FIRST = 5  # positions read from the head of each sorted set
 # Delay of the prediction streams: covers files of the table arriving in any order.
 STREAM_DELAY = "400 days"
 # Domain bounds that cut: largest id, first and last slice.
@@ -188,6 +189,17 @@ def _pred_set(spark, d, keys) -> DataFrame:
     return pr.prediction_set(_pred(spark, d, keys, "intended"), keys, TF)
 
 
+def _first_measures(spark, d, keys) -> DataFrame:
+    """The first members of every measure set, read by position from a stored sorted set."""
+    from loadlens.operators.ranks import numbered
+    from loadlens.sinks.sorted_sets import SortedSets
+
+    rows = avg.distinct_values(_v(spark, d), keys, TF)
+    sets = SortedSets(spark, scratch_path(spark, "measure-sets"), [*keys, "s"], "v")
+    sets.write(numbered(rows, [*keys, "s"], "v"))
+    return sets.first(FIRST).select(*keys, F.col("s").alias("slice"), "rank", F.col("v").alias("value"))
+
+
 def _register_level(level: str) -> None:
     """House and plug variants are one operator with a ``keys`` argument."""
     keys = keys_of(level)
@@ -214,6 +226,7 @@ def _register_level(level: str) -> None:
             med.final_median(_v(spark, d), keys, TF, PANE, "reference", "measures")),
         "measure_card": lambda spark, d: avg.measure_card(_v(spark, d), keys, TF),
         "measure_sorted": lambda spark, d: finish(med.sorted_measures(_v(spark, d), keys, TF)),
+        "measure_first": lambda spark, d: finish(_first_measures(spark, d, keys)),
         "prediction": lambda spark, d: finish(_pred_set(spark, d, keys)),
         "prediction_min": lambda spark, d: finish(q.prediction_min(_pred_set(spark, d, keys), keys)),
         "error": lambda spark, d: finish(q.prediction_error(

@@ -7,7 +7,7 @@ Tables ``events`` and ``documents`` are views over the driver's parquet.
 
 from __future__ import annotations
 
-from loadlens.plans.catalog import (CUT_ID, CUT_SLICES, DOCS_PER_LONG_PANE, DOCS_PER_PANE, EVENT_SLIDE, EVENT_WINDOW, K,
+from loadlens.plans.catalog import (CUT_ID, CUT_SLICES, DOCS_PER_LONG_PANE, DOCS_PER_PANE, EVENT_SLIDE, EVENT_WINDOW, FIRST, K,
                                     PANE, SHORT_PANE, SLICES, TF, TUMBLE_SECONDS, WIDE_PANES, WORD_PANES)
 
 HOUSE = ("house_id",)
@@ -167,6 +167,7 @@ def level_sql(keys) -> dict[str, str]:
                                   f"row_number() OVER (PARTITION BY {ks}, s ORDER BY v) - 1 AS rank, "
                                   f"{r6('v')} AS value FROM (SELECT DISTINCT {ks}, s, v FROM p)"),
     }
+    out[f"{lvl}_measure_first"] = f"SELECT * FROM ({out[f'{lvl}_measure_sorted']}) WHERE rank < {FIRST}"
     return out
 
 

@@ -21,6 +21,15 @@ from loadlens.streaming.sources import end_of_events, end_of_input
 TF, K = 3600, 3
 
 
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    """Each partition of a stateful step costs a worker and a state store: two are enough here."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 class FakeMap(dict):
     """The map state calls that ``SliceSets`` makes; counts block reads."""
 

@@ -82,7 +82,7 @@ def test_shifted_median_matches_model(spark, sets):
 @given(st.lists(st.tuples(st.integers(0, 3), st.integers(-1000, 1000)), min_size=1, max_size=300, unique=True))
 def test_distributed_ranks_match_sorting(spark, pairs):
     df = spark.createDataFrame([(g, float(v)) for g, v in pairs], "g int, v double")
-    got = {(r.g, r.v): r.rank for r in ranked(df, ["g"], "v", buckets=4).collect()}
+    got = {(r.g, r.v): r.rank for r in ranked(df, ["g"], "v", 4).collect()}
     for g in {g for g, _ in pairs}:
         vals = sorted(float(v) for gg, v in pairs if gg == g)
         assert [got[(g, v)] for v in vals] == list(range(len(vals)))
