@@ -139,8 +139,10 @@ class Weights:
 
     def update(self, gradient, share: float, rate: float = 0.4, pull: float = 20.0):
         """One step: empirical minus expected counts, scaled by the counts behind each weight."""
+        import numpy as np
+
         for i, g in enumerate(gradient):
-            self.tables[i] = self.tables[i] + rate * g / (share * self.counts[i] + pull)
+            self.tables[i] += (rate * g / (share * self.counts[i] + pull)).astype(np.float32)
 
     def shares(self, rows, first):
         """Per factor ``(exp of the logits, their sum per token)``; the second given the token's first class.

@@ -474,3 +474,18 @@ def test_embedding_groups_equal_brute_force(spark):
         assert all(got[i].n_links == 0 and got[i].kept for i in (601, 602, 603, 604, 605, 606, 607))
         assert got[608].component_id == got[609].component_id == 608
     assert embed_dedup.embedding_groups(df.limit(0)).count() == 0
+
+
+def test_lm_tables_stay_single_precision_over_updates():
+    rng = np.random.default_rng(2)
+    shape = lm_score.Shape(rows=8, first=3, second=4)
+    sizes = lm_score._shapes(shape)
+    counts = [rng.integers(0, 9, s).astype(float) for s in sizes]
+    model = lm_score.Weights(shape, (counts[:6], counts[6]))
+    before = [t.astype(np.float64).copy() for t in model.tables]
+    for n in range(4):
+        gradient = [rng.normal(size=s) for s in sizes[:6]]
+        before = [t + 0.4 * g / (0.25 * c + 20.0) for t, g, c in zip(before, gradient, counts)]
+        model.update(gradient, 0.25)
+        assert {t.dtype for t in model.tables} == {np.dtype(np.float32)}
+    assert all(np.abs(t - b).max() < 1e-5 for t, b in zip(model.tables, before))
