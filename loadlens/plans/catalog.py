@@ -373,7 +373,7 @@ def _stream_prediction(level: str) -> Query:
     def run(spark, d):
         from loadlens.streaming.sinks import materialize
         from loadlens.streaming.sources import end_of_input, stream_measurements
-        from loadlens.streaming.state import prediction_stream
+        from loadlens.streaming.panes import prediction_stream
 
         m = stream_measurements(spark, d)
         last, end = end_of_input(spark, m)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import BinaryType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from loadlens.functions.timeslice import DEFAULT_TF, ORIGIN_TS, event_time
+from loadlens.functions.timeslice import DEFAULT_TF, ORIGIN_TS, event_time, time_slice
 from loadlens.operators.measures import prepared, valid_load
 from loadlens.operators.predict import DEFAULT_PANE_SECONDS, DEFAULT_PANES_PER_WINDOW, HEAD_UNIT, head_key, head_timestamp
 from loadlens.streaming.state import require_rocksdb
@@ -152,8 +152,10 @@ class Panes(StatefulProcessor):
 
     fields: Sequence[str] = ("pane",)  # columns of the input that are read, the pane first
 
-    def __init__(self, keys: Sequence[str], pane_seconds: int, panes_per_window: int, tail: int = 0):
+    def __init__(self, keys: Sequence[str], pane_seconds: int, panes_per_window: int, tail: int = 0,
+                 backfilled: int | None = None):
         self.keys, self.pane_ms, self.size, self.tail = list(keys), pane_seconds * 1000, panes_per_window, tail
+        self.backfilled = backfilled  # last pane of the initial state
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -198,22 +200,32 @@ class Panes(StatefulProcessor):
     def save(self) -> None:
         """Write back what ``advance`` and ``emit`` hold besides the state."""
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        pdf = pd.concat(list(rows), ignore_index=True)
-        held = self.state.get()
-        out: list = []
-        state = json.loads(held[0]) if held else None
-        for pane, part in groupby(sorted(zip(*(pdf[c].tolist() for c in self.fields))), itemgetter(0)):
+    def _take(self, state: list | None, rows: pd.DataFrame, out: list) -> list:
+        """Advance over a key's closed panes."""
+        for pane, part in groupby(sorted(zip(*(rows[c].tolist() for c in self.fields))), itemgetter(0)):
             if state is None:
                 state = [pane, pane, [], *self.begin()]
             self._catch_up(state, pane - 1, out)
             state[2].append(self.advance(state, pane, list(part), out))
             state[1] = pane
             self._close(state, pane, out)
+        return state
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        held, out = self.state.get(), []
+        state = self._take(json.loads(held[0]) if held else None, pd.concat(list(rows), ignore_index=True), out)
         self._settle(state, timerValues, out)
         if out:
             yield self.frame(key, out)
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:  # noqa: N802, N803
+        """Take in a backfill's panes; windows up to its last pane are the backfill's output, not the stream's."""
+        out: list = []
+        state = self._take(None, initialState, out)
+        self._catch_up(state, self.backfilled, out)
+        out.clear()
+        self._settle(state, timerValues, out)
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         state, out = json.loads(self.state.get()[0]), []
         self._settle(state, timerValues, out)
@@ -233,8 +245,8 @@ class SetsAndPredictions(Panes):
 
     fields = ("pane", "s", "v", "n", "head_ts", "head_id")
 
-    def __init__(self, keys, pane_seconds, panes_per_window, rule, tables: bool):
-        super().__init__(keys, pane_seconds, panes_per_window)
+    def __init__(self, keys, pane_seconds, panes_per_window, rule, tables: bool, backfilled: int | None = None):
+        super().__init__(keys, pane_seconds, panes_per_window, backfilled=backfilled)
         self.rule, self.tables = rule, tables
 
     def init(self, handle):
@@ -293,17 +305,24 @@ def pane_values(measurements: DataFrame, keys: Sequence[str], tf: int, pane_seco
     w = F.window("_et", f"{pane_seconds} seconds")
     g = p.withWatermark("_et", watermark).groupBy(*keys, w.alias("w"), "s", "v").agg(
         F.count(F.lit(1)).alias("n"), F.min("_hk").alias("_hk"))
-    unit = F.lit(str(HEAD_UNIT)).cast("decimal(20,0)")
-    ts = head_timestamp("_hk")
-    rid = F.col("_hk") - (ts.cast("decimal(11,0)") * unit).cast("decimal(33,0)") - F.lit(str(HEAD_UNIT // 2)).cast("decimal(20,0)")
+    ts, rid = _head("_hk")
     return g.select(*keys, F.call_function("div", F.unix_seconds(F.col("w.start")), F.lit(pane_seconds)).alias("pane"), "s", "v",
-                    "n", ts.alias("head_ts"), rid.cast("long").alias("head_id"), F.window_time("w").alias("_time"))
+                    "n", ts.alias("head_ts"), rid.alias("head_id"), F.window_time("w").alias("_time"))
+
+
+def _head(key: str):
+    """Timestamp and id of a packed head key."""
+    unit = F.lit(str(HEAD_UNIT)).cast("decimal(20,0)")
+    ts = head_timestamp(key)
+    rid = F.col(key) - (ts.cast("decimal(11,0)") * unit).cast("decimal(33,0)") - F.lit(str(HEAD_UNIT // 2)).cast("decimal(20,0)")
+    return ts, rid.cast("long")
 
 
 def sets_and_predictions(measurements: DataFrame, keys: Sequence[str], tf: int = DEFAULT_TF,
                          pane_seconds: int = DEFAULT_PANE_SECONDS,
                          panes_per_window: int = DEFAULT_PANES_PER_WINDOW, *, watermark: str, rule: str = "reference",
-                         origin: int = ORIGIN_TS, tables: bool = True) -> DataFrame:
+                         origin: int = ORIGIN_TS, tables: bool = True,
+                         backfill: tuple[DataFrame, int] | None = None) -> DataFrame:
     """Append-mode stream of ``keys, kind, pane, slice, value, head_timestamp, n`` (``SetsAndPredictions``).
 
     Equal to the batch ``measure_set``, ``averages_set`` and ``state_prediction`` (``intended``) of all readings that are not
@@ -316,21 +335,73 @@ def sets_and_predictions(measurements: DataFrame, keys: Sequence[str], tf: int =
                          StructField("pane", LongType()), StructField("slice", IntegerType()), StructField("value", DoubleType()),
                          StructField("head_timestamp", IntegerType()), StructField("n", LongType())])
     rows = pane_values(measurements, keys, tf, pane_seconds, watermark, origin)
+    before, upto = (None, None) if backfill is None else backfill
+    if before is not None:
+        before = pane_values(before, keys, tf, pane_seconds, watermark, origin).drop("_time").groupBy(*keys)
     return rows.groupBy(*keys).transformWithStateInPandas(
-        SetsAndPredictions(keys, pane_seconds, panes_per_window, rule, tables), schema, "Append", "EventTime")
+        SetsAndPredictions(keys, pane_seconds, panes_per_window, rule, tables, upto), schema, "Append", "EventTime", before)
 
 
 def median_prediction_stream(measurements: DataFrame, keys: Sequence[str], tf: int = DEFAULT_TF,
                              pane_seconds: int = DEFAULT_PANE_SECONDS,
                              panes_per_window: int = DEFAULT_PANES_PER_WINDOW, *, watermark: str,
-                             rule: str = "reference", origin: int = ORIGIN_TS) -> DataFrame:
+                             rule: str = "reference", origin: int = ORIGIN_TS,
+                             backfill: tuple[DataFrame, int] | None = None) -> DataFrame:
     """Predictions with the slice median as a stream: the columns of the batch ``state_prediction``."""
     got = sets_and_predictions(measurements, keys, tf, pane_seconds, panes_per_window, watermark=watermark, rule=rule,
-                               origin=origin, tables=False)
+                               origin=origin, tables=False, backfill=backfill)
     return got.select(*keys, "pane", "head_timestamp", "n", F.col("value").alias("predicted_load"),
                       F.col("slice").alias("target_slice"))
 
 
+class Predictions(Panes):
+    """Per key: a prediction per closed window with the head reading's own value as median (``as_run``)."""
+
+    fields = ("pane", "total", "n", "head_ts", "head_id", "head_v", "head_s")
+
+    def begin(self):
+        return [0.0, 0]
+
+    def advance(self, state, pane, rows, out):
+        return [pane, *rows[0][1:]]
+
+    def emit(self, state, pane, out):
+        window = state[2]
+        if window:
+            state[3] += sum(e[1] for e in window)
+            state[4] += sum(e[2] for e in window)
+            head = min(window, key=itemgetter(3, 4))
+            out.append((pane, head[3], state[4], (state[3] / state[4] + head[5]) / 2, head[6] + 1))
+
+    def frame(self, key, out):
+        got = pd.DataFrame(out, columns=["pane", "head_timestamp", "n", "predicted_load", "target_slice"])
+        for name, value in zip(reversed(self.keys), reversed(key)):
+            got.insert(0, name, value)
+        return got.astype({"head_timestamp": "int32", "target_slice": "int32", **{k: "int32" for k in self.keys}})
+
+
+def prediction_stream(measurements: DataFrame, keys: Sequence[str], tf: int = DEFAULT_TF,
+                      pane_seconds: int = DEFAULT_PANE_SECONDS,
+                      panes_per_window: int = DEFAULT_PANES_PER_WINDOW,
+                      *, watermark: str, origin: int = ORIGIN_TS) -> DataFrame:
+    """Append-mode stream of predictions; same rows as the batch ``state_prediction`` (``as_run``) for every window
+    that has closed."""
+    require_rocksdb(measurements.sparkSession)
+    p = prepared(valid_load(measurements), keys, tf, origin=origin).select(
+        *keys, "v", head_key().alias("_hk"), F.timestamp_seconds("timestamp").alias("_et"))
+    g = p.withWatermark("_et", watermark).groupBy(*keys, F.window("_et", f"{pane_seconds} seconds").alias("w")).agg(
+        F.sum("v").alias("total"), F.count(F.lit(1)).alias("n"), F.min("_hk").alias("_hk"), F.min_by("v", "_hk").alias("head_v"))
+    ts, rid = _head("_hk")
+    rows = g.select(*keys, F.call_function("div", F.unix_seconds(F.col("w.start")), F.lit(pane_seconds)).alias("pane"), "total",
+                    "n", ts.alias("head_ts"), rid.alias("head_id"), "head_v", time_slice(ts, tf, origin).alias("head_s"),
+                    F.window_time("w").alias("_time"))
+    schema = StructType([*[StructField(k, IntegerType()) for k in keys], StructField("pane", LongType()),
+                         StructField("head_timestamp", IntegerType()), StructField("n", LongType()),
+                         StructField("predicted_load", DoubleType()), StructField("target_slice", IntegerType())])
+    return rows.groupBy(*keys).transformWithStateInPandas(
+        Predictions(keys, pane_seconds, panes_per_window), schema, "Append", "EventTime")
+
+
 class SlidingCounts(Panes):
     """Per key: the window's count, increased by each pane that enters and decreased by each that leaves."""
 

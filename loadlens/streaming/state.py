@@ -1,97 +1,7 @@
-"""Streaming load prediction with running state (T1/T2 stream form).
-
-readStream -> valid readings -> watermark -> sliding event-time window
-aggregate (append mode: a window is emitted once, when it closes) ->
-``transformWithStateInPandas`` keyed by the entity, carrying the running
-(total, counter) across batches -> one prediction per closed window.
-
-The stateful step sees per-window partials only (one row per key and
-window), never raw readings.  Several windows of a key can close in one
-batch; they are ordered by pane before the state is advanced.  The median
-is the head reading's own value (``as_run``), which needs no store.
-"""
+"""State store settings of the stateful streams."""
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator, Sequence
-
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
-
-from loadlens.functions.timeslice import DEFAULT_TF, ORIGIN_TS, time_slice
-from loadlens.operators.measures import prepared, valid_load
-from loadlens.operators.predict import DEFAULT_PANE_SECONDS, DEFAULT_PANES_PER_WINDOW, head_key, head_timestamp
-
-# The processor is shipped by value: the driver-side worker that plans a
-# stateful query does not see ``--py-files``, so nothing here may need an import
-# of this package on the other side.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-STATE_SCHEMA = StructType([StructField("total", DoubleType()), StructField("n", LongType())])
-
-
-def output_schema(keys: Sequence[str]) -> StructType:
-    return StructType([*[StructField(k, IntegerType()) for k in keys],
-                       StructField("pane", LongType()), StructField("head_timestamp", IntegerType()),
-                       StructField("n", LongType()), StructField("predicted_load", DoubleType()),
-                       StructField("target_slice", IntegerType())])
-
-
-class RunningPrediction(StatefulProcessor):
-    """Per key: advance (total, counter) over closed windows in pane order."""
-
-    def __init__(self, keys: Sequence[str]):
-        self.keys = list(keys)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("running", STATE_SCHEMA)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values("pane", kind="stable")
-        cur = self.state.get()          # None before the key's first window
-        total, n = (0.0, 0) if cur is None else (cur[0], cur[1])
-        totals = total + pdf["wsum"].cumsum()
-        counts = n + pdf["wcnt"].cumsum()
-        out = pd.DataFrame({k: pdf[k].astype("int32") for k in self.keys})
-        out["pane"] = pdf["pane"].astype("int64")
-        out["head_timestamp"] = pdf["head_timestamp"].astype("int32")
-        out["n"] = counts.astype("int64")
-        out["predicted_load"] = (totals / counts + pdf["head_v"]) / 2
-        out["target_slice"] = (pdf["head_slice"] + 1).astype("int32")
-        self.state.update((float(totals.iloc[-1]), int(counts.iloc[-1])))
-        yield out
-
-    def close(self) -> None:
-        pass
-
-
-def window_partials_stream(measurements: DataFrame, keys: Sequence[str], tf: int = DEFAULT_TF,
-                           pane_seconds: int = DEFAULT_PANE_SECONDS,
-                           panes_per_window: int = DEFAULT_PANES_PER_WINDOW,
-                           *, watermark: str, origin: int = ORIGIN_TS) -> DataFrame:
-    """Sliding-window partials per key, emitted once per window when it closes.
-
-    ``watermark`` is the delay readings may have: later ones are dropped by the engine,
-    so it must cover the disorder of the input.
-    """
-    p = prepared(valid_load(measurements), keys, tf, origin=origin).select(
-        "*", head_key().alias("_hk"), F.timestamp_seconds("timestamp").alias("_et"))
-    size = panes_per_window * pane_seconds
-    w = F.window("_et", f"{size} seconds", f"{pane_seconds} seconds")
-    g = p.withWatermark("_et", watermark).groupBy(*keys, w.alias("w")).agg(
-        F.sum("v").alias("wsum"), F.count(F.lit(1)).alias("wcnt"),
-        F.min("_hk").alias("head_key"), F.min_by("v", "_hk").alias("head_v"))
-    ht = head_timestamp("head_key")
-    return g.select(*keys, (F.call_function("div", F.unix_seconds(F.col("w.end")), F.lit(pane_seconds)) - 1).alias("pane"),
-                    "wsum", "wcnt", ht.alias("head_timestamp"), "head_v",
-                    time_slice(ht, tf, origin).alias("head_slice"))
-
-
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
 
@@ -104,16 +14,3 @@ def require_rocksdb(spark) -> None:
     """
     if spark.conf.get(PROVIDER_CONF, None) != ROCKSDB:
         spark.conf.set(PROVIDER_CONF, ROCKSDB)
-
-
-def prediction_stream(measurements: DataFrame, keys: Sequence[str], tf: int = DEFAULT_TF,
-                      pane_seconds: int = DEFAULT_PANE_SECONDS,
-                      panes_per_window: int = DEFAULT_PANES_PER_WINDOW,
-                      *, watermark: str, origin: int = ORIGIN_TS) -> DataFrame:
-    """Append-mode stream of predictions; same rows as the batch ``state_prediction``
-    (``median_source='as_run'``) for every window that has closed."""
-    require_rocksdb(measurements.sparkSession)
-    parts = window_partials_stream(measurements, keys, tf, pane_seconds, panes_per_window, watermark=watermark,
-                                   origin=origin)
-    return parts.groupBy(*keys).transformWithStateInPandas(
-        RunningPrediction(keys), output_schema(keys), "Append", "None")

@@ -17,7 +17,7 @@ from loadlens.operators.keys import keys_of  # noqa: E402
 from loadlens.session import get_spark, scratch_path  # noqa: E402
 from loadlens.streaming.sinks import batch_progress, partition_per_batch, run_bounded  # noqa: E402
 from loadlens.streaming.sources import stream_measurements  # noqa: E402
-from loadlens.streaming.state import prediction_stream  # noqa: E402
+from loadlens.streaming.panes import prediction_stream  # noqa: E402
 
 
 def main():

@@ -140,6 +140,33 @@ def test_median_predictions_in_event_time_order_with_restarts(spark, tmp_path):
     same(got, finish(state_prediction(valid_load(m), ["house_id"], TF, 21600, K, "intended")))
 
 
+def test_backfilled_state_then_stream_equals_batch(spark, tmp_path):
+    """The first half as initial state from a table, the rest streamed in two runs of the query."""
+    m = load_measurements(spark, SF_SMALL).where("house_id < 5")
+    folder, out, ckpt = (str(tmp_path / x) for x in ("feed", "out", "ckpt"))
+    size = 21600
+    lo, hi = m.agg(F.min("timestamp"), F.max("timestamp")).first()
+    cut, mid = (lo + hi) // 2 // size, (lo + 3 * hi) // 4 // size  # last panes of the backfill and of the first run
+    pane = F.expr(f"timestamp div {size}")
+    m.limit(0).write.parquet(folder)
+    stream = spark.readStream.schema(m.schema).parquet(folder)
+    last, end = end_of_input(spark, stream)
+    before = m.where(pane <= cut)
+    s = panes.median_prediction_stream(stream.unionByName(last), ["house_id"], TF, size, K, watermark="0 seconds",
+                                       backfill=(before, cut))
+    m.where((pane > cut) & (pane <= mid)).coalesce(1).write.mode("append").parquet(folder)
+    run_bounded(s, partition_per_batch(out), "append", ckpt)
+    m.where(pane > mid).coalesce(1).write.mode("append").parquet(folder)
+    run_bounded(s, partition_per_batch(out), "append", ckpt)
+    end()
+    run_bounded(s, partition_per_batch(out), "append", ckpt)
+    got = finish(spark.read.parquet(out).drop("batch_id"))
+    assert got.agg(F.min("pane")).first()[0] > cut
+    want = finish(state_prediction(valid_load(m), ["house_id"], TF, size, K, "intended"))
+    head = finish(state_prediction(valid_load(before), ["house_id"], TF, size, K, "intended")).where(F.col("pane") <= cut)
+    same(head.unionByName(got.select(*head.columns)), want)
+
+
 def test_rolling_predictions_equal_batch_over_restarts(spark, tmp_path):
     m = load_measurements(spark, SF_SMALL)
     feed = Feed(spark, m, str(tmp_path / "feed"), 4)

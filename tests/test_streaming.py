@@ -16,7 +16,7 @@ from loadlens.streaming.queries import word_count_stream
 from loadlens.streaming.sinks import (batch_progress, overwrite_each_batch, partition_per_batch, read_set_table,
                                       run_bounded, set_table_sink)
 from loadlens.streaming.sources import stream_lines
-from loadlens.streaming.state import prediction_stream
+from loadlens.streaming.panes import prediction_stream
 
 TF, P, K = 3600, 21600, 3
 
