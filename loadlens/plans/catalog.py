@@ -446,7 +446,25 @@ def _stream_processor(level: str) -> Query:
     return run
 
 
+def _stream_averages_delta(level: str) -> Query:
+    keys = keys_of(level)
+
+    def run(spark, d):
+        from loadlens.sources.tables import measurements_from_events
+        from loadlens.streaming import sets
+        from loadlens.streaming.history import AveragesHistory
+        from loadlens.streaming.sinks import run_bounded
+        from loadlens.streaming.sources import arriving_in_files
+
+        m = measurements_from_events(arriving_in_files(spark, read_table(spark, d, "events"), "event_id"))
+        kept = AveragesHistory(spark, scratch_path(spark, "history"), keys)
+        run_bounded(sets.arrivals(m, TF, PANE), kept.apply, "append", scratch_path(spark, "history-ckpt"))
+        return finish(kept.averages(TF))
+    return run
+
+
 for _level in ("house", "plug"):
+    query(f"stream_{_level}_averages_delta")(_stream_averages_delta(_level))
     query(f"stream_{_level}_state_prediction")(_stream_median_prediction(_level))
     query(f"stream_{_level}_prediction")(_stream_processor(_level))
 
