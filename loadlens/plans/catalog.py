@@ -457,7 +457,7 @@ def _stream_averages_delta(level: str) -> Query:
         from loadlens.streaming.sources import arriving_in_files
 
         m = measurements_from_events(arriving_in_files(spark, read_table(spark, d, "events"), "event_id"))
-        kept = AveragesHistory(spark, scratch_path(spark, "history"), keys)
+        kept = AveragesHistory(spark, scratch_path(spark, "history"), keys, slice_buckets=8, key_buckets=2)
         run_bounded(sets.arrivals(m, TF, PANE), kept.apply, "append", scratch_path(spark, "history-ckpt"))
         return finish(kept.averages(TF))
     return run
@@ -469,6 +469,16 @@ for _level in ("house", "plug"):
     query(f"stream_{_level}_prediction")(_stream_processor(_level))
 
 
+@query("stream_house_error")
+def stream_house_error(spark, d):
+    from loadlens.streaming.panes import latest_errors, live_errors
+    from loadlens.streaming.sinks import materialize
+
+    m, end = _feed(spark, d)
+    s = live_errors(m, HOUSE, TF, PANE, K, watermark=STREAM_DELAY)
+    return finish(latest_errors(materialize(spark, s, "append", "live-error", end), HOUSE))
+
+
 @query("stream_rolling_prediction")
 def stream_rolling_prediction(spark, d):
     from loadlens.streaming.rolling import rolling_prediction_stream

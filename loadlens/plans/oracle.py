@@ -299,6 +299,7 @@ def oracle_queries() -> dict[str, str]:
     for name in ("house_state_prediction", "plug_state_prediction", "house_prediction", "plug_prediction",
                  "sliding_event_count_wide"):
         out[f"stream_{name}"] = out[name]
+    out["stream_house_error"] = out["house_error"]
     for level in ("house", "plug"):
         out[f"stream_{level}_averages_delta"] = out[f"{level}_averages"]
     out["stream_rolling_prediction"] = out["rolling_prediction_float"]

@@ -354,6 +354,92 @@ def median_prediction_stream(measurements: DataFrame, keys: Sequence[str], tf: i
                       F.col("slice").alias("target_slice"))
 
 
+class LiveErrors(SetsAndPredictions):
+    """Per key: the error of the least prediction of each slice against the slice's average so far.
+
+    A slice has its plain sum and count over all readings of closed panes and the least prediction stored for it.  When
+    either changes, the error is emitted anew as ``(pane, slice, predicted_load, avg_load, error)``: the last row of a slice holds.
+    """
+
+    def __init__(self, keys, pane_seconds, panes_per_window, rule, shift: int):
+        super().__init__(keys, pane_seconds, panes_per_window, rule, tables=False)
+        self.shift = shift  # slices from an average to the prediction it is compared with
+
+    def init(self, handle):
+        super().init(handle)
+        self.report = handle.getMapState(
+            "report", StructType([StructField("s", IntegerType())]), StructType([
+                StructField("total", DoubleType()), StructField("n", LongType()), StructField("least", DoubleType())]))
+        self.figures: dict[int, list] = {}  # of the key and call at hand: sum, count, least prediction for the slice
+        self.changed: set[int] = set()
+
+    def _figures(self, s: int) -> list:
+        if s not in self.figures:
+            self.figures[s] = list(self.report.getValue((s,)) or (0.0, 0, None))
+        return self.figures[s]
+
+    def advance(self, state, pane, rows, out):
+        for s, part in groupby(rows, itemgetter(1)):
+            part, f = list(part), self._figures(s)
+            f[0] += sum(r[2] * r[3] for r in part)
+            f[1] += sum(r[3] for r in part)
+            self.changed.add(s)
+        return super().advance(state, pane, rows, out)
+
+    def emit(self, state, pane, out):
+        made: list = []
+        super().emit(state, pane, made)
+        for _, _, target, load, _, _ in made:
+            f = self._figures(target)
+            if f[2] is None or load < f[2]:
+                f[2] = load
+                self.changed.add(target - self.shift)
+        for s in sorted(self.changed):
+            total, n, _ = self._figures(s)
+            least = self._figures(s + self.shift)[2]
+            if n and least is not None:
+                out.append((pane, s, least, total / n, abs(least - total / n)))
+        self.changed.clear()
+
+    def save(self):
+        super().save()
+        for s, f in self.figures.items():
+            self.report.updateValue((s,), tuple(f))
+        self.figures.clear()
+
+    def frame(self, key, out):
+        got = pd.DataFrame(out, columns=["pane", "slice", "predicted_load", "avg_load", "error"])
+        got = got.drop_duplicates("slice", keep="last")  # of one call the last figures of a slice
+        for name, value in zip(reversed(self.keys), reversed(key)):
+            got.insert(0, name, value)
+        return got.astype({"slice": "int32", **{k: "int32" for k in self.keys}})
+
+
+def live_errors(measurements: DataFrame, keys: Sequence[str], tf: int = DEFAULT_TF,
+                pane_seconds: int = DEFAULT_PANE_SECONDS, panes_per_window: int = DEFAULT_PANES_PER_WINDOW, *,
+                watermark: str, align: str = "reference", rule: str = "reference", origin: int = ORIGIN_TS) -> DataFrame:
+    """``operators.quality.prediction_error`` as a stream: ``keys, pane, slice, predicted_load, avg_load, error``.
+
+    A slice comes out again whenever its figures change; ``latest_errors`` keeps the last.
+    """
+    shift = {"reference": 1, "target": 0}.get(align)
+    if shift is None:
+        raise ValueError(f"align must be 'reference' or 'target', not {align!r}")
+    require_rocksdb(measurements.sparkSession)
+    schema = StructType([*[StructField(k, IntegerType()) for k in keys], StructField("pane", LongType()),
+                         StructField("slice", IntegerType()),
+                         *[StructField(c, DoubleType()) for c in ("predicted_load", "avg_load", "error")]])
+    rows = pane_values(measurements, keys, tf, pane_seconds, watermark, origin)
+    return rows.groupBy(*keys).transformWithStateInPandas(
+        LiveErrors(keys, pane_seconds, panes_per_window, rule, shift), schema, "Append", "EventTime")
+
+
+def latest_errors(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The last row of each (key, slice) of ``live_errors``."""
+    held = F.max_by(F.struct("predicted_load", "avg_load", "error"), "pane").alias("_held")
+    return rows.groupBy(*keys, "slice").agg(held).select(*keys, "slice", "_held.*")
+
+
 class Predictions(Panes):
     """Per key: a prediction per closed window with the head reading's own value as median (``as_run``)."""
 

@@ -167,6 +167,32 @@ def test_backfilled_state_then_stream_equals_batch(spark, tmp_path):
     same(head.unionByName(got.select(*head.columns)), want)
 
 
+def test_live_errors_end_as_the_batch_report(spark, tmp_path):
+    """Readings arrive in time order, so the report changes as panes close; its last rows are the batch report."""
+    from loadlens.operators.averages import slice_avg
+    from loadlens.operators.predict import prediction_set
+    from loadlens.operators.quality import prediction_error, prediction_min
+
+    m = load_measurements(spark, SF_SMALL).where("house_id < 4")
+    folder, out, ckpt = (str(tmp_path / x) for x in ("feed", "out", "ckpt"))
+    m.limit(0).write.parquet(folder)
+    stream = spark.readStream.schema(m.schema).parquet(folder)
+    last, end = end_of_input(spark, stream)
+    s = panes.live_errors(stream.unionByName(last), ["house_id"], TF, 21600, K, watermark="0 seconds", align="target")
+    mid = m.agg(F.expr("percentile(timestamp, 0.5)")).first()[0]
+    for part in (F.col("timestamp") < mid, F.col("timestamp") >= mid):
+        m.where(part).coalesce(1).write.mode("append").parquet(folder)
+        run_bounded(s, partition_per_batch(out), "append", ckpt)
+    end()
+    run_bounded(s, partition_per_batch(out), "append", ckpt)
+    rows = spark.read.parquet(out)
+    got = finish(panes.latest_errors(rows, ["house_id"]))
+    assert rows.count() > got.count()  # slices came out more than once
+    valid = valid_load(m)
+    pmin = prediction_min(prediction_set(state_prediction(valid, ["house_id"], TF, 21600, K, "intended"), ["house_id"], TF), ["house_id"])
+    same(got, finish(prediction_error(pmin, slice_avg(valid, ["house_id"], TF), ["house_id"], "target")))
+
+
 def test_rolling_predictions_equal_batch_over_restarts(spark, tmp_path):
     m = load_measurements(spark, SF_SMALL)
     feed = Feed(spark, m, str(tmp_path / "feed"), 4)
