@@ -33,6 +33,7 @@ SHARE = {3: 0.3, 4: 1.0}  # weight of common subsequences by length
 SPAN = {3: 5, 4: 6}  # letters an occurrence may stretch over, by subsequence length
 WINDOW, STEP = 24, 12  # longer units are cut into overlapping windows
 CACHE_TOKENS = 300_000
+DENSE_CODES = 1 << 20  # codes of three letters held in a table; more are looked up by search
 LOOKALIKES = str.maketrans("013457@$!|", "oieastasil")
 SPACED = re.compile(r"(?<!\w)[^\W\d_](?:[ .\-_*+~]{1,2}[^\W\d_]){2,}(?!\w)")
 
@@ -49,7 +50,7 @@ class Settings:
     clean_units: int = 12_000
     purity: float = 0.95  # least share of a witness's sentences that are toxic
     evidence: float = 11.5  # least log-likelihood gain of its counts over the base rate
-    contexts: float = 0.03  # least number of texts that show it anew, as a share of the richest witness's
+    contexts: int = 4  # least number of texts that show it anew, whatever other witnesses have
 
 
 def token_units(token: str) -> list[str]:
@@ -89,11 +90,11 @@ class Kernel:
 
         self.landmarks = landmarks
         self.norms = np.array([size_norm(n) or 1.0 for n in range(WINDOW + 1)])
-        letters = sorted({c for w in landmarks for c in w if ord(c) < 1 << 16})[:62]
-        self.base = len(letters) + 1  # other letters are 0 and match nothing
-        self.letter = np.zeros(1 << 16, np.int64)
-        for i, c in enumerate(letters):
-            self.letter[ord(c)] = i + 1
+        # letters are numbered from 1; others are 0 and match nothing (four numbers fit a long code)
+        letters = sorted({ord(c) for w in landmarks for c in w})
+        self.base = len(letters) + 1
+        self.letter = np.zeros(max(letters, default=0) + 2, np.int32)
+        self.letter[letters] = np.arange(1, self.base)
         own = self._ids(landmarks)
         self.tables = []
         for p in sorted(SPAN):
@@ -114,7 +115,7 @@ class Kernel:
             mark = np.array([j for x in lists for j, _ in x], np.int64)
             value = np.array([v for x in lists for _, v in x])
             place = None
-            if p == min(SPAN):
+            if p == min(SPAN) and self.base ** p <= DENSE_CODES:
                 place = np.full(self.base ** p, -1, np.int16 if len(codes) < 1 << 15 else np.int32)
                 place[codes] = np.arange(len(codes))
             self.tables.append((p, codes, place, start, mark, value))
@@ -125,7 +126,7 @@ class Kernel:
         width = max(map(len, units), default=0)
         raw = np.frombuffer("".join(u.ljust(width, "\0") for u in units).encode("utf-32-le", "surrogatepass"), np.uint32)
         raw = raw.reshape(len(units), width)
-        return np.where(raw < 1 << 16, self.letter[np.minimum(raw, (1 << 16) - 1)], 0)
+        return self.letter[np.minimum(raw, len(self.letter) - 1)].astype(np.int64)
 
     def __call__(self, units: list[str], step: int = 10_000):
         import numpy as np
@@ -317,10 +318,12 @@ def spread(units: list[str], count: int) -> list[str]:
     if not units:
         return []
     k = Kernel(units)(units)
-    near = k / np.sqrt(np.outer(np.diag(k), np.diag(k)))
+    size = np.sqrt(np.diag(k))
+    near = k / np.outer(np.where(size > 0, size, 1.0), np.where(size > 0, size, 1.0))
     taken: list[int] = []
     for i in range(len(units)):
-        if len(taken) < count and (not taken or near[i, taken].max() < 0.35):
+        # a unit without a value for itself would be no landmark
+        if len(taken) < count and size[i] > 0 and (not taken or near[i, taken].max() < 0.35):
             taken.append(i)
     return [units[i] for i in taken]
 
@@ -346,8 +349,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if not toxic:
         return None
     near = unit_contexts(src.join(y.where("y = 1"), "id").select("id", "text"), [r["unit"] for r in toxic])
-    least = max(4, settings.contexts * max(near.values(), default=0))
-    units = sorted((u for u in near if near[u] >= least), key=lambda u: (-near[u], u))
+    units = sorted((u for u in near if near[u] >= settings.contexts), key=lambda u: (-near[u], u))
     if not units:
         return None
     seen = np.array([near[u] for u in units], float)
