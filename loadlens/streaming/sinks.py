@@ -7,6 +7,7 @@ restarted driver or a lost executor replays into the same place.
 
 from __future__ import annotations
 
+import uuid
 from collections import deque
 
 from pyspark.sql import DataFrame, SparkSession
@@ -95,12 +96,17 @@ class ProgressRecorder(StreamingQueryListener):
     """Collects per-batch progress: input rows, durations and rows per second.
 
     ``total()`` gives the running event count; the run verdict is PASSED when
-    any row arrived.  The last ``keep`` batches are held, the count covers all.
+    any row arrived.  The last ``keep`` batches are held in memory; with ``log``, a folder, older ones are
+    appended to it in files of up to ``keep`` batches, so ``to_dataframe`` has every batch.
     """
 
-    def __init__(self, keep: int = 10_000):
-        self.rows: deque[dict] = deque(maxlen=keep)
-        self._total = 0
+    def __init__(self, keep: int = 10_000, spark: SparkSession | None = None, log: str | None = None):
+        if log and spark is None:
+            raise ValueError("a log needs the session that writes it")
+        self.keep, self._spark, self._log = keep, spark, log
+        self.rows: deque[dict] = deque(maxlen=None if log else keep)
+        self._total, self._files = 0, 0
+        self._run = uuid.uuid4().hex[:12]  # files of other runs in the folder stay
 
     def onQueryStarted(self, event):  # noqa: N802
         pass
@@ -111,6 +117,13 @@ class ProgressRecorder(StreamingQueryListener):
         self.rows.append({"batch_id": p.batchId, "num_input_rows": p.numInputRows,
                           "trigger_ms": (p.durationMs or {}).get("triggerExecution"),
                           "processed_rows_per_second": p.processedRowsPerSecond})
+        if self._log and len(self.rows) >= 2 * self.keep:
+            self._write([self.rows.popleft() for _ in range(self.keep)])
+
+    def _write(self, rows: list[dict]) -> None:
+        path = f"{self._log}/{self._run}-{self._files:08d}"
+        self._frame(self._spark, rows).coalesce(1).write.mode("overwrite").parquet(path)
+        self._files += 1
 
     def onQueryIdle(self, event):  # noqa: N802
         pass
@@ -121,12 +134,19 @@ class ProgressRecorder(StreamingQueryListener):
     def total(self) -> int:
         return self._total
 
-    def to_dataframe(self, spark: SparkSession) -> DataFrame:
-        """The collected progress as a table (one row per micro-batch)."""
+    @staticmethod
+    def _frame(spark: SparkSession, rows) -> DataFrame:
         schema = "batch_id long, num_input_rows long, trigger_ms long, processed_rows_per_second double"
         return spark.createDataFrame(
-            [(r["batch_id"], r["num_input_rows"], r["trigger_ms"], r["processed_rows_per_second"])
-             for r in self.rows], schema)
+            [(r["batch_id"], r["num_input_rows"], r["trigger_ms"], r["processed_rows_per_second"]) for r in rows], schema)
+
+    def to_dataframe(self, spark: SparkSession) -> DataFrame:
+        """The collected progress as a table (one row per micro-batch)."""
+        held = self._frame(spark, list(self.rows))
+        if not self._files:
+            return held
+        files = [f"{self._log}/{self._run}-{i:08d}" for i in range(self._files)]
+        return spark.read.schema(held.schema).parquet(*files).unionByName(held)
 
 
 def batch_progress(query: StreamingQuery) -> list[dict]:

@@ -13,6 +13,7 @@ from loadlens.operators import quality as q
 from loadlens.operators.asof import asof_lookup
 from loadlens.operators.keys import HOUSE, PLUG
 from loadlens.operators.ranks import ranked
+from loadlens.operators.windows import sliding_counts
 
 
 def test_validity_edges(spark):
@@ -194,3 +195,26 @@ def test_exact_median_over_raw_measures(spark):
     assert [(r.n, r.median) for r in exact] == [(4, 3.0)]
     ref = med.final_median(m, HOUSE, 60, 10, "reference", over="measures").collect()
     assert [(r.n, r.median) for r in ref] == [(4, 6.0)]
+
+
+@pytest.mark.parametrize("block", [1, 3, 7, 4096])
+@pytest.mark.parametrize("size", [1, 4, 25])
+def test_sliding_counts_do_not_depend_on_blocks(spark, block, size):
+    # two thirds of the rows under one key, panes below zero, gaps longer than a window and than a block
+    rows = [("hot", p) for p in range(-12, 40) for _ in range(3)] + [("rare", p) for p in (-11, 0, 1, 17, 60, 61)]
+    df = spark.createDataFrame(rows, "k string, p long")
+    got = {(r.k, r.pane): r.n for r in sliding_counts(df, ["k"], "p", size, block_panes=block).collect()}
+    want = {}
+    for k, p in rows:
+        for q in range(p, p + size):
+            want[k, q] = want.get((k, q), 0) + 1
+    assert got == want
+
+
+@pytest.mark.parametrize("block", [1, 2, 4096])
+def test_running_total_does_not_depend_on_blocks(spark, block):
+    from loadlens.operators.windows import batch_counts
+
+    df = spark.createDataFrame([(t,) for t in (0, 1, 9, 10, 35, 36, 37, 99, 100)], "timestamp int")
+    got = [(r.pane, r.n, r.running_total) for r in batch_counts(df, 10, block_panes=block).orderBy("pane").collect()]
+    assert got == [(0, 3, 3), (1, 1, 4), (3, 3, 7), (9, 1, 8), (10, 1, 9)]

@@ -109,6 +109,19 @@ def test_progress_listener_and_text_sink(spark, tmp_path):
     assert sorted(r.value for r in spark.read.text(f"{out}/batch_id=0").collect()) == ["x y", "z"]
 
 
+def test_progress_of_more_batches_than_are_held(spark, tmp_path):
+    from types import SimpleNamespace
+
+    from loadlens.streaming.sinks import ProgressRecorder
+
+    rec = ProgressRecorder(3, spark, str(tmp_path / "progress"))
+    for i in range(14):
+        rec.onQueryProgress(SimpleNamespace(progress=SimpleNamespace(
+            batchId=i, numInputRows=i, durationMs={"triggerExecution": 5}, processedRowsPerSecond=1.0)))
+    assert len(rec.rows) < 6 and rec.total() == sum(range(14))
+    assert sorted(r.batch_id for r in rec.to_dataframe(spark).collect()) == list(range(14))
+
+
 def test_run_for_a_fixed_time(spark, tmp_path):
     from loadlens.streaming.sinks import run_for
 
