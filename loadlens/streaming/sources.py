@@ -71,14 +71,15 @@ def end_of_events(spark: SparkSession, events: DataFrame) -> tuple[DataFrame, Ca
             lambda: row.write.mode("append").parquet(folder))
 
 
-def arriving_in_files(spark: SparkSession, table: DataFrame, by: str, files: int = 4) -> DataFrame:
-    """A table as a feed that arrives in several files, one a trigger, each with rows of all times.
+def arriving_in_files(spark: SparkSession, table: DataFrame, by: str, triggers: int = 4) -> DataFrame:
+    """A table as a feed that arrives over several triggers, each with rows of all times.
 
-    A stand-in for a feed: the rows are those of the table, dealt to the files by a hash of the column ``by``.
+    A stand-in for a feed: the rows are those of the table, dealt to files by a hash of the column ``by``.
     """
     folder = scratch_path(spark, "feed")
+    files = triggers * -(-table.rdd.getNumPartitions() // triggers)
     table.repartition(files, F.xxhash64(by)).write.parquet(folder)
-    return spark.readStream.schema(table.schema).option("maxFilesPerTrigger", "1").parquet(folder)
+    return spark.readStream.schema(table.schema).option("maxFilesPerTrigger", str(files // triggers)).parquet(folder)
 
 
 def stream_lines(spark: SparkSession, directory: str, max_files_per_trigger: int | None = None) -> DataFrame:
