@@ -132,18 +132,38 @@ class Kernel:
         import numpy as np
 
         out = np.zeros((len(units), len(self.landmarks)))
-        order = sorted(range(len(units)), key=lambda i: len(units[i]))
-        for s in range(0, len(units), step):
-            at = order[s:s + step]
+        for at in self._parts(units, step):
             out[at] = self._part([units[i] for i in at])
         return out
 
-    def _part(self, units):
+    @staticmethod
+    def _parts(units, step):
+        order = sorted(range(len(units)), key=lambda i: len(units[i]))
+        return [order[s:s + step] for s in range(0, len(units), step)]
+
+    def code_weights(self, beta):
+        """Per table each code's values with the landmarks, summed with weights ``beta``."""
+        import numpy as np
+
+        return [np.add.reduceat(value * beta[mark], start[:-1]) if len(codes) else np.zeros(0)
+                for _, codes, _, start, mark, value in self.tables]
+
+    def weighted(self, units: list[str], weights, step: int = 10_000):
+        """``self(units) @ beta`` from ``code_weights(beta)``, without the values of single landmarks."""
         import numpy as np
 
-        n, m = len(units), len(self.landmarks)
+        out = np.zeros(len(units))
+        for at in self._parts(units, step):
+            out[at] = self._part([units[i] for i in at], weights)[:, 0]
+        return out
+
+    def _part(self, units, weights=None):
+        """Kernel values with each landmark, or their weighted sum as the only column."""
+        import numpy as np
+
+        n, m = len(units), len(self.landmarks) if weights is None else 1
         ids, rows, total = self._ids(units), np.arange(n), np.zeros(n * m)
-        for p, codes, place, start, mark, value in self.tables:
+        for t, (p, codes, place, start, mark, value) in enumerate(self.tables):
             if len(codes) == 0:
                 break
             hit_any = np.zeros(len(rows), bool)
@@ -164,6 +184,9 @@ class Kernel:
                     continue
                 hit_any[r] = True
                 feat = feat[r, c].astype(np.int64)
+                if weights is not None:
+                    total += np.bincount(rows[r], weights[t][feat] * DECAY ** (span - p), minlength=n)
+                    continue
                 count = start[feat + 1] - start[feat]
                 first = np.repeat(start[feat] - np.r_[0, np.cumsum(count)[:-1]], count)
                 pick = first + np.arange(len(first))
@@ -213,9 +236,10 @@ class Model:
             if before - now <= 1e-9 * before:
                 break
         self.weights, self.bias = w[:-1], float(w[-1])
+        self.code_weights = self.kernel.code_weights(self.map @ self.weights)
 
     def margins(self, units: list[str]):
-        return self.features(units) @ self.weights + self.bias
+        return self.kernel.weighted(units, self.code_weights) + self.bias
 
     def score(self, texts: list[str | None]) -> list[float]:
         """0 to 1 per text, 0.5 at a zero margin of its most toxic unit."""

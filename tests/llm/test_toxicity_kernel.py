@@ -42,6 +42,15 @@ def test_kernel_equals_enumeration_in_every_script():
         tx.DENSE_CODES = was
 
 
+def test_weighted_sums_equal_the_products_with_landmarks():
+    rng = np.random.default_rng(4)
+    k, beta = tx.Kernel(WORDS[:9]), rng.normal(size=9)
+    units = WORDS + ["idiooot", "zzz", "", "xidiotmoronx"]
+    assert np.abs(k.weighted(units, k.code_weights(beta)) - k(units) @ beta).max() < 1e-12
+    empty = tx.Kernel(["ab"])
+    assert (empty.weighted(units, empty.code_weights(np.ones(1))) == 0).all()
+
+
 def test_spread_keeps_units_of_all_scripts_and_skips_empty_ones():
     got = tx.spread(["xy", *WORDS], 40)
     assert "xy" not in got and {"idiot", "moron", "дурак", "أحمقان", "𝓲𝓭𝓲𝓸𝓽"} <= set(got)
