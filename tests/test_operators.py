@@ -211,6 +211,25 @@ def test_sliding_counts_do_not_depend_on_blocks(spark, block, size):
     assert got == want
 
 
+@pytest.mark.parametrize("zeros", [False, True])
+@pytest.mark.parametrize("block", [1, 7, 4096])
+def test_sliding_word_counts_do_not_depend_on_blocks(spark, block, zeros):
+    from loadlens.operators.text import sliding_word_count
+
+    docs = [(0, "a b a"), (1, ""), (5, "b  c"), (5, "b"), (9, None), (14, "d"), (40, "a"), (41, "   "), (None, "e a"), (44, "c")]
+    df = spark.createDataFrame(docs, "doc_id long, value string")
+    got = {(r.word, r.pane): r.n for r in sliding_word_count(df, "doc_id", 3, 4, keep_zeros=zeros, block_offsets=block).collect()}
+    want = {}
+    toks = [(w, d // 3) for d, t in docs if d is not None and t is not None and t != "   " for w in t.split(" ")]
+    for w, p in toks:
+        for q in range(p, p + 4):
+            want[w, q] = want.get((w, q), 0) + 1
+    if zeros:
+        end = max(p for _, p in toks) + 4
+        want = {(w, q): want.get((w, q), 0) for w in {w for w, _ in toks} for q in range(min(p for x, p in toks if x == w), end)}
+    assert got == want
+
+
 @pytest.mark.parametrize("block", [1, 2, 4096])
 def test_running_total_does_not_depend_on_blocks(spark, block):
     from loadlens.operators.windows import batch_counts

@@ -48,6 +48,17 @@ def test_sliding_counts_of_a_hot_key_are_split_by_block(spark):
     assert "windowspecdefinition(event_type, pane ASC" not in p
 
 
+def test_sliding_words_exchange_texts_not_counts(spark):
+    import re
+
+    p = re.sub(r"#\d+L?", "", plan(spark, "sliding_word_count"))
+    assert p.count("Exchange hashpartitioning") == 1 and "Exchange hashpartitioning(_b, " in p
+    p = re.sub(r"#\d+L?", "", plan(spark, "sliding_word_count_zeros"))
+    # windows at zero come from one row per (word, block): no grid of words and panes is joined or exchanged
+    assert "Join" not in p and p.count("Exchange hashpartitioning(word, ") == 1
+    assert "windowspecdefinition(word, pane ASC" in p
+
+
 def test_rolling_running_window_is_split_by_chunk(spark):
     import re
 
