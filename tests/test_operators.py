@@ -237,3 +237,45 @@ def test_running_total_does_not_depend_on_blocks(spark, block):
     df = spark.createDataFrame([(t,) for t in (0, 1, 9, 10, 35, 36, 37, 99, 100)], "timestamp int")
     got = [(r.pane, r.n, r.running_total) for r in batch_counts(df, 10, block_panes=block).orderBy("pane").collect()]
     assert got == [(0, 3, 3), (1, 1, 4), (3, 3, 7), (9, 1, 8), (10, 1, 9)]
+
+
+def test_lookup_repeats_only_the_rows_of_large_keys(spark):
+    from loadlens.operators.salt import salted_lookup
+
+    rows = spark.range(1000).select(F.when(F.col("id") < 700, 0).otherwise(F.col("id")).alias("k"), "id")
+    table = rows.select("k").distinct().withColumn("x", F.col("k") * 2)
+    sizes = rows.groupBy("k").agg(F.count(F.lit(1)).alias("_rows"))
+    got = salted_lookup(rows, table, ["k"], ["id"], sizes, rows_per_task=100)
+    assert got.count() == 1000 and got.where("x != 2 * k").count() == 0
+    # the large key is dealt out, the 300 others are neither salted nor repeated
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        got.explain()
+    assert "explode(sequence(0, (coalesce(_salts" in buf.getvalue() and "0, 31" not in buf.getvalue()
+
+
+@pytest.mark.parametrize("size", [1, 3, 5])
+def test_attached_medians_equal_a_plain_replay(spark, size):
+    from loadlens.operators.medians import with_median
+    from loadlens.operators.orderstat import GrowingSet
+    from loadlens.operators.measures import prepared
+
+    rows = [(i, 1377986401 + t, float(v), 1, 0, 0, h) for i, (h, t, v) in enumerate(
+        [(1, 0, 5), (1, 3, 9), (1, 10, 5), (1, 21, 7), (1, 22, 1), (1, 65, 4), (1, 66, 4), (1, 3599, 2), (1, 3600, 8), (2, 40, 3), (2, 41, 3)])]
+    valid = measurement_rows(spark, rows)
+    got = sorted((r.house_id, r.id, r.pane, r.median) for r in with_median(valid, ["house_id"], 3600, 10, size, "intended").collect())
+    p = prepared(valid, ["house_id"], 3600, 10).collect()
+    want = []
+    for r in p:
+        for pane in range(r.p0, r.p0 + size):
+            values, stored = set(), GrowingSet()
+            for q in sorted({x.p0 for x in p if (x.house_id, x.s) == (r.house_id, r.s) and x.p0 <= pane}):
+                new = {x.v for x in p if (x.house_id, x.s, x.p0) == (r.house_id, r.s, q)} - values
+                values |= new
+                if new:
+                    stored.add(round(sum(values) / len(values), 6))
+            want.append((r.house_id, r.id, pane, stored.median("reference")))
+    assert got == sorted(want)
