@@ -91,3 +91,31 @@ def test_a_crash_before_the_commit_changes_nothing(spark, tmp_path, monkeypatch)
     assert [(r.house_id, r.avg_load) for r in kept.history().collect()] == [(1, 10.0)]
     assert kept.apply(more, 1)
     assert sorted((r.house_id, r.fp, r.avg_load) for r in kept.history().collect()) == [(1, 5, 10.0), (1, 6, 20.0), (2, 1, 1.0)]
+
+
+def test_a_delta_broadcasts_nothing(spark, tmp_path, monkeypatch):
+    schema = "house_id int, s int, v double, p0 long"
+    kept = AveragesHistory(spark, str(tmp_path / "h"), ["house_id"], 2, 1)
+    kept.apply(spark.createDataFrame([(1, 0, 10.0, 5), (2, 1, 20.0, 7)], schema), 0)
+    plans, write = [], AveragesHistory._write
+
+    def watched(self, new, firsts, history, batch_id):
+        took = type(new).repartition
+
+        def seen(rows, *by):
+            plans.append(rows._jdf.queryExecution().executedPlan().toString())
+            return took(rows, *by)
+
+        with monkeypatch.context() as m:
+            m.setattr(type(new), "repartition", seen)
+            write(self, new, firsts, history, batch_id)
+
+    monkeypatch.setattr(AveragesHistory, "_write", watched)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")  # Spark's default
+    try:
+        kept.apply(spark.createDataFrame([(1, 0, 30.0, 6), (None, 0, 1.0, 6)], schema), 1)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plans and not any("Broadcast" in p for p in plans)
+    assert sorted((r.house_id, r.fp, r.avg_load) for r in kept.history().collect()) == [(1, 5, 10.0), (1, 6, 20.0), (2, 7, 20.0)]
