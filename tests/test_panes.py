@@ -4,6 +4,7 @@ import bisect
 import random
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -43,6 +44,37 @@ class FakeMap(dict):
         self[key] = value
 
 
+class FakeHandle:
+    """The states of one key; counts the calls that go to the state store."""
+
+    def __init__(self):
+        self.held, self.calls, self.maps = None, 0, {}
+
+    def getValueState(self, name, schema):  # noqa: N802
+        return self
+
+    def getMapState(self, name, key, value):  # noqa: N802
+        return self.maps.setdefault(name, FakeMap())
+
+    def registerTimer(self, at):  # noqa: N802
+        self.calls += 1
+
+    def get(self):
+        self.calls += 1
+        return self.held
+
+    def update(self, value):
+        self.calls += 1
+        self.held = value
+
+
+class Closed:
+    """A watermark behind all panes."""
+
+    def getCurrentWatermarkInMs(self):  # noqa: N802
+        return 10 ** 15
+
+
 def reference_median(values, rule):
     n = len(values)
     if rule == "exact":
@@ -105,6 +137,32 @@ class Feed:
         self.rows.where(F.col("_f") == n).drop("_f").coalesce(1).write.mode("append").parquet(self.folder)
 
 
+def test_small_sets_of_a_key_cost_two_calls_and_large_ones_are_moved(monkeypatch):
+    """Per key and batch one read and one write while its sets are small; the same rows when they outgrow its state."""
+    draw = random.Random(7)
+    batches = []
+    for first in (0, 40, 80):  # panes of a batch; a reading without an id is no head
+        rows = {(p, draw.randrange(24), float(draw.randrange(1, 90))) for p in range(first, first + 40) for _ in range(4)}
+        batches.append([Row("house_id", "row")(1, f"{p},{s},{v},{draw.randrange(1, 4)}," + draw.choice([",", f"{p * 21600},5"]))
+                        for p, s, v in sorted(rows)])
+    made, handles = [], []
+    for kept in (panes.KEPT, 100, 0):
+        monkeypatch.setattr(panes, "KEPT", kept)
+        handle, out = FakeHandle(), []
+        step = panes.SetsAndPredictions(["house_id"], 21600, K, "reference", True)
+        step.types = [int, int, float, int, int, int]
+        for rows in batches:
+            step.init(handle)  # anew, as in another batch
+            for got in step.handleInputRows((1,), iter(rows), Closed()):
+                out += zip(*map(list, got[1:]))
+        made.append(out)
+        handles.append(handle)
+    assert made[0] == made[1] == made[2] and {r[0] for r in made[0]} == {"measure", "average", "prediction"}
+    small, _, moved = handles
+    assert small.calls == 6 and not small.maps["slices"] and small.maps["slices"].reads == 0
+    assert len(moved.maps["slices"]) == 24
+
+
 @pytest.mark.parametrize("keys,pane,rule", [(HOUSE, 21600, "reference"), (PLUG, 3600, "exact")])
 def test_median_predictions_equal_batch_over_shuffled_files(spark, tmp_path, keys, pane, rule):
     m = load_measurements(spark, SF_SMALL)
