@@ -10,7 +10,8 @@ counts, one unseen token included, so probabilities add up to 1.
 Training reads all training rows: one pass gathers token counts and, per hashed feature, class
 counts, from which the weights start; then ``rounds`` gradient updates, each over another
 share of the training rows and together over all of them, sum empirical minus expected counts on the
-executors and update the tables.  Tables have a fixed size (``Shape``); only they travel through the driver.  Texts are
+executors and update the tables.  The tables' rows follow the training text up to 2**16 a feature (``Shape.sized``);
+only they travel through the driver.  Texts are cut into words in Arrow and
 scored in sparse numpy batches that gather only the rows of the features present.  Counts of
 frequent tokens are broadcast (at most ``HEAD`` of them), the others are joined per distinct
 token of a text.
@@ -23,6 +24,7 @@ are scored each; token counts are kept by 64-bit hash; whole texts of any length
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import ClassVar
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,24 +32,20 @@ from pyspark.sql import functions as F
 from loadlens.llm.common import narrow, stored, train_part
 
 HEAD = 1 << 16
-CHUNK = 400_000  # tokens whose words are told apart at once
+CHUNK = 3 << 19  # bytes of text whose words are told apart at once
 PART = 4_000  # tokens whose class probabilities are computed at once, in cache
+ADDED = 32_000  # tokens whose class probabilities are added to the tables at once
 LOGIT = 60.0  # largest logit either way
 BLOCK = 256  # table rows per shuffled block
 
 
-class Numbered(dict):
-    """Words numbered as they are first asked for."""
-
-    def __missing__(self, word):
-        self[word] = n = len(self)
-        return n
-
-
 @dataclass(frozen=True)
 class Shape:
     """Sizes of the model: feature rows (a power of two up to 2**16), first and second classes."""
 
+    #: Bytes of training text behind each row of a feature, between 2**14 and 2**16 rows.
+    PER_ROW: ClassVar[int] = 1 << 14
+
     rows: int = 1 << 14
     first: int = 32
     second: int = 16
@@ -56,40 +54,86 @@ class Shape:
         """Weights per feature row of the six tables: three features by two factors."""
         return [self.first] * 3 + [self.second] * 3
 
+    @classmethod
+    def sized(cls, text_bytes: int) -> Shape:
+        """The shape for so many bytes of training text."""
+        return cls(rows=1 << min(16, max(14, (text_bytes // cls.PER_ROW).bit_length() - 1)))
 
-def token_chunks(texts, shape: Shape):
-    """Chunks of whole texts as ``(text index per token, hash, first, second, hash before, hash two before)``.
 
-    A text of more than a chunk is one chunk by itself; its words repeat in one small table.
-    """
+def _crc32(columns, lengths):
+    """crc32 of the first ``lengths`` bytes of each row of the byte columns."""
     import zlib
 
     import numpy as np
+
+    table = np.array([zlib.crc32(bytes([i ^ 0xFF])) ^ 0xFF000000 for i in range(256)], np.uint32)
+    crc = np.full(len(lengths), 0xFFFFFFFF, np.uint32)
+    for i, c in enumerate(columns):
+        crc = np.where(lengths > i, table[(crc ^ c) & np.uint32(0xFF)] ^ (crc >> np.uint32(8)), crc)
+    return ~crc
+
+
+def _told_apart(words, shape: Shape):
+    """``(hash, first, second)`` of distinct Arrow strings without white space."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
     import xxhash
 
-    def close(ids, owner, words):
-        h = np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
-        c1 = np.array([zlib.crc32(w[-2:]) % (shape.first - 1) for w in words], np.int64)
-        c2 = np.array([zlib.crc32(w[:3]) % shape.second for w in words], np.int64)
-        c1[1], c2[1] = shape.first - 1, 0  # the end of a text has a class of its own
-        a = np.array(ids, np.int64)
-        at = np.flatnonzero(a)
-        t = a[at]
-        return np.repeat(*map(np.array, zip(*owner))), h[t], c1[t], c2[t], h[a[at - 1]], h[a[at - 2]]
-
-    start = {b"\t": 0, b"\n": 1}  # no word holds white space: before the text, end of the text
-    ids, owner, words = [], [], Numbered(start)
-    for i, t in enumerate(texts):
-        got = (t or "").encode("utf-8", "surrogatepass").lower().split()
-        if ids and len(ids) + len(got) > CHUNK:
-            yield close(ids, owner, words)
-            ids, owner, words = [], [], Numbered(start)
-        ids += (0, 0)
-        ids.extend(map(words.__getitem__, got))
-        ids.append(1)
-        owner.append((i, len(got) + 1))
-    if ids:
-        yield close(ids, owner, words)
+    n = len(words)
+    if n == 0:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), words), "\n")[0].as_buffer().to_pybytes()
+    h = np.fromiter(map(xxhash.xxh64_intdigest, joined.split(b"\n")), np.uint64, n)
+    size = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+    start = np.cumsum(size + 1) - size - 1
+    data = np.frombuffer(joined + b"\n\n\n", np.uint8)
+    tail = np.maximum(start, start + size - 2)
+    c1 = _crc32([data[tail], data[tail + 1]], size) % np.uint32(shape.first - 1)
+    c2 = _crc32([data[start + i] for i in range(3)], size) % np.uint32(shape.second)
+    return h, c1.astype(np.int64), c2.astype(np.int64)
+
+
+def _chunk(texts, shape: Shape):
+    """One chunk of ``token_chunks``."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    import xxhash
+
+    k = len(texts)
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), "")))
+    coded = lists.flatten().dictionary_encode()
+    full = pc.binary_length(coded.dictionary).to_numpy(zero_copy_only=False)[coded.indices.to_numpy()] > 0
+    owner = np.repeat(np.arange(k, dtype=np.int32), np.diff(lists.offsets.to_numpy()))[full]
+    n = np.bincount(owner, minlength=k)
+    line = np.zeros(len(owner) + 3 * k, np.int32)  # two words 0, the text's words, word 1
+    line[np.arange(len(owner)) + 3 * owner + 2] = coded.indices.to_numpy()[full] + 2
+    line[np.cumsum(n + 3) - 1] = 1
+    place = np.flatnonzero(line)
+    edges = np.array([xxhash.xxh64_intdigest(b"\t"), xxhash.xxh64_intdigest(b"\n")], np.uint64)  # no word holds white space
+    h, c1, c2 = _told_apart(coded.dictionary, shape)
+    # the end of a text has a class of its own
+    return (np.repeat(np.arange(k), n + 1), line[place], line[place - 1], line[place - 2],
+            np.r_[edges, h], np.r_[0, shape.first - 1, c1], np.r_[0, 0, c2])
+
+
+def token_chunks(texts, shape: Shape):
+    """Chunks of whole texts of an Arrow array: ``(text index, word, word before, word two before)`` per token and
+    ``(hash, first, second)`` per word.
+
+    A text of more than a chunk is one chunk by itself.  Word 0 stands before a text and word 1 is its end.
+    """
+    import numpy as np
+    import pyarrow.compute as pc
+
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHUNK, "right")))
+        owner, *rest = _chunk(texts.slice(at, to - at), shape)
+        yield owner + at, *rest
+        at = to
 
 
 def feature_rows(before, second_before, first, shape: Shape):
@@ -170,16 +214,6 @@ class Weights:
         return [x for x, _ in out]
 
 
-def _take_rows(table, rows, values):
-    """``table[rows] -= values``, rows repeated."""
-    import numpy as np
-
-    order = np.argsort(rows.astype(np.uint16), kind="stable")  # a radix sort: tables have at most 2**16 rows
-    r = rows[order]
-    cut = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
-    table[r[cut]] -= np.add.reduceat(values.take(order, axis=0), cut, axis=0)
-
-
 def _blocks(tables):
     """``(table * 2**16 + block, float32 bytes)`` of the non-zero blocks."""
     import numpy as np
@@ -201,7 +235,7 @@ def summed_blocks(blocks: DataFrame) -> list:
         at, total = None, None
 
         def out():
-            return pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([total.tobytes()], pa.binary())],
+            return pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([total.astype(np.float32).tobytes()], pa.binary())],
                                               ["block", "data"])
 
         for b in batches:
@@ -224,10 +258,11 @@ def summed_blocks(blocks: DataFrame) -> list:
 def _tables(rows, shapes):
     import numpy as np
 
-    out = [np.zeros(s) for s in shapes]
-    for r in rows:
+    out = [np.zeros(s, np.float32) for s in shapes]
+    while rows:  # rows are let go as they are placed
+        r = rows.pop()
         i, b = r["block"] >> 16, r["block"] & 0xFFFF
-        got = np.frombuffer(r["data"], np.float64).reshape(-1, shapes[i][1])
+        got = np.frombuffer(r["data"], np.float32).reshape(-1, shapes[i][1])
         out[i][b * BLOCK:b * BLOCK + len(got)] = got
     return out
 
@@ -236,9 +271,12 @@ def _shapes(shape: Shape):
     return [(shape.rows, s) for s in shape.sizes()] + [(shape.first, shape.second)]
 
 
-def few_tasks(df: DataFrame) -> DataFrame:
-    """``df`` in at most two partitions per core: each task returns tables of a fixed size."""
-    return df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism)
+def few_tasks(df: DataFrame, text_bytes: int) -> DataFrame:
+    """``df`` in at most two partitions per core, or one per GB of training text if that is more.
+
+    Each task returns one set of tables, whatever its share of the text.
+    """
+    return df.coalesce(max(2 * df.sparkSession.sparkContext.defaultParallelism, text_bytes >> 30))
 
 
 def gather(train: DataFrame, shape: Shape) -> DataFrame:
@@ -253,32 +291,34 @@ def gather(train: DataFrame, shape: Shape) -> DataFrame:
         held, size = [], 0
 
         def words():
-            h, leaf = (np.concatenate(x) for x in zip(*held))
-            h, first, n = np.unique(h, return_index=True, return_counts=True)
+            h, leaf, n = (np.concatenate(x) for x in zip(*held))
+            h, first, same = np.unique(h, return_index=True, return_inverse=True)
+            n = np.bincount(same, n, minlength=len(h))
             none = pa.nulls(len(h))
             return pa.RecordBatch.from_arrays(
                 [pa.array(h.view(np.int64)), pa.array(leaf[first].astype(np.int32)), pa.array(n.astype(np.int64)),
                  none.cast(pa.int64()), none.cast(pa.binary())], names)
 
         for b in batches:
-            for s in range(0, b.num_rows, 1000):
-                for _, h, c1, c2, h1, h2 in token_chunks(b.column(0).slice(s, 1000).to_pylist(), shape):
-                    leaf = c1 * shape.second + c2
-                    for i, r in enumerate([*feature_rows(h1, h2, c1, shape), None]):
-                        cell = leaf if r is None else r * tables[i].shape[1] + (c1 if i < 3 else c2)
-                        tables[i] += np.bincount(cell, minlength=tables[i].size).reshape(tables[i].shape)
-                    held.append((h, leaf))
-                    size += len(h)
-                    if size >= 1_000_000:
-                        yield words()
-                        held, size = [], 0
+            for _, w, before, second, h, c1, c2 in token_chunks(b.column(0), shape):
+                leaf, a1, a2 = c1 * shape.second + c2, c1[w], c2[w]
+                for i, r in enumerate([*feature_rows(h[before], h[second], a1, shape), None]):
+                    cell = leaf[w] if r is None else r * tables[i].shape[1] + (a1 if i < 3 else a2)
+                    tables[i] += np.bincount(cell, minlength=tables[i].size).reshape(tables[i].shape)
+                n = np.bincount(w, minlength=len(h))
+                some = np.flatnonzero(n)
+                held.append((h[some], leaf[some], n[some]))
+                size += len(some)
+                if size >= 500_000:
+                    yield words()
+                    held, size = [], 0
         if held:
             yield words()
         for block, data in _blocks(tables):
             yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()),
                                               pa.array([block], pa.int64()), pa.array([data], pa.binary())], names)
 
-    return few_tasks(train.select("text")).mapInArrow(run, "h long, leaf int, n long, block long, data binary")
+    return train.select("text").mapInArrow(run, "h long, leaf int, n long, block long, data binary")
 
 
 def gradient(part: DataFrame, sent, shape: Shape) -> list:
@@ -289,23 +329,29 @@ def gradient(part: DataFrame, sent, shape: Shape) -> list:
         import pyarrow as pa
 
         model = sent.value
-        tables = [np.zeros(s, np.float32) for s in _shapes(shape)[:6]]
+        tables = [np.zeros(s[::-1], np.float32) for s in _shapes(shape)[:6]]  # a line per class: added up by bincount
         for b in batches:
-            for s in range(0, b.num_rows, 1000):
-                for _, _, c1, c2, h1, h2 in token_chunks(b.column(0).slice(s, 1000).to_pylist(), shape):
-                    rows = feature_rows(h1, h2, c1, shape)
-                    for at in range(0, len(c1), PART):
-                        cut = slice(at, at + PART)
-                        some = [r[cut] for r in rows]
-                        for k, p, c in zip((0, 3), model.probabilities(some, c1[cut]), (c1[cut], c2[cut])):
+            for _, w, before, second, h, c1, c2 in token_chunks(b.column(0), shape):
+                c1, c2 = c1[w], c2[w]
+                rows = feature_rows(h[before], h[second], c1, shape)
+                for s in range(0, len(c1), ADDED):
+                    n = min(ADDED, len(c1) - s)
+                    surplus = [np.empty((shape.first, n)), np.empty((shape.second, n))]
+                    for at in range(0, n, PART):
+                        to = min(at + PART, n)
+                        cut = slice(s + at, s + to)
+                        for out, p, c in zip(surplus, model.probabilities([r[cut] for r in rows], c1[cut]), (c1[cut], c2[cut])):
                             p[np.arange(len(c)), c] -= 1
-                            for i in range(k, k + 3):
-                                _take_rows(tables[i], some[i], p)
-        for block, data in _blocks(tables):
+                            out[:, at:to] = p.T
+                    for i, r in enumerate(rows):
+                        r = r[s:s + n]
+                        for line, p in zip(tables[i], surplus[i // 3]):
+                            line -= np.bincount(r, p, minlength=shape.rows)
+        for block, data in _blocks([t.T for t in tables]):
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([data], pa.binary())],
                                              ["block", "data"])
 
-    return summed_blocks(few_tasks(part.select("text")).mapInArrow(run, "block long, data binary"))
+    return summed_blocks(part.select("text").mapInArrow(run, "block long, data binary"))
 
 
 def head_counts(vocab: DataFrame):
@@ -328,12 +374,12 @@ def head_counts(vocab: DataFrame):
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", modulus: int = 5, held_out: int = 1,
-                shape: Shape = Shape(), rounds: int = 4, share: int = 4) -> DataFrame:
+                shape: Shape | None = None, rounds: int = 4, share: int = 4) -> DataFrame:
     """``(id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` per row.
 
     The model learns from rows whose crc32 of the id leaves another remainder than ``held_out``;
     each of the ``rounds`` updates takes another ``1 / share`` of them, so fewer rounds than shares would
-    leave rows out and are refused.
+    leave rows out and are refused.  Without a ``shape`` the model is sized by the training text.
     """
     import numpy as np
 
@@ -342,14 +388,16 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     src = narrow(docs, id_col, text_col).withColumn("train", train_part(F.col("id"), modulus, held_out))
     train = src.where("train")
-    got = stored(gather(train, shape), "lm-counts")
+    text_bytes = train.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shape = shape or Shape.sized(text_bytes)
+    got = stored(gather(few_tasks(train, text_bytes), shape), "lm-counts")
     vocab = stored(got.where("h IS NOT NULL").groupBy("h").agg(F.min("leaf").alias("leaf"), F.sum("n").alias("c")), "vocab")
     counts = _tables(summed_blocks(got.where("block IS NOT NULL").select("block", "data")), _shapes(shape))
     model = Weights(shape, (counts[:6], counts[6]))
     for i in range(rounds):
         part = train.where(F.pmod(F.xxhash64("id"), F.lit(share)) == i % share)
         sent = spark.sparkContext.broadcast(model)
-        step = gradient(part, sent, shape)
+        step = gradient(few_tasks(part, text_bytes), sent, shape)
         sent.destroy()
         model.update(_tables(step, _shapes(shape)[:6]), 1 / share)
     model.counts = None
@@ -368,32 +416,34 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for b in (b.slice(i, 1000) for b in batches for i in range(0, b.num_rows, 1000)):
             k = b.num_rows
             tokens, known, base, fit = np.zeros(k, np.int64), np.zeros(k, np.int64), np.zeros(k), np.zeros(k)
-            rare, times = [[] for _ in range(k)], [[] for _ in range(k)]
-            for doc, h, c1, c2, h1, h2 in token_chunks(b.column(2).to_pylist(), shape):
+            rare, times, each_rare = [], [], np.zeros(k, np.int64)
+            for doc, w, before, second, h, c1, c2 in token_chunks(b.column(2), shape):
                 tokens += np.bincount(doc, minlength=k)
-                rows = feature_rows(h1, h2, c1, shape)
-                each = -size[c1 * shape.second + c2]
-                for at in range(0, len(c1), PART):
+                a1, a2 = c1[w], c2[w]
+                rows = feature_rows(h[before], h[second], a1, shape)
+                each = -size[c1 * shape.second + c2][w]
+                for at in range(0, len(w), PART):
                     cut = slice(at, at + PART)
-                    for (p, total), c in zip(model.shares([r[cut] for r in rows], c1[cut]), (c1[cut], c2[cut])):
+                    for (p, total), c in zip(model.shares([r[cut] for r in rows], a1[cut]), (a1[cut], a2[cut])):
                         each[cut] += np.log10(p[np.arange(len(c)), c].astype(float) / total)
                 fit += np.bincount(doc, each, minlength=k)
                 h = h.view(np.int64)
                 place = np.minimum(np.searchsorted(head, h), max(0, len(head) - 1))
                 seen = head[place] == h if len(head) else np.zeros(len(h), bool)
-                known += np.bincount(doc[seen], minlength=k)
-                base += np.bincount(doc[seen], np.log10(count[place[seen]] + 0.5), minlength=k)
-                d, r = doc[~seen], h[~seen]
-                order = np.lexsort((r, d))
-                d, r = d[order], r[order]
-                new = np.flatnonzero(np.r_[np.ones(min(1, len(d)), bool), (d[1:] != d[:-1]) | (r[1:] != r[:-1])])
-                reps, owners, found = np.diff(np.r_[new, len(d)]), d[new], r[new]
-                first = np.flatnonzero(np.r_[np.ones(min(1, len(owners)), bool), owners[1:] != owners[:-1]])
-                for s, e in zip(first.tolist(), [*first[1:].tolist(), len(owners)]):
-                    rare[owners[s]], times[owners[s]] = found[s:e], reps[s:e]
+                logs = np.zeros(len(h))
+                logs[seen] = np.log10(count[place[seen]] + 0.5)
+                there = seen[w]
+                known += np.bincount(doc[there], minlength=k)
+                base += np.bincount(doc, logs[w], minlength=k)
+                found, reps = np.unique(doc[~there] * len(h) + w[~there], return_counts=True)
+                rare.append(h[found % len(h)])
+                times.append(reps)
+                each_rare += np.bincount(found // len(h), minlength=k)
+            ends = pa.array(np.r_[0, np.cumsum(each_rare)].astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(uid, uid + k)), b.column(0), b.column(1), pa.array(tokens), pa.array(known),
-                 pa.array(base), pa.array(fit), pa.array(rare, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int64()))],
+                 pa.array(base), pa.array(fit), *(pa.ListArray.from_arrays(ends, pa.array(np.concatenate(x).astype(np.int64)))
+                                                  for x in (rare, times))],
                 ["uid", "id", "train", "n_tokens", "known", "base", "fit", "rare", "times"])
             uid += k
 

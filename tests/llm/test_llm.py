@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -489,3 +490,60 @@ def test_lm_tables_stay_single_precision_over_updates():
         model.update(gradient, 0.25)
         assert {t.dtype for t in model.tables} == {np.dtype(np.float32)}
     assert all(np.abs(t - b).max() < 1e-5 for t, b in zip(model.tables, before))
+
+
+def lm_tokens(text, shape):
+    """Plain loop: ``(hash, first, second, hash before, hash two before)`` per token of a text."""
+    words = [b"\t", b"\t", *(text or "").encode().lower().split(), b"\n"]
+    out = []
+    for i in range(2, len(words)):
+        w, end = words[i], i == len(words) - 1
+        out.append((xxhash.xxh64_intdigest(w), shape.first - 1 if end else zlib.crc32(w[-2:]) % (shape.first - 1),
+                    0 if end else zlib.crc32(w[:3]) % shape.second,
+                    xxhash.xxh64_intdigest(words[i - 1]), xxhash.xxh64_intdigest(words[i - 2])))
+    return out
+
+
+@pytest.mark.parametrize("chunk", [1, 40, 1 << 20])
+def test_lm_words_equal_plain_loops(monkeypatch, chunk):
+    monkeypatch.setattr(lm_score, "CHUNK", chunk)
+    texts = ["left out", *(r[1] for r in ODD), " a\x0b\x0cB  ab \r", "\x00 É", "x"]
+    shape, got = lm_score.Shape(), []
+    for doc, w, before, second, h, c1, c2 in lm_score.token_chunks(pa.array(texts).slice(1), shape):
+        got += zip(doc.tolist(), *(x.tolist() for x in (h[w], c1[w], c2[w], h[before], h[second])))
+    assert got == [(i, *t) for i, text in enumerate(texts[1:]) for t in lm_tokens(text, shape)]
+
+
+def test_lm_gradient_equals_a_dense_step(spark):
+    shape, rng = lm_score.Shape(rows=16, first=4, second=3), np.random.default_rng(5)
+    counts = [rng.integers(0, 9, s).astype(float) for s in lm_score._shapes(shape)]
+    model = lm_score.Weights(shape, (counts[:6], counts[6]))
+    texts = ["the cat sat on the mat", None, "", "The dog sat", " ".join(WORDS * 3)]
+    want = [np.zeros(s) for s in lm_score._shapes(shape)[:6]]
+    for text in texts:
+        for _, c1, c2, h1, h2 in lm_tokens(text, shape):
+            rows = [int(r[0]) for r in lm_score.feature_rows(*(np.array([x], np.uint64) for x in (h1, h2)), np.array([c1]), shape)]
+            for k, prior, c in ((0, model.prior[0], c1), (3, model.prior[1][c1], c2)):
+                p = np.exp(prior + sum(model.tables[i][rows[i]] for i in range(k, k + 3)).astype(float))
+                p /= p.sum()
+                p[c] -= 1
+                for i in range(k, k + 3):
+                    want[i][rows[i]] -= p
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(2)
+    got = lm_score._tables(lm_score.gradient(df, spark.sparkContext.broadcast(model), shape), lm_score._shapes(shape)[:6])
+    assert all(np.abs(g - w).max() < 1e-4 for g, w in zip(got, want))
+
+
+def test_lm_tables_and_tasks_follow_the_training_text(spark, docs, monkeypatch):
+    assert [lm_score.Shape.sized(n).rows for n in (0, 1 << 28, 1 << 29, 1 << 30, 1 << 50)] == [1 << 14, 1 << 14, 1 << 15, 1 << 16, 1 << 16]
+    seen, real = [], lm_score.gather
+    monkeypatch.setattr(lm_score, "gather", lambda train, shape: seen.append(shape.rows) or real(train, shape))
+    monkeypatch.setattr(lm_score.Shape, "PER_ROW", 16)
+    train = [r.text or "" for r in docs.collect() if zlib.crc32(str(r.doc_id).encode()) % 5 != 1]
+    size = sum(len(t.encode()) for t in train)
+    lm_score.score_texts(docs, rounds=4)
+    assert size // 16 >= 1 << 15 and seen == [lm_score.Shape.sized(size).rows] and seen[0] >= 1 << 15
+    most = 2 * spark.sparkContext.defaultParallelism
+    wide = spark.range(1000, numPartitions=most + 9)
+    assert lm_score.few_tasks(wide, 0).rdd.getNumPartitions() == most
+    assert lm_score.few_tasks(wide, (most + 5) << 30).rdd.getNumPartitions() == most + 5
