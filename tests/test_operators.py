@@ -230,6 +230,22 @@ def test_sliding_word_counts_do_not_depend_on_blocks(spark, block, zeros):
     assert got == want
 
 
+def test_words_at_zero_take_few_bytes_a_row(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    from loadlens.operators.text import sliding_word_count
+
+    # 400 words in 40 texts, then none for 4,000 panes: nearly all rows are at zero
+    docs = [(7 * i, " ".join(f"w{i}x{j}" for j in range(10))) for i in range(40)] + [(4000, "last")]
+    df = spark.createDataFrame(docs, "doc_id long, value string").coalesce(1)
+    sliding_word_count(df, "doc_id", 1, 3, keep_zeros=True, block_offsets=8).write.parquet(f"{tmp_path}/out")
+    files = [pq.ParquetFile(f).metadata for f in (tmp_path / "out").glob("*.parquet")]
+    rows = sum(m.num_rows for m in files)
+    assert rows == sum(10 * (4003 - 7 * i) for i in range(40)) + 3
+    columns = [m.row_group(g).column(c) for m in files for g in range(m.num_row_groups) for c in range(m.num_columns)]
+    assert sum(c.total_compressed_size for c in columns) < rows / 2
+
+
 @pytest.mark.parametrize("block", [1, 2, 4096])
 def test_running_total_does_not_depend_on_blocks(spark, block):
     from loadlens.operators.windows import batch_counts

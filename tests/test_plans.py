@@ -59,6 +59,14 @@ def test_sliding_words_exchange_texts_not_counts(spark):
     assert "windowspecdefinition(word, pane ASC" in p
 
 
+def test_words_at_zero_are_dealt_like_the_texts(spark):
+    import re
+
+    # as many tasks whatever spark.sql.shuffle.partitions is: the words of a file stay few enough for a column's dictionary
+    n = dict(re.findall(r"hashpartitioning\((_b|word), (\d+)\), REPARTITION_BY_NUM", re.sub(r"#\d+L?", "", plan(spark, "sliding_word_count_zeros"))))
+    assert n["word"] == n["_b"] != spark.conf.get("spark.sql.shuffle.partitions")
+
+
 def test_rolling_running_window_is_split_by_chunk(spark):
     import re
 
